@@ -102,7 +102,7 @@ def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
     # Summary: last non-null of every column within each slice, ordered by the
     # same keys.  max_by over a struct of the order columns picks it exactly.
     order_struct = F.struct(*[F.col(c) for c in order_cols])
-    summ = base.groupBy(*keys, "_slice").agg(*[
+    summ = local.groupBy(*keys, "_slice").agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"_s_{c}")
         for c in value_cols])
     carry_w = (Window.partitionBy(*keys).orderBy("_slice")

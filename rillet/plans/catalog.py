@@ -321,3 +321,164 @@ def lookup_join(spark: SparkSession, sf: str) -> DataFrame:
                     F.size("search_results").cast("bigint").alias("n_results"),
                     F.array_join(F.transform("search_results", lambda s: s["title"]), "|")
                     .alias("titles"))
+
+
+# ----------------------------------------------------------------- C2 / C6
+@query("changelog_view")
+def changelog_view(spark: SparkSession, sf: str) -> DataFrame:
+    """+I / -U / +U records of the customers_pk upsert stream."""
+    from rillet.operators.changelog import changelog_view as cv
+    c = fx.customers(spark, sf).select("account_number", "customer_name", "created_at")
+    out = cv(c, key="account_number", order_cols=["created_at", "customer_name"])
+    return out.select("op", "account_number", "customer_name", "created_at",
+                      F.col("change_created_at").alias("change_time"), "change_seq")
+
+
+@query("upsert_key_mismatch")
+def upsert_key_mismatch(spark: SparkSession, sf: str) -> DataFrame:
+    """City spend written to a sink whose primary key is total_spent."""
+    from rillet.operators.changelog import upsert_by_other_key
+    return upsert_by_other_key(spend_by_segment(spark, sf).select("total_spent", "city"),
+                               query_key="city", sink_key="total_spent")
+
+
+# ----------------------------------------------------------------- U-T1 / U-T2 / J11 / J12
+@query("json_address")
+def json_address(spark: SparkSession, sf: str) -> DataFrame:
+    """U-T1 + J11: LEFT JOIN LATERAL unnest_json_address(full_address, FALSE) ON TRUE."""
+    from rillet.functions.table import lateral, unnest_json_address
+    cj = fx.customers_json(spark, sf)
+    return lateral(cj, unnest_json_address("full_address", False), outer=True).drop("full_address")
+
+
+@query("json_array")
+def json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """U-T2 + J12: CROSS JOIN LATERAL normalize_json_array(emails, FALSE)."""
+    from rillet.functions.table import lateral, normalize_json_array
+    ce = fx.customer_emails_json(spark, sf)
+    return lateral(ce, normalize_json_array("emails", False), outer=False).select(
+        "customer_id", "name", "email_index", "email")
+
+
+# ----------------------------------------------------------------- U-S1..U-S4 / F4
+@query("concat_sep")
+def concat_sep(spark: SparkSession, sf: str) -> DataFrame:
+    """U-S1 over customer versions."""
+    from rillet.functions.scalar import concat_with_separator
+    c = fx.customers(spark, sf)
+    return c.select("customer_name", concat_with_separator("customer_name", "city", "email", F.lit(" | "))
+                    .alias("label"))
+
+
+@query("account_lookup")
+def account_lookup_q(spark: SparkSession, sf: str) -> DataFrame:
+    """U-S4 for every account seen in the transactions."""
+    from rillet.functions.scalar import account_lookup
+    accts = fx.transactions(spark, sf).select("account_number").distinct()
+    return accts.select("account_number", account_lookup("account_number").alias("lookup_json"))
+
+
+@query("log_out_of_range")
+def log_out_of_range_q(spark: SparkSession, sf: str) -> DataFrame:
+    """U-S2: passthrough of every amount plus the out-of-range direction."""
+    from rillet.functions.scalar import log_out_of_range, out_of_range_flag
+    t = fx.transactions(spark, sf)
+    return t.select("txn_id", log_out_of_range("amount", P.LOG_RANGE_LOW, P.LOG_RANGE_HIGH).alias("amount"),
+                    out_of_range_flag("amount", P.LOG_RANGE_LOW, P.LOG_RANGE_HIGH).alias("out_of_range"))
+
+
+@query("random_string")
+def random_string_q(spark: SparkSession, sf: str) -> DataFrame:
+    """U-S3: a random letter string per transaction; checked by length and alphabet."""
+    from rillet.functions.scalar import random_string
+    t = fx.transactions(spark, sf).select("txn_id", F.pmod(F.col("txn_id").cast("bigint"),
+                                                          F.lit(P.RANDOM_STRING_MAX)).cast("int").alias("n"))
+    r = t.withColumn("_r", random_string(F.col("n")))
+    return r.select("txn_id", "n", F.length("_r").cast("bigint").alias("len"),
+                    F.col("_r").rlike("^[a-zA-Z]*$").alias("letters_only"))
+
+
+@query("convert_tz")
+def convert_tz_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Computed column with the transaction time in Europe/Berlin."""
+    from rillet.functions.scalar import convert_tz
+    t = fx.transactions(spark, sf)
+    return t.select("txn_id", convert_tz("timestamp", "UTC", "Europe/Berlin").alias("local_time"))
+
+
+# ----------------------------------------------------------------- I1 / I2 / I3
+@query("classify_risk")
+def classify_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """I1 + I2: risk level per transaction from the rule model; 'recurring failed'
+    = at least N failed transactions of the account within the preceding range."""
+    from rillet.operators.inference import predict, rule_risk, transaction_prompt
+    t = fx.transactions(spark, sf)
+    t = W.running_aggregate(t, keys="account_number", time_col="timestamp", range_=P.RECURRING_FAILED_RANGE,
+                            aggs={"_nf": F.sum(F.when(F.col("status") == "Failed", 1).otherwise(0))})
+    prompt = transaction_prompt(F.col("amount"), F.col("transaction_type"), F.col("status"), F.col("merchant"))
+    risk = rule_risk(F.col("amount"), F.col("transaction_type"), F.col("status"), F.col("merchant"),
+                     recurring_failed=F.col("_nf") >= P.RECURRING_FAILED_MIN)
+    out = predict(t.withColumn("prompt", prompt), F.col("prompt"), risk)
+    return out.select("txn_id", "account_number", _dbl("amount").alias("amount"), "transaction_type", "status",
+                      "merchant", "timestamp", "prompt", "risk_level")
+
+
+@query("support_answers")
+def support_answers_q(spark: SparkSession, sf: str) -> DataFrame:
+    """One answer per support question, from the account tool."""
+    from rillet.operators.inference import support_answers
+    q = fx.customer_queries(spark, sf)
+    return support_answers(q).select("query_id", "account_number", "query_text", "timestamp", "agent_response")
+
+
+# ----------------------------------------------------------------- M1 / M2 / M3
+def _payments(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.transactions(spark, sf).where(F.col("transaction_type") == "payment")
+
+
+@query("match_failed3")
+def match_failed3(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: three consecutive failed payments within the window (F{3,}? reluctant)."""
+    from rillet.operators.patterns import min_run_reluctant
+    return min_run_reluctant(_payments(spark, sf), key="account_number", time_col="timestamp",
+                             tiebreak="txn_id", status_col="status", within=P.PATTERN_WINDOW)
+
+
+@query("match_failed_then_success")
+def match_failed_then_success(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: two or more failed payments then a successful one, within the window."""
+    from rillet.operators.patterns import failures_then_success
+    out = failures_then_success(_payments(spark, sf), key="account_number", time_col="timestamp",
+                                tiebreak="txn_id", status_col="status", within=P.PATTERN_WINDOW,
+                                carry=["amount", "merchant"])
+    return out.select("account_number", "failed_attempts", "first_attempt_time", "success_time",
+                      _dbl("amount").alias("amount"), "merchant")
+
+
+@query("match_escalating")
+def match_escalating(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: three consecutive withdrawals with rising amounts, within the window."""
+    from rillet.operators.patterns import escalating
+    wd = fx.transactions(spark, sf).where(F.col("transaction_type") == "withdrawal")
+    out = escalating(wd, key="account_number", time_col="timestamp", value_col="amount",
+                     within=P.PATTERN_WINDOW, tiebreak="txn_id")
+    return out.select("account_number", *[_dbl(c).alias(c) for c in ("first_amount", "second_amount",
+                                                                     "third_amount")],
+                      "start_time", "end_time")
+
+
+# ----------------------------------------------------------------- C11
+@query("dlq_split")
+def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
+    """C11: JSON customer records routed to the table or the dead-letter queue."""
+    from rillet.operators.changelog import json_record_checks, split_valid
+    raw = fx.customer_records_json(spark, sf)
+    parsed, checks = json_record_checks(F.col("raw"), "customer_id BIGINT, name STRING, city STRING",
+                                        ["customer_id", "name"])
+    good, bad = split_valid(raw.withColumn("rec", parsed), checks)
+    both = (good.withColumn("route", F.lit("ok")).withColumn("error_reason", F.lit(None).cast("string"))
+            .unionByName(bad.withColumn("route", F.lit("dlq"))))
+    # customer_id is NULL on dead letters; as text it keeps one type on every engine.
+    return both.select("record_id", "route", "error_reason",
+                       F.col("rec.customer_id").cast("string").alias("customer_id"),
+                       F.col("rec.name").alias("name"))

@@ -159,3 +159,18 @@ def customer_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("query_text"),
         F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("timestamp"),
     )
+
+
+def customer_records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON customer records with poison: every 97th is the reference's poison pill,
+    every 89th has a NULL key, every 83rd is not JSON at all."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    good = F.concat(F.lit('{"customer_id": '), k.cast("string"), F.lit(', "name": "'), F.col("c_name"),
+                    F.lit('", "city": "'), F.col("c_nationkey").cast("string"), F.lit('"}'))
+    null_key = F.concat(F.lit('{"customer_id": null, "name": "'), F.col("c_name"), F.lit('"}'))
+    raw = (F.when(F.pmod(k, F.lit(97)) == 0, F.lit('{"id": 1, "payload": "poisoned pill"}'))
+           .when(F.pmod(k, F.lit(89)) == 0, null_key)
+           .when(F.pmod(k, F.lit(83)) == 0, F.lit("not json {"))
+           .otherwise(good))
+    return c.select(k.alias("record_id"), raw.alias("raw"))
