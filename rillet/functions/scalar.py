@@ -89,22 +89,30 @@ def account_seed(account: Column) -> Column:
     digits = F.regexp_replace(account, "[^0-9]", "")
     fallback = F.pmod(java_string_hash(account), F.lit(2147483648)).cast("int")
     parsed = F.when(F.length(digits) > 0, digits.try_cast("int"))
-    return F.coalesce(parsed, fallback)
+    return let(parsed, lambda p: F.when(p.isNull(), fallback).otherwise(p))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def account_lookup(account) -> Column:
     """U-S4: deterministic account details as a JSON string, from a numeric seed."""
     acct = _c(account)
-    seed = account_seed(acct)
+    blank = acct.isNull() | F.regexp_like(acct, F.lit(r"^\s*$"))
+    return F.when(blank, F.lit(ACCOUNT_REQUIRED_JSON)).otherwise(
+        let(account_seed(acct), lambda seed: _account_json(acct, seed)))
+
+
+def _account_json(acct: Column, seed: Column) -> Column:
     balance = F.lit(ACCOUNT_BALANCE_BASE) + (seed * F.lit(ACCOUNT_BALANCE_FACTOR)) % F.lit(ACCOUNT_BALANCE_MOD)
     status = F.when(seed % ACCOUNT_FROZEN_MOD == 0, "FROZEN").otherwise("ACTIVE")
     last_amt = F.lit(ACCOUNT_LAST_BASE) + (seed * F.lit(ACCOUNT_LAST_FACTOR)) % F.lit(ACCOUNT_LAST_MOD)
     date = F.format_string(ACCOUNT_DATE_FORMAT, F.lit(1) + seed % ACCOUNT_MONTH_MOD,
                            F.lit(1) + seed % ACCOUNT_DAY_MOD)
     alert = seed % ACCOUNT_ALERT_MOD == 0
-    body = F.format_string(ACCOUNT_JSON_FORMAT, acct, balance, status, last_amt, date, alert)
-    blank = acct.isNull() | F.regexp_like(acct, F.lit(r"^\s*$"))
-    return F.when(blank, F.lit(ACCOUNT_REQUIRED_JSON)).otherwise(body)
+    return F.format_string(ACCOUNT_JSON_FORMAT, acct, balance, status, last_amt, date, alert)
 
 
 ACCOUNT_SCHEMA = ("account_number STRING, balance DOUBLE, status STRING, last_transaction_amount DOUBLE, "

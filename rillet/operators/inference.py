@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.scalar import account_lookup, parse_account_json
+from rillet.functions.scalar import account_lookup, let, parse_account_json
 from rillet.sources.fixtures import MERCHANTS
 
 RISK_HIGH, RISK_MEDIUM, RISK_LOW = "HIGH", "MEDIUM", "LOW"
@@ -97,4 +97,4 @@ def support_answers(queries: DataFrame, *, text_col: str = "query_text",
     """I3 (re-aimed agent run): look up the account named in the question with the
     account tool and answer from its fields; one response row per query."""
     info = parse_account_json(account_lookup(extract_account(F.col(text_col))))
-    return queries.withColumn(output_col, responder(info))
+    return queries.withColumn(output_col, let(info, responder))
