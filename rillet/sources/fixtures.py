@@ -83,7 +83,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer versions: each signup event is a new version of its account."""
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    return customers_from_events(read_table(spark, sf_dir, "events"), spark, sf_dir)
+
+
+def customers_from_events(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer versions from an events DataFrame (batch or stream; the
+    customer and nation tables are static)."""
+    ev = events.where(F.col("event_type") == "signup")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     # nation has a fixed 25 rows in every scale factor: a bounded broadcast.
     nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
