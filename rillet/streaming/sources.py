@@ -48,19 +48,22 @@ def events_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int
             .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
 
 
-def transactions_stream(spark: SparkSession, path: str, *, delay: str = "5 seconds",
+def transactions_stream(spark: SparkSession, path: str, *, delay: str | None = "5 seconds",
                         max_files_per_trigger: int = 1) -> DataFrame:
-    """The transactions table as a stream with its watermark (timestamp - delay)."""
+    """The transactions table as a stream with its watermark (timestamp - delay;
+    ``delay=None``: no watermark, for operators that declare their own)."""
     t = fx.transactions_from_events(events_stream(spark, path, max_files_per_trigger=max_files_per_trigger))
-    return t.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
+    t = t.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return t if delay is None else t.withWatermark("timestamp", delay)
 
 
-def customers_stream(spark: SparkSession, path: str, sf_dir: str, *, delay: str = "5 seconds",
+def customers_stream(spark: SparkSession, path: str, sf_dir: str, *, delay: str | None = "5 seconds",
                      max_files_per_trigger: int = 1) -> DataFrame:
     """Customer versions as a stream (stream-static join to customer and nation)."""
     c = fx.customers_from_events(events_stream(spark, path, max_files_per_trigger=max_files_per_trigger),
                                  spark, sf_dir)
-    return c.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", delay)
+    c = c.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    return c if delay is None else c.withWatermark("created_at", delay)
 
 
 # --------------------------------------------------------------------- S1-S4
