@@ -59,6 +59,16 @@ class UpsertSink:
         self.delete_when, self.query_key = delete_when, query_key
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        # The batch is referenced several times below; persist it so the
+        # upstream stateful operator runs once per epoch (a second concurrent
+        # evaluation would contend for the same state store partition).
+        batch = batch.persist()
+        try:
+            self._merge(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _merge(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         prior = [v for v in _list_versions(spark, self.base) if v < epoch_id]
         old = spark.read.parquet(_version_path(self.base, prior[-1])) if prior else None
@@ -90,13 +100,13 @@ class DeadLetterSink:
         self.good_path, self.dlq_path, self.checks, self.mode = good_path, dlq_path, checks, mode
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
         good, bad = split_valid(batch, self.checks(batch))
         bad = bad.withColumn("epoch_id", F.lit(epoch_id))
-        if self.mode == "fail" and not bad.isEmpty():
-            first = bad.select("error_reason").first()[0]
-            raise RuntimeError(f"record failed validation ({first}) in batch {epoch_id}")
-        batch.persist()
         try:
+            if self.mode == "fail" and not bad.isEmpty():
+                first = bad.select("error_reason").first()[0]
+                raise RuntimeError(f"record failed validation ({first}) in batch {epoch_id}")
             good.write.mode("overwrite").parquet(f"{self.good_path.rstrip('/')}/batch={epoch_id}")
             bad.write.mode("overwrite").parquet(f"{self.dlq_path.rstrip('/')}/batch={epoch_id}")
         finally:
