@@ -64,12 +64,22 @@ def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str
 
 def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str, value_col: str,
                      range_: str, threshold: float, total_alias: str = "total_value",
-                     flag_alias: str = "flag", slice_: str | None = None) -> DataFrame:
-    """Running SUM over a time range with a YES/NO flag when it exceeds ``threshold``."""
+                     flag_alias: str = "flag", slice_: str | None = None,
+                     only: Column | None = None) -> DataFrame:
+    """Running SUM over a time range with a YES/NO flag when it exceeds ``threshold``.
+
+    ``only``: compute the window over the rows matching it (as if the input were
+    filtered) but keep every row; other rows get NULL total and flag.  This lets
+    several differently filtered windows run over one table without joins (W4).
+    """
+    v = F.col(value_col) if only is None else F.when(only, F.col(value_col))
     out = running_aggregate(df, keys=keys, time_col=time_col, range_=range_,
-                            aggs={total_alias: F.sum(value_col)}, slice_=slice_)
-    return out.withColumn(flag_alias, F.when(F.col(total_alias) > F.lit(threshold), "YES")
-                          .otherwise("NO"))
+                            aggs={total_alias: F.sum(v)}, slice_=slice_)
+    flag = F.when(F.col(total_alias) > F.lit(threshold), "YES").otherwise("NO")
+    if only is not None:
+        out = out.withColumn(total_alias, F.when(only, F.col(total_alias)))
+        flag = F.when(only, flag)
+    return out.withColumn(flag_alias, flag)
 
 
 def running_count(df: DataFrame, *, keys: str | Sequence[str], time_col: str, range_: str,

@@ -136,14 +136,41 @@ def flagged_withdrawals(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- W4 / J10
 def dual_window_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """W4 + J10: two differently partitioned windows, joined back to the base.
+    """Two differently filtered and partitioned windows, as one table.
 
-    Both flagged subsets derive from the same scan; the left joins are on
-    (txn_id, account_number), so each join shuffles once on its key and AQE
-    may turn it into a broadcast when the flagged side is small at runtime.
+    Each window runs over the base with a row condition instead of over a
+    filtered copy, so the result needs no join back: two window shuffles in
+    total, and every transaction keeps its own row (txn_id is the row key).
     """
     a = fx.transactions(spark, sf)
     succ = F.col("status") == "Successful"
+    wd = W.running_sum_flag(
+        a, keys=["account_number", "transaction_type"], time_col="timestamp", value_col="amount",
+        range_=P.DUAL_RANGE, threshold=P.DUAL_WITHDRAW_THRESHOLD, total_alias="withdrawal_total",
+        flag_alias="withdraw_flag", only=(F.col("transaction_type") == "withdrawal") & succ)
+    both = W.running_sum_flag(
+        wd, keys=["account_number", "currency"], time_col="timestamp", value_col="amount",
+        range_=P.DUAL_RANGE, threshold=P.DUAL_FX_THRESHOLD, total_alias="forex_total",
+        flag_alias="fx_flag", only=(F.col("transaction_type") != "refund") & succ)
+    j = both.where((F.col("withdraw_flag") == "YES") | (F.col("fx_flag") == "YES"))
+    return j.select(*[c for c in a.columns if c != "amount"], _dbl("amount").alias("amount"),
+                    _dbl("withdrawal_total").alias("withdrawal_total"),
+                    F.coalesce(F.col("withdraw_flag"), F.lit("NO")).alias("withdraw_flag"),
+                    _dbl("forex_total").alias("forex_total"), "fx_flag")
+
+
+@query("dual_window_flags")
+def dual_window_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return dual_window_frame(spark, sf)
+
+
+@query("dual_window_flags_joined")
+def dual_window_flags_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference's literal form - each window over its filtered subset,
+    then two LEFT JOINs of the base on (txn_id, account_number) and an OR filter.
+    Both joins share the base's partitioning on the join keys."""
+    a = fx.transactions(spark, sf)
+    succ = F.col("status") == "Successful"
     wd = W.running_sum_flag(
         a.where((F.col("transaction_type") == "withdrawal") & succ)
         .select("txn_id", "account_number", "transaction_type", "amount", "timestamp"),
@@ -165,11 +192,6 @@ def dual_window_frame(spark: SparkSession, sf: str) -> DataFrame:
                     _dbl("forex_total").alias("forex_total"), "fx_flag")
 
 
-@query("dual_window_flags")
-def dual_window_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return dual_window_frame(spark, sf)
-
-
 @query("flagged_messages")
 def flagged_messages(spark: SparkSession, sf: str) -> DataFrame:
     """P10 + F1: a query over the flagged view composing a customer message."""
