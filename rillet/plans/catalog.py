@@ -504,3 +504,27 @@ def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("record_id", "route", "error_reason",
                        F.col("rec.customer_id").cast("string").alias("customer_id"),
                        F.col("rec.name").alias("name"))
+
+
+# ----------------------------------------------------------------- U-R (SQL surface)
+@query("json_address_sql")
+def json_address_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """U-R + U-T1 + J11 in SQL: the registered table function in LEFT JOIN LATERAL .. ON TRUE."""
+    from rillet.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    fx.customers_json(spark, sf).createOrReplaceTempView("customers_json")
+    return spark.sql("""
+        SELECT c.customer_id, c.name, c.email, a.street, a.postcode, a.city
+        FROM customers_json c
+        LEFT JOIN LATERAL unnest_json_address(c.full_address, FALSE) a ON TRUE""")
+
+
+@query("json_array_sql")
+def json_array_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """U-R + U-T2 + J12 in SQL: comma (cross) lateral join drops rows without e-mails."""
+    from rillet.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    fx.customer_emails_json(spark, sf).createOrReplaceTempView("customer_emails_json")
+    return spark.sql("""
+        SELECT c.customer_id, c.name, e.email_index, e.email
+        FROM customer_emails_json c, LATERAL normalize_json_array(c.emails, FALSE) e""")

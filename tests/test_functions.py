@@ -132,3 +132,42 @@ def test_json_array_fails(spark):
 def test_convert_tz(spark):
     got = one(spark, S.convert_tz(F.lit("2024-07-01 12:00:00").cast("timestamp_ntz")))
     assert got == "2024-07-01 14:00:00"
+
+
+@pytest.fixture(scope="module")
+def sqlfn(spark):
+    from rillet.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    return spark
+
+
+@pytest.mark.parametrize("call,want", [
+    ("concat_with_separator('hello', 'world', '-')", "hello-world"),
+    ("concat_with_separator3('a', 'b', 'c', '-')", "a-b-c"),
+    ("concat_with_separator4('a', 'b', 'c', 'd', '-')", "a-b-c-d"),
+    ("concat_with_separator('hello', 'world', '')", "helloworld"),
+    ("concat_with_separator('', '', '-')", "-"),
+    ("concat_with_separator3('', '', '', '-')", "--"),
+    ("concat_with_separator(NULL, 'world', '-')", "-world"),
+    ("concat_with_separator('a', 'b', NULL)", "ab"),
+    ("CAST(log_out_of_range(50, 20, 90) AS STRING)", "50.0"),
+    ("random_string(0)", ""),
+])
+def test_sql_scalar_functions(sqlfn, call, want):
+    assert sqlfn.sql(f"SELECT {call} AS r").first().r == want
+
+
+def test_sql_random_string(sqlfn):
+    rows = sqlfn.sql("SELECT random_string(20) AS r FROM range(20)").collect()
+    assert all(len(r.r) == 20 and r.r.isalpha() for r in rows) and len({r.r for r in rows}) > 1
+
+
+def test_sql_table_functions(sqlfn):
+    got = sqlfn.sql("""SELECT a.* FROM VALUES ('not valid json'), ('{"street": "s", "city": "c"}') AS t(j)
+                       LEFT JOIN LATERAL unnest_json_address(j, FALSE) a ON TRUE""").collect()
+    assert sorted(tuple(r) for r in got if r.street) == [("s", None, "c")] and len(got) == 2
+    arr = sqlfn.sql("""SELECT e.* FROM VALUES ('["a", "b"]'), ('[]'), ('{"a": 1}') AS t(j),
+                       LATERAL normalize_json_array(j, FALSE) e""").collect()
+    assert sorted(tuple(r) for r in arr) == [(0, "a"), (1, "b")]
+    with pytest.raises(Exception, match="Exception parsing JSON payload:"):
+        sqlfn.sql("SELECT * FROM VALUES ('nope') AS t(j), LATERAL normalize_json_array(j, TRUE)").collect()
