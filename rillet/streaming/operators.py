@@ -80,14 +80,16 @@ def interval_join_stream(left: DataFrame, right: DataFrame, *, key: str, left_ti
 # ------------------------------------------------------------ OVER processor
 def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col: str, value_col: str,
                          range_: str, id_col: str, threshold: float | None = None,
-                         total_alias: str = "total_value", flag_alias: str = "flag") -> DataFrame:
+                         total_alias: str = "total_value", flag_alias: str = "flag",
+                         agg: str = "sum") -> DataFrame:
     """W1/W2/W3 on a watermarked stream: ``SUM(v) OVER (PARTITION BY keys ORDER BY t
     RANGE range PRECEDING)``, emitted once a row is final (below the watermark).
 
     Per key the state holds the rows not yet emitted and the emitted rows still
     inside the range; everything older than ``watermark - range`` is evicted,
     so state is bounded by the rows of one range.  Peers (equal time) are
-    emitted together, as in the batch frame.
+    emitted together, as in the batch frame.  ``agg='count'`` gives W2's
+    ``COUNT(*)`` (``value_col`` is then ignored).
     """
     keys = _cols(keys)
     r_us = _seconds(range_) * 1_000_000
@@ -99,7 +101,7 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
         pending, history = ([], []) if not state.exists else json.loads(state.get[0])
         for pdf in pdfs:
             for tid, t, v in zip(pdf[id_col], pdf[time_col], pdf[value_col]):
-                pending.append([str(tid), int(pd.Timestamp(t).value // 1000), float(v)])
+                pending.append([str(tid), int(pd.Timestamp(t).value // 1000), 1.0 if agg == "count" else float(v)])
         wm = state.getCurrentWatermarkMs() * 1000  # microseconds, like the rows
         ready = sorted(p for p in pending if p[1] <= wm)
         pending = [p for p in pending if p[1] > wm]

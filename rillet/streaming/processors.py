@@ -17,7 +17,9 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from rillet.operators.over import _seconds
 
@@ -196,3 +198,48 @@ def escalating_stream(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     return ordered_processor(df, key=key, time_col=time_col, order_cols=[tiebreak], cols=[value_col], step=step,
                              out_schema=f"{key} string, first_amount double, second_amount double, "
                                         "third_amount double, start_time timestamp, end_time timestamp")
+
+
+# ------------------------------------------------------------------ W6 stream
+class _LagProcessor(StatefulProcessor):
+    """Per key: value state with the previous window's count."""
+
+    def __init__(self, time_col: str, count_col: str):
+        self.time_col, self.count_col = time_col, count_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "c long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(self.time_col)
+        prev = self.prev.get()[0] if self.prev.exists() else None
+        prevs = []
+        for c in pdf[self.count_col]:
+            prevs.append(prev)
+            prev = int(c)
+        self.prev.update((prev,))
+        out = pdf.copy()
+        out["_prev"] = pd.array(prevs, dtype="Float64")
+        out["_delta"] = out[self.count_col].astype("Float64") - out["_prev"]
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def lag_stream(counts: DataFrame, *, keys: Sequence[str], time_col: str, count_col: str,
+               prev_alias: str = "prev_count", delta_alias: str = "delta") -> DataFrame:
+    """W6 on a stream: ``LAG(count, 1)`` per key over the closed windows of a
+    watermarked tumbling aggregate, chained after it in append mode.
+
+    The aggregate emits each window once, after the watermark passed it, so
+    rows reach the processor final and in time order; the state per key is the
+    previous count only."""
+    keys = list(keys)
+    src = counts.select(*keys, time_col, F.col(count_col).cast("bigint").alias(count_col))
+    fields = [f for f in src.schema.fields]
+    out = T.StructType(fields + [T.StructField("_prev", T.DoubleType()), T.StructField("_delta", T.DoubleType())])
+    res = src.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_LagProcessor(time_col, count_col), outputStructType=out,
+        outputMode="Append", timeMode="None")
+    return res.withColumnRenamed("_prev", prev_alias).withColumnRenamed("_delta", delta_alias)

@@ -76,3 +76,51 @@ def test_latest_values_stream_equals_batch(spark, stream_dir):
     w = Window.partitionBy("account_number").orderBy("timestamp", "txn_id").rowsBetween(Window.unboundedPreceding, 0)
     want = b.withColumn("last_v", F.last("v", ignorenulls=True).over(w))
     assert sorted((r.txn_id, r.last_v) for r in got.collect()) == sorted((r.txn_id, r.last_v) for r in want.collect())
+
+
+def test_session_stream_equals_batch(spark, stream_dir):
+    t = tx(spark, stream_dir)
+    out = S.session_count_stream(t, time_col="timestamp", gap="1 hour", keys="merchant")
+    got = run_to_end(out, "a6s", outdir=stream_dir)
+    from rillet.operators.aggregations import session_count
+    from rillet.sources import fixtures as fx
+    want = session_count(fx.transactions(spark, SF), "timestamp", "1 hour", "merchant")
+    norm = lambda df: sorted((str(r.window_start), r.merchant, r.sec_duration, r.total_tx) for r in df.collect()
+                             if r.merchant is not None and str(r.window_start) < "2030")
+    assert norm(got) == norm(want) and len(norm(want)) > 0
+
+
+def test_running_count_stream_equals_batch(spark, stream_dir):
+    t = tx(spark, stream_dir)
+    f = t.where(S.keep_above_watermark((F.col("transaction_type") == "payment") & (F.col("status") == "Failed"),
+                                       "timestamp"))
+    got = run_to_end(S.running_range_stream(f, keys="merchant", time_col="timestamp", value_col="amount",
+                                            range_="3 days", id_col="txn_id", agg="count", total_alias="n"),
+                     "w2s", outdir=stream_dir)
+    want = C.over_running_count(spark, SF)
+    assert sorted((r.txn_id, int(r.n)) for r in got.collect()) == \
+        sorted((r.txn_id, r.total_tx_failed_last_range) for r in want.collect())
+
+
+def test_lag_over_tumble_stream_equals_batch(spark, stream_dir):
+    t = tx(spark, stream_dir)
+    ok = (F.col("transaction_type") == "payment") & (F.col("status") == "Successful")
+    g = (t.where(S.keep_above_watermark(ok, "timestamp"))
+         .groupBy(F.window("timestamp", "1 day").alias("w"), "merchant", "transaction_type")
+         .agg(F.count(F.lit(1)).alias("total_successful"))
+         .select(F.window_time("w").alias("wt"), "merchant", "transaction_type", "total_successful"))
+    got = run_to_end(P.lag_stream(g, keys=["merchant", "transaction_type"], time_col="wt",
+                                  count_col="total_successful", prev_alias="prev_total_successful"),
+                     "w6s", outdir=stream_dir)
+    want = C.tumble_lag(spark, SF)
+    norm_g = sorted((r.merchant, str(r.wt)[:10], r.total_successful, r.prev_total_successful) for r in got.collect())
+    norm_w = sorted((r.merchant, str(r.window_start)[:10], r.total_successful, r.prev_total_successful)
+                    for r in want.collect())
+    assert norm_g == norm_w and len(norm_w) > 0
+
+
+def test_customer_and_email_generators(spark):
+    c = src.customers_generator(spark, rows=500)
+    assert c.select("account_number").distinct().count() == 11
+    e = src.customer_emails_generator(spark, rows=200)
+    assert all(len(r.emails) == 3 and 0 <= r.desired_email_count <= 3 for r in e.collect())
