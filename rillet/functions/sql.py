@@ -33,6 +33,11 @@ def _field(f: str) -> str:
 _MALFORMED = "(json IS NULL OR (json <> '' AND try_parse_json(json) IS NULL))"
 _RAISE = f"raise_error(concat('{JSON_ERROR_PREFIX}', coalesce(json, 'null input')))"
 
+_ADDR_T = "array<struct<street:string,postcode:string,city:string>>"
+_MAIL_T = "array<struct<email_index:int,email:string>>"
+_ELEM = ("CASE WHEN is_variant_null(e) THEN 'null' WHEN schema_of_variant(e) LIKE 'OBJECT%' "
+         "OR schema_of_variant(e) LIKE 'ARRAY%' THEN '' ELSE variant_get(e, '$', 'string') END")
+
 FUNCTIONS = {
     "concat_with_separator": _cws(2),
     "concat_with_separator3": _cws(3),
@@ -41,6 +46,20 @@ FUNCTIONS = {
     "random_string": (f"(n INT) RETURNS STRING NOT DETERMINISTIC RETURN CASE WHEN n > 0 THEN array_join("
                       f"transform(sequence(1, n), i -> substr('{LETTERS}', CAST(floor(rand() * {len(LETTERS)}) "
                       f"AS INT) + 1, 1)), '') WHEN n IS NOT NULL THEN '' END"),
+    # Array-returning forms for LATERAL VIEW [OUTER] inline(..): a generator on
+    # the row, which Spark never decorrelates into a join (the table-function
+    # forms below are rewritten to a join + aggregate, i.e. a shuffle).
+    "unnest_json_address_rows": (
+        f"(json STRING, fail_on_error BOOLEAN) RETURNS {_ADDR_T} RETURN "
+        f"CASE WHEN {_MALFORMED} AND fail_on_error THEN CAST({_RAISE} AS {_ADDR_T}) "
+        f"WHEN {_MALFORMED} THEN CAST(array() AS {_ADDR_T}) "
+        f"ELSE array(named_struct('street', {_field('street')}, 'postcode', {_field('postcode')}, "
+        f"'city', {_field('city')})) END"),
+    "normalize_json_array_rows": (
+        f"(json STRING, fail_on_error BOOLEAN) RETURNS {_MAIL_T} RETURN "
+        f"CASE WHEN {_MALFORMED} AND fail_on_error THEN CAST({_RAISE} AS {_MAIL_T}) "
+        "ELSE transform(coalesce(try_variant_get(try_parse_json(json), '$', 'array<variant>'), "
+        f"CAST(array() AS array<variant>)), (e, i) -> named_struct('email_index', i, 'email', {_ELEM})) END"),
     "unnest_json_address": (
         "(json STRING, fail_on_error BOOLEAN) RETURNS TABLE (street STRING, postcode STRING, city STRING) "
         f"RETURN SELECT {_field('street')}, {_field('postcode')}, {_field('city')} "

@@ -509,22 +509,27 @@ def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------- U-R (SQL surface)
 @query("json_address_sql")
 def json_address_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """U-R + U-T1 + J11 in SQL: the registered table function in LEFT JOIN LATERAL .. ON TRUE."""
+    """U-R + U-T1 + J11 in SQL: LEFT JOIN LATERAL .. ON TRUE written as the generator
+    ``LATERAL VIEW OUTER inline(..)`` over the function's array (no decorrelation
+    join, no shuffle; a SQL function cannot sit inside the generator itself)."""
     from rillet.functions.sql import register_sql_functions
     register_sql_functions(spark)
     fx.customers_json(spark, sf).createOrReplaceTempView("customers_json")
     return spark.sql("""
         SELECT c.customer_id, c.name, c.email, a.street, a.postcode, a.city
-        FROM customers_json c
-        LEFT JOIN LATERAL unnest_json_address(c.full_address, FALSE) a ON TRUE""")
+        FROM (SELECT *, unnest_json_address_rows(full_address, FALSE) AS address_rows
+              FROM customers_json) c
+        LATERAL VIEW OUTER inline(c.address_rows) a AS street, postcode, city""")
 
 
 @query("json_array_sql")
 def json_array_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """U-R + U-T2 + J12 in SQL: comma (cross) lateral join drops rows without e-mails."""
+    """U-R + U-T2 + J12 in SQL: CROSS JOIN LATERAL as ``LATERAL VIEW inline(..)``
+    (rows without e-mails are dropped)."""
     from rillet.functions.sql import register_sql_functions
     register_sql_functions(spark)
     fx.customer_emails_json(spark, sf).createOrReplaceTempView("customer_emails_json")
     return spark.sql("""
         SELECT c.customer_id, c.name, e.email_index, e.email
-        FROM customer_emails_json c, LATERAL normalize_json_array(c.emails, FALSE) e""")
+        FROM (SELECT *, normalize_json_array_rows(emails, FALSE) AS email_rows FROM customer_emails_json) c
+        LATERAL VIEW inline(c.email_rows) e AS email_index, email""")

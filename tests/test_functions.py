@@ -171,3 +171,10 @@ def test_sql_table_functions(sqlfn):
     assert sorted(tuple(r) for r in arr) == [(0, "a"), (1, "b")]
     with pytest.raises(Exception, match="Exception parsing JSON payload:"):
         sqlfn.sql("SELECT * FROM VALUES ('nope') AS t(j), LATERAL normalize_json_array(j, TRUE)").collect()
+
+
+def test_sql_lateral_view_has_no_shuffle(spark):
+    import __spark_entry__ as E
+    df = E.queries()["json_address_sql"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" in plan
