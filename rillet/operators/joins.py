@@ -14,9 +14,9 @@ Design rules used throughout:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.over import _seconds
@@ -150,20 +150,33 @@ def per_key_pair_counts(left: DataFrame, right: DataFrame, *, key: str, how: str
 
 # --------------------------------------------------------------------------- J6
 def lookup_join(left: DataFrame, table: DataFrame, *, left_key: Column, table_key: str,
-                value_cols: Sequence[str], alias: str = "search_results") -> DataFrame:
+                value_cols: Sequence[str], alias: str = "search_results",
+                derive: dict[str, Callable[[Column], Column]] | None = None,
+                keep_array: bool = True) -> DataFrame:
     """``KEY_SEARCH_AGG(table, DESCRIPTOR(key), expr)`` - one array of all matching rows.
 
     The lookup side is pre-grouped to one row per key (an array of structs,
     sorted for determinism), then left-joined; no match gives an empty array.
     The grouped side is broadcast only if its estimated size is small.
+    ``derive`` computes columns from the array once per *key* on the grouped
+    side (e.g. a count or a rendering) instead of once per left row; with
+    ``keep_array=False`` only those derived columns cross the join.
     """
     grouped = table.groupBy(F.col(table_key).alias("_lk")).agg(
         F.sort_array(F.collect_list(F.struct(*value_cols))).alias(alias))
+    empty = F.array().cast(grouped.schema[alias].dataType)
+    derive = derive or {}
+    grouped = grouped.select("_lk", *([alias] if keep_array else []),
+                             *[fn(F.col(alias)).alias(name) for name, fn in derive.items()])
     grouped = maybe_broadcast(grouped)
     l = left.withColumn("_lk", left_key)
     j = l.join(grouped, on="_lk", how="left")
-    empty = F.array().cast(grouped.schema[alias].dataType)
-    return j.withColumn(alias, F.coalesce(F.col(alias), empty)).drop("_lk")
+    # Unmatched rows: the derived value of an empty array.
+    for name, fn in derive.items():
+        j = j.withColumn(name, F.coalesce(F.col(name), fn(empty)))
+    if keep_array:
+        j = j.withColumn(alias, F.coalesce(F.col(alias), empty))
+    return j.drop("_lk")
 
 
 # --------------------------------------------------------------------------- J10
@@ -181,9 +194,3 @@ def latest_per_key(df: DataFrame, *, key: str | Sequence[str], order_cols: Seque
     ordering = F.struct(*[F.col(c) for c in order_cols])
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_r"))
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
-
-
-def window_rank_latest(df: DataFrame, *, key: str, order_cols: Sequence[str]) -> DataFrame:
-    """Same as :func:`latest_per_key` via ``row_number`` (kept for SQL parity)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

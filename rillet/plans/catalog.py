@@ -338,11 +338,10 @@ def lookup_join(spark: SparkSession, sf: str) -> DataFrame:
     c = fx.customers(spark, sf).select("customer_name", "date_of_birth")
     m = fx.movies(spark, sf)
     j = J.lookup_join(c, m, left_key=F.year("date_of_birth").cast("int"), table_key="year",
-                      value_cols=["title", "genres", "rated", "plot", "year"])
-    return j.select("customer_name", "date_of_birth",
-                    F.size("search_results").cast("bigint").alias("n_results"),
-                    F.array_join(F.transform("search_results", lambda s: s["title"]), "|")
-                    .alias("titles"))
+                      value_cols=["title", "genres", "rated", "plot", "year"], keep_array=False,
+                      derive={"n_results": lambda a: F.size(a).cast("bigint"),
+                              "titles": lambda a: F.array_join(F.transform(a, lambda s: s["title"]), "|")})
+    return j.select("customer_name", "date_of_birth", "n_results", "titles")
 
 
 # ----------------------------------------------------------------- C2 / C6

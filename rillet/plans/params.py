@@ -16,7 +16,7 @@ DUAL_WITHDRAW_THRESHOLD = 100        # reference 500
 DUAL_FX_THRESHOLD = 100              # reference 300
 TUMBLE_SIZE = "1 day"                # reference 1 minute
 TUMBLE_LAG_SIZE = "1 day"            # reference 1 minute
-SESSION_GAP = "6 hours"              # reference 5 seconds
+SESSION_GAP = "1 hour"               # reference 5 seconds (merchants see an event every ~1.4 h)
 INTERVAL_WIDTH = "3 days"            # reference 10 seconds
 TTL_BOTH = "2 days"                  # reference '2d'
 TTL_LEFT = "12 hours"                # reference 't' = 10 s
