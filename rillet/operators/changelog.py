@@ -101,3 +101,21 @@ def validated_insert(df: DataFrame, target_schema: dict[str, str], *, not_null:
     checks.update({f"null_{c}": F.col(c).isNotNull() for c in not_null})
     good, bad = split_valid(cast, checks)
     return good.drop(*[f"_raw_{c}" for c in target_schema]), bad
+
+
+def as_table(df: DataFrame, *, mode: str, key: str | Sequence[str] | None = None,
+             order_cols: Sequence[str] = ()) -> DataFrame:
+    """Read a table in ``append`` mode (every row) or ``upsert`` mode (current row per key)."""
+    if mode == "append":
+        return df
+    if mode == "upsert":
+        if key is None:
+            raise ValueError("upsert mode needs a primary key")
+        return latest_per_key(df, key=key, order_cols=order_cols)
+    raise ValueError(f"unknown changelog mode {mode!r}")
+
+
+def first_changes(changelog: DataFrame, *, order_cols: Sequence[str], n: int = 20) -> DataFrame:
+    """The first ``n`` records of a changelog in change order (a display
+    limit: the limit is the feature)."""
+    return changelog.orderBy(*order_cols).limit(n)

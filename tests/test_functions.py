@@ -178,3 +178,36 @@ def test_sql_lateral_view_has_no_shuffle(spark):
     df = E.queries()["json_address_sql"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "Generate" in plan
+
+
+def test_pandas_predictor_equals_rule_predictor(spark):
+    """The Python (Arrow-batched, load-once) predictor path gives the same
+    labels as the JVM rule predictor on the prompt text."""
+    from rillet.operators.inference import parse_prompt_rules, predict, rule_risk, transaction_prompt
+    from rillet.sources import fixtures as fx
+    t = fx.transactions(spark, "/root/testdata/sf0.001")
+    t = t.withColumn("prompt", transaction_prompt(F.col("amount"), F.col("transaction_type"), F.col("status"),
+                                                  F.col("merchant")))
+    loads = []
+
+    def loader():
+        loads.append(1)
+        return parse_prompt_rules
+    py = predict(t, F.col("prompt"), parse_prompt_rules, output_col="py", loader=loader)
+    both = predict(py, F.col("prompt"), rule_risk(F.col("amount"), F.col("transaction_type"), F.col("status"),
+                                                 F.col("merchant")), output_col="jvm")
+    rows = both.select("py", "jvm").collect()
+    assert rows and all(r.py == r.jvm for r in rows)
+    assert {r.jvm for r in rows} >= {"HIGH", "LOW"}
+
+
+def test_changelog_modes_and_display(spark):
+    from rillet.operators.changelog import as_table, changelog_view, first_changes
+    from rillet.sources import fixtures as fx
+    c = fx.customers(spark, "/root/testdata/sf0.001").select("account_number", "customer_name", "created_at")
+    assert as_table(c, mode="append").count() == c.count()
+    up = as_table(c, mode="upsert", key="account_number", order_cols=["created_at"])
+    assert up.count() == c.select("account_number").distinct().count()
+    log = changelog_view(c, key="account_number", order_cols=["created_at", "customer_name"])
+    first = first_changes(log, order_cols=["change_created_at", "change_seq"]).collect()
+    assert len(first) == 20 and first[0].op == "+I"
