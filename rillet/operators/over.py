@@ -44,7 +44,9 @@ def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str
     ``aggs`` maps output names to aggregate expressions (``F.sum('amount')``).
     Peers (rows with an equal timestamp) are inside the frame, as in SQL.
     ``slice_`` (default: 16 x range) sets the event-time slice length used to
-    split hot keys; any slice length gives the same result.
+    split hot keys; any slice length gives the same result.  Size it so one
+    key's rows in one slice fit a task; rows within ``range_`` of a slice
+    start are read twice, i.e. ``range_/slice_`` extra input.
     """
     keys = _cols(keys)
     r_us = _seconds(range_) * 1_000_000
