@@ -102,3 +102,23 @@ def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[
     w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     leads = [F.lead(v, k).over(w).alias(f"{v}_{k}") for k in range(1, n + 1) for v in values]
     return both.select("*", *leads).where(~F.col("_halo")).drop("_slice", "_halo")
+
+
+def suggest_slice(df: DataFrame, time_col: str, *, hot_fraction: float = 1 / 3,
+                  rows_per_task: int = 5_000_000, minimum: str = "1 second") -> str:
+    """Slice width such that a key holding ``hot_fraction`` of all rows puts at
+    most ``rows_per_task`` rows in one (key, slice) partition.
+
+    One partial aggregate (count, min, max of the time column) is run; the
+    result is three numbers.  Time-sliced scans are exact for any width, so
+    this only tunes task size: pass the result as ``slice_`` to the operators.
+    """
+    t = _epoch_us(F.col(time_col))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    n, lo, hi = row["n"], row["lo"], row["hi"]
+    floor_s = _seconds(minimum)
+    if not n or lo is None or hi <= lo:
+        return f"{max(floor_s, 86400)} seconds"
+    hot_rows_per_us = n * hot_fraction / (hi - lo)
+    width_s = int(rows_per_task / hot_rows_per_us / 1_000_000)
+    return f"{max(floor_s, width_s)} seconds"

@@ -73,3 +73,11 @@ def test_hot_key_patterns_match_plain(spark):
             .where("n >= 2"))
     assert sorted((r.success_time, r.failed_attempts) for r in got.collect()) == \
         sorted((r.st, r.n) for r in want.collect())
+
+
+def test_suggest_slice_bounds_hot_slices(spark):
+    from rillet.operators.scan import suggest_slice, with_slice
+    t = hot(spark)
+    width = suggest_slice(t, "timestamp", hot_fraction=1.0, rows_per_task=1000)
+    per_slice = with_slice(t, "timestamp", width).groupBy("account_number", "_slice").count()
+    assert per_slice.agg(F.max("count")).first()[0] <= 2000      # ~rows_per_task for uniform time
