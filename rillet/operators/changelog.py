@@ -18,7 +18,7 @@ INSERT, UPDATE_BEFORE, UPDATE_AFTER, DELETE = "+I", "-U", "+U", "-D"
 
 
 def changelog_view(df: DataFrame, *, key: str, order_cols: Sequence[str], time_col: str | None = None,
-                   op_col: str = "op") -> DataFrame:
+                   op_col: str = "op", slice_: str | None = None) -> DataFrame:
     """The changelog of an upsert stream keyed by ``key``.
 
     First row of a key -> ``+I``; every later row -> ``-U`` (the previous row)
@@ -27,7 +27,8 @@ def changelog_view(df: DataFrame, *, key: str, order_cols: Sequence[str], time_c
     cols = [c for c in df.columns]
     cur = F.struct(*[F.col(c) for c in cols])
     prev = previous_value(df.withColumn("_row", cur), keys=key, order_cols=list(order_cols),
-                          value=F.col("_row"), alias="_prev", time_col=time_col)
+                          value=F.col("_row"), alias="_prev", time_col=time_col,
+                          **({"slice_": slice_} if slice_ else {}))
     recs = F.when(F.col("_prev").isNull(), F.array(F.struct(F.lit(INSERT).alias(op_col), F.col("_row").alias("r"))))\
         .otherwise(F.array(F.struct(F.lit(UPDATE_BEFORE).alias(op_col), F.col("_prev").alias("r")),
                            F.struct(F.lit(UPDATE_AFTER).alias(op_col), F.col("_row").alias("r"))))

@@ -19,18 +19,19 @@ from rillet.operators.scan import next_rows, running_total, running_totals
 M1_BLOCK_ROWS = 1024
 
 
-def _run_ids(df: DataFrame, *, key: str, time_col: str, tiebreak: str, is_a: F.Column) -> DataFrame:
+def _run_ids(df: DataFrame, *, key: str, time_col: str, tiebreak: str, is_a: F.Column,
+             slice_: str | None = None) -> DataFrame:
     """Number the runs of consecutive ``is_a`` rows per key: ``_g`` = count of
     non-``is_a`` rows up to and including this row.  A run of ``is_a`` rows
     shares ``_g``; the row ending it has ``_g + 1``."""
     flag = F.when(F.coalesce(is_a, F.lit(False)), 0).otherwise(1)
     return running_total(df, keys=key, order_cols=[time_col, tiebreak], value=flag, alias="_g",
-                         time_col=time_col)
+                         time_col=time_col, **({"slice_": slice_} if slice_ else {}))
 
 
 # --------------------------------------------------------------------------- M3
 def escalating(df: DataFrame, *, key: str, time_col: str, value_col: str, within: str,
-               tiebreak: str) -> DataFrame:
+               tiebreak: str, slice_: str | None = None) -> DataFrame:
     """M3: ``PATTERN (A B C)``, ``B.v > A.v``, ``C.v > B.v``, WITHIN, SKIP TO NEXT ROW.
 
     Overlapping matches are allowed, so each row is tested independently with
@@ -39,7 +40,7 @@ def escalating(df: DataFrame, *, key: str, time_col: str, value_col: str, within
     w_us = _seconds(within) * 1_000_000
     x = next_rows(df.select(key, time_col, tiebreak, value_col), keys=key,
                   order_cols=[time_col, tiebreak], time_col=time_col, within=within,
-                  values=[value_col, time_col], n=2)
+                  values=[value_col, time_col], n=2, slice_=slice_)
     t0 = F.unix_micros(F.col(time_col).cast("timestamp"))
     t2 = F.unix_micros(F.col(f"{time_col}_2").cast("timestamp"))
     m = x.where((F.col(f"{value_col}_1") > F.col(value_col)) & (F.col(f"{value_col}_2") > F.col(f"{value_col}_1"))
@@ -52,7 +53,8 @@ def escalating(df: DataFrame, *, key: str, time_col: str, value_col: str, within
 # --------------------------------------------------------------------------- M2
 def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: str, status_col: str,
                           within: str, failed: str = "Failed", success: str = "Successful",
-                          min_failed: int = 2, carry: list[str] | None = None) -> DataFrame:
+                          min_failed: int = 2, carry: list[str] | None = None,
+                          slice_: str | None = None) -> DataFrame:
     """M2: ``PATTERN (FAILED{2,} SUCCESS)`` greedy, WITHIN, SKIP PAST LAST ROW.
 
     A match ends at a success row; its failures are the run right before it,
@@ -61,7 +63,8 @@ def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: s
     """
     carry = carry or []
     w_us = _seconds(within) * 1_000_000
-    g = _run_ids(df, key=key, time_col=time_col, tiebreak=tiebreak, is_a=F.col(status_col) == failed)
+    g = _run_ids(df, key=key, time_col=time_col, tiebreak=tiebreak, is_a=F.col(status_col) == failed,
+                 slice_=slice_)
     fails = g.where(F.col(status_col) == failed).select(key, "_g", F.col(time_col).alias("_ft"))
     succ = g.where(F.col(status_col) == success).select(
         key, (F.col("_g") - 1).alias("_g"), F.col(time_col).alias("success_time"), *carry)
@@ -76,7 +79,7 @@ def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: s
 # --------------------------------------------------------------------------- M1
 def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str, status_col: str,
                       within: str, failed: str = "Failed", size: int = 3,
-                      block_rows: int = M1_BLOCK_ROWS) -> DataFrame:
+                      block_rows: int = M1_BLOCK_ROWS, slice_: str | None = None) -> DataFrame:
     """M1: ``PATTERN (F{3,}?)`` reluctant, WITHIN, SKIP PAST LAST ROW.
 
     Reluctant + skip-past-last means exactly ``size`` rows per match, found by
@@ -97,12 +100,13 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     # One pass: _g numbers the failure runs, _nf counts failures so far (its
     # order inside a run is the run order, so blocks are ranges of _nf).
     g = running_totals(df, keys=key, order_cols=[time_col, tiebreak], time_col=time_col,
-                       values={"_g": F.when(is_f, 0).otherwise(1), "_nf": F.when(is_f, 1).otherwise(0)})
+                       values={"_g": F.when(is_f, 0).otherwise(1), "_nf": F.when(is_f, 1).otherwise(0)},
+                       **({"slice_": slice_} if slice_ else {}))
     fails = g.where(is_f).select(F.col(key).alias("_k"), "_g", "_nf", F.col(time_col).alias("_t"),
                                  F.col(tiebreak).alias("_tb"))
     # Second-next failure of the account; it is in the same run iff its _g matches.
     nx = next_rows(fails, keys="_k", order_cols=["_t", "_tb"], time_col="_t", within=within,
-                   values=["_t", "_g"], n=2)
+                   values=["_t", "_g"], n=2, slice_=slice_)
     ok = F.coalesce((F.col("_g_2") == F.col("_g")) & (
         F.unix_micros(F.col("_t_2").cast("timestamp")) - F.unix_micros(F.col("_t").cast("timestamp"))
         <= F.lit(w_us)), F.lit(False))

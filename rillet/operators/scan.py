@@ -83,17 +83,19 @@ def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
 
 
 def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str], time_col: str,
-              within: str, values: Sequence[str], n: int = 2) -> DataFrame:
+              within: str, values: Sequence[str], n: int = 2, slice_: str | None = None) -> DataFrame:
     """``LEAD(v, 1..n)`` for rows whose n-th successor lies within ``within`` of them.
 
     Slices get a forward halo of ``within``: every successor that can satisfy
     the bound is in the same (key, slice) partition, so the leads are exact
     whenever the bound holds and NULL-or-out-of-bound otherwise.  Callers must
-    test the bound on the returned lead times.
+    test the bound on the returned lead times.  The slice is never shorter than
+    ``within`` (the halo reaches one slice ahead).
     """
     keys = _cols(keys)
     w_us = _seconds(within) * 1_000_000
-    s_us = max(16 * w_us, _seconds(DEFAULT_SLICE) * 1_000_000)
+    s_us = (max(_seconds(slice_) * 1_000_000, w_us) if slice_
+            else max(16 * w_us, _seconds(DEFAULT_SLICE) * 1_000_000))
     t = _epoch_us(F.col(time_col))
     base = df.withColumn("_slice", F.floor(t / F.lit(s_us))).withColumn("_halo", F.lit(False))
     halo = (base.where(t < F.col("_slice") * F.lit(s_us) + F.lit(w_us))

@@ -81,3 +81,19 @@ def test_suggest_slice_bounds_hot_slices(spark):
     width = suggest_slice(t, "timestamp", hot_fraction=1.0, rows_per_task=1000)
     per_slice = with_slice(t, "timestamp", width).groupBy("account_number", "_slice").count()
     assert per_slice.agg(F.max("count")).first()[0] <= 2000      # ~rows_per_task for uniform time
+
+
+def test_patterns_with_small_slices_match_defaults(spark):
+    from rillet.operators.patterns import escalating, min_run_reluctant
+    pay = fx.transactions(spark, SF).where(F.col("transaction_type") == "payment")
+    a = min_run_reluctant(pay, key="account_number", time_col="timestamp", tiebreak="txn_id", status_col="status",
+                          within="3 days")
+    b = min_run_reluctant(pay, key="account_number", time_col="timestamp", tiebreak="txn_id", status_col="status",
+                          within="3 days", slice_="5 hours", block_rows=3)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    wd = fx.transactions(spark, SF).where(F.col("transaction_type") == "withdrawal")
+    c = escalating(wd, key="account_number", time_col="timestamp", value_col="amount", within="3 days",
+                   tiebreak="txn_id")
+    d = escalating(wd, key="account_number", time_col="timestamp", value_col="amount", within="3 days",
+                   tiebreak="txn_id", slice_="1 hour")
+    assert c.count() > 0 and c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
