@@ -24,6 +24,8 @@ def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str
     file-level record metadata (``_metadata``: path, size, modification time,
     row index), the file-source counterpart of Kafka's metadata columns.
     """
+    if fmt == "kafka":
+        return _open_kafka(spark, path, stream=stream, startup=startup, with_metadata=with_metadata)
     if stream:
         r = spark.readStream.format(fmt).schema(schema or spark.read.format(fmt).load(path).schema)
         if max_files_per_trigger:
@@ -42,6 +44,30 @@ def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str
     return df
 
 
+def _open_kafka(spark: SparkSession, topic: str, *, stream: bool, startup: str, with_metadata: bool,
+                servers: str | None = None) -> DataFrame:
+    """Kafka form of :func:`open_table` (needs the Kafka connector on the classpath;
+    ``spark.rillet.kafka.bootstrap`` names the brokers).  ``startup`` maps to
+    ``startingOffsets`` (``earliest``/``latest`` or a JSON offset map, e.g. from
+    :func:`rillet.streaming.sinks.committed_offsets`)."""
+    servers = servers or spark.conf.get("spark.rillet.kafka.bootstrap", None)
+    start = {"earliest-offset": "earliest", "latest-offset": "latest"}.get(startup, startup)
+    r = (spark.readStream if stream else spark.read).format("kafka")
+    r = r.option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", start)
+    if with_metadata:
+        r = r.option("includeHeaders", "true")
+    df = r.load()
+    if not with_metadata:
+        return df.select("key", "value")
+    return df.select("key", "value",
+                     F.map_from_entries("headers").alias("record_headers"),
+                     F.col("offset").alias("record_offset"), F.col("partition").alias("record_partition"),
+                     F.col("key").alias("record_key"), F.col("value").alias("record_value"),
+                     F.col("timestamp").alias("record_timestamp"),
+                     F.col("timestampType").cast("string").alias("record_timestamp_type"),
+                     F.col("topic").alias("record_topic"))
+
+
 def events_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int = 1) -> DataFrame:
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     return (spark.readStream.format("parquet").schema(schema)
