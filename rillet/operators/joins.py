@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.over import _seconds
+from rillet.operators.stats import estimated_bytes
 
 # Sides estimated below this many bytes may be broadcast explicitly.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -29,15 +30,6 @@ def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` in bytes (no job is run)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - Connect sessions have no _jdf
-        return None
-
-
 def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``broadcast(df)`` only when its estimated size is known and below ``limit``."""
     size = estimated_bytes(df)
@@ -49,7 +41,7 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
 # --------------------------------------------------------------------------- J1
 def temporal_join(left: DataFrame, versions: DataFrame, *, key: str, left_time: str,
                   version_time: str, version_cols: Sequence[str], tiebreak: str | None = None,
-                  slice_: str = "1 day") -> DataFrame:
+                  slice_: str | None = None) -> DataFrame:
     """``left JOIN versions FOR SYSTEM_TIME AS OF left.time`` (inner).
 
     Each left row receives the latest version with ``version_time <= left_time``

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillet.operators.stats import fits_one_task
+
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -44,14 +46,19 @@ def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str
     ``aggs`` maps output names to aggregate expressions (``F.sum('amount')``).
     Peers (rows with an equal timestamp) are inside the frame, as in SQL.
     ``slice_`` (default: 16 x range) sets the event-time slice length used to
-    split hot keys; any slice length gives the same result.  Size it so one
+    split hot keys; any slice length gives the same result.  With no slice and
+    an input that fits one task (:func:`rillet.operators.stats.fits_one_task`)
+    the plain per-key window is used.  Size it so one
     key's rows in one slice fit a task; rows within ``range_`` of a slice
     start are read twice, i.e. ``range_/slice_`` extra input.
     """
     keys = _cols(keys)
     r_us = _seconds(range_) * 1_000_000
-    s_us = _seconds(slice_) * 1_000_000 if slice_ else 16 * r_us
     t = _epoch_us(F.col(time_col))
+    if slice_ is None and fits_one_task(df):
+        w = Window.partitionBy(*keys).orderBy(t).rangeBetween(-r_us, Window.currentRow)
+        return df.select("*", *[expr.over(w).alias(name) for name, expr in aggs.items()])
+    s_us = _seconds(slice_) * 1_000_000 if slice_ else 16 * r_us
     base = df.withColumn("_t", t).withColumn("_slice", F.floor(F.col("_t") / F.lit(s_us)))
     # Rows within `range` of the next slice's start are also copied there as halo.
     next_start = (F.col("_slice") + 1) * F.lit(s_us)
@@ -92,7 +99,7 @@ def running_count(df: DataFrame, *, keys: str | Sequence[str], time_col: str, ra
 
 
 def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
-                  value_cols: Sequence[str], prefix: str = "last_", slice_: str = "1 day",
+                  value_cols: Sequence[str], prefix: str = "last_", slice_: str | None = None,
                   time_col: str | None = None) -> DataFrame:
     """``LAST_VALUE(c IGNORE NULLS) OVER (PARTITION BY keys ORDER BY .. ROWS UNBOUNDED
     PRECEDING)`` for each value column, one output row per input row.
@@ -101,11 +108,17 @@ def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
     inside each (key, time slice); (2) per slice a one-row summary of the last
     non-NULL value of every column, carried forward over slices with the same
     window (one row per slice, tiny); (3) combine ``coalesce(local, carry)``.
-    ``order_cols[0]`` (or ``time_col``) must be the event time.
+    ``order_cols[0]`` (or ``time_col``) must be the event time.  ``slice_``
+    defaults to 1 day; with no slice and a small input the plain window is used.
     """
     keys = _cols(keys)
     time_col = time_col or order_cols[0]
-    s_us = _seconds(slice_) * 1_000_000
+    if slice_ is None and fits_one_task(df):
+        w = (Window.partitionBy(*keys).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.select(*[F.col(c) for c in df.columns],
+                         *[F.last(c, ignorenulls=True).over(w).alias(f"{prefix}{c}") for c in value_cols])
+    s_us = _seconds(slice_ or "1 day") * 1_000_000
     base = df.withColumn("_slice", F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)))
     local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

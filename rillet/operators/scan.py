@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.operators.over import _epoch_us, _seconds
+from rillet.operators.stats import fits_one_task
 
 DEFAULT_SLICE = "1 day"
 
@@ -33,7 +34,7 @@ def with_slice(df: DataFrame, time_col: str, slice_: str) -> DataFrame:
 
 def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                    values: dict[str, Column], time_col: str | None = None,
-                   slice_: str = DEFAULT_SLICE) -> DataFrame:
+                   slice_: str | None = None) -> DataFrame:
     """``SUM(v) OVER (PARTITION BY keys ORDER BY order_cols ROWS UNBOUNDED PRECEDING)``
     for each ``alias -> v`` in ``values`` (non-negative v), in one pass.
 
@@ -42,8 +43,12 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     """
     keys = _cols(keys)
     names = list(values)
+    if slice_ is None and fits_one_task(df):
+        w = (Window.partitionBy(*keys).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.select("*", *[F.sum(v).over(w).alias(n) for n, v in values.items()])
     base = with_slice(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]),
-                      time_col or order_cols[0], slice_)
+                      time_col or order_cols[0], slice_ or DEFAULT_SLICE)
     local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_v_{n}").over(local_w).alias(f"_loc_{n}") for n in names])
@@ -58,7 +63,7 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
 
 def running_total(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                   value: Column, alias: str, time_col: str | None = None,
-                  slice_: str = DEFAULT_SLICE) -> DataFrame:
+                  slice_: str | None = None) -> DataFrame:
     """Single-value form of :func:`running_totals`."""
     return running_totals(df, keys=keys, order_cols=order_cols, values={alias: value},
                           time_col=time_col, slice_=slice_)
@@ -66,11 +71,13 @@ def running_total(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
 
 def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                    value: Column, alias: str, time_col: str | None = None,
-                   slice_: str = DEFAULT_SLICE) -> DataFrame:
+                   slice_: str | None = None) -> DataFrame:
     """``LAG(value, 1) OVER (PARTITION BY keys ORDER BY order_cols)`` for non-NULL ``value``
     (wrap nullable values in a struct)."""
     keys = _cols(keys)
-    base = with_slice(df.withColumn("_v", value), time_col or order_cols[0], slice_)
+    if slice_ is None and fits_one_task(df):
+        return df.withColumn(alias, F.lag(value, 1).over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    base = with_slice(df.withColumn("_v", value), time_col or order_cols[0], slice_ or DEFAULT_SLICE)
     local_w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     local = base.withColumn("_loc", F.lag("_v", 1).over(local_w))
     ordering = F.struct(*[F.col(c) for c in order_cols])
@@ -94,6 +101,9 @@ def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[
     """
     keys = _cols(keys)
     w_us = _seconds(within) * 1_000_000
+    if slice_ is None and fits_one_task(df):
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        return df.select("*", *[F.lead(v, k).over(w).alias(f"{v}_{k}") for k in range(1, n + 1) for v in values])
     s_us = (max(_seconds(slice_) * 1_000_000, w_us) if slice_
             else max(16 * w_us, _seconds(DEFAULT_SLICE) * 1_000_000))
     t = _epoch_us(F.col(time_col))

@@ -1,0 +1,27 @@
+"""Optimizer size estimates used to choose plans (no job is run)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Inputs estimated at or below this size use plain per-key windows: no key can
+# hold more than the whole input, so a single task per key is already bounded.
+# Above it, ordered scans are split into (key, time slice) partitions.
+SKEW_SAFE_MIN_BYTES = 512 * 1024 * 1024
+CONF_KEY = "spark.rillet.skewSafeMinBytes"
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of ``df`` in bytes."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # pragma: no cover - Connect sessions have no _jdf
+        return None
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True when the whole input is small enough that per-key skew cannot hurt."""
+    limit = int(df.sparkSession.conf.get(CONF_KEY, str(SKEW_SAFE_MIN_BYTES)))
+    size = estimated_bytes(df)
+    return size is not None and size <= limit

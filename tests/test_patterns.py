@@ -85,7 +85,7 @@ def secs(ts):
 def test_m1_matches_brute_force(spark, rows):
     df = frame(spark, rows)
     got = min_run_reluctant(df, key="acct", time_col="ts", tiebreak="txn_id", status_col="status",
-                            within="3 hours", block_rows=2).collect()
+                            within="3 hours", block_rows=2, slice_="4 hours").collect()
     assert sorted((r.acct, secs(r.first_failed_time), secs(r.last_failed_time)) for r in got) == brute_m1(rows)
 
 
@@ -94,7 +94,7 @@ def test_m1_matches_brute_force(spark, rows):
 def test_m2_matches_brute_force(spark, rows):
     df = frame(spark, rows)
     got = failures_then_success(df, key="acct", time_col="ts", tiebreak="txn_id", status_col="status",
-                                within="3 hours").collect()
+                                within="3 hours", slice_="2 hours").collect()
     assert sorted((r.acct, r.failed_attempts, secs(r.first_attempt_time), secs(r.success_time))
                   for r in got) == brute_m2(rows)
 
@@ -104,7 +104,7 @@ def test_m2_matches_brute_force(spark, rows):
 def test_m3_matches_brute_force(spark, rows):
     df = frame(spark, rows)
     got = escalating(df, key="acct", time_col="ts", value_col="amount", within="3 hours",
-                     tiebreak="txn_id").collect()
+                     tiebreak="txn_id", slice_="3 hours").collect()
     assert sorted((r.acct, r.first_amount, r.second_amount, r.third_amount) for r in got) == brute_m3(rows)
 
 
@@ -128,7 +128,7 @@ def test_temporal_join_matches_brute_force(spark, left_rows, version_rows):
 @given(events)
 def test_changelog_view_matches_brute_force(spark, rows):
     df = frame(spark, rows).select("acct", "ts", "txn_id")
-    got = changelog_view(df, key="acct", order_cols=["ts", "txn_id"], time_col="ts").collect()
+    got = changelog_view(df, key="acct", order_cols=["ts", "txn_id"], time_col="ts", slice_="2 hours").collect()
     want = []
     for a, seq in ordered(rows).items():
         prev = None

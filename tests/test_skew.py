@@ -58,11 +58,11 @@ def test_hot_key_running_count_unbounded_matches(spark):
 
 
 def test_hot_key_patterns_match_plain(spark):
-    """M2 on the hot account equals a plain single-window formulation."""
+    """M2 on the hot account (sliced plan) equals a plain single-window formulation."""
     from rillet.operators.patterns import failures_then_success
     pay = hot(spark).where(F.col("transaction_type") == "payment")
     got = failures_then_success(pay, key="account_number", time_col="timestamp", tiebreak="txn_id",
-                                status_col="status", within="3 days")
+                                status_col="status", within="3 days", slice_="1 day")
     w = Window.partitionBy("account_number").orderBy("timestamp", "txn_id").rowsBetween(Window.unboundedPreceding, 0)
     g = pay.withColumn("g", F.sum(F.when(F.col("status") == "Failed", 0).otherwise(1)).over(w))
     f = g.where("status = 'Failed'").select("g", F.col("timestamp").alias("ft"))
