@@ -163,3 +163,18 @@ def test_sliced_last_value_matches_plain_window(spark, rows):
     w = Window.partitionBy("acct").orderBy("ts", "txn_id").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("last_v", F.last("v", ignorenulls=True).over(w))
     assert sorted((r.txn_id, r.last_v) for r in got.collect()) == sorted((r.txn_id, r.last_v) for r in want.collect())
+
+
+@SET
+@given(events, events, st.integers(-6, 6), st.integers(0, 8))
+def test_interval_join_matches_brute_force(spark, left_rows, right_rows, lo_steps, width_steps):
+    """J2/J4/J5 with random signed bounds (30-minute steps), exact edges included."""
+    from rillet.operators.joins import interval_join
+    lo, hi = lo_steps * 1800, (lo_steps + width_steps) * 1800
+    left = frame(spark, left_rows).select("txn_id", "acct", "ts")
+    right = frame(spark, right_rows).select(F.col("txn_id").alias("rid"), "acct", F.col("ts").alias("rt"))
+    fmt = lambda s: f"-{-s} seconds" if s < 0 else f"{s} seconds"
+    got = interval_join(left, right, key="acct", left_time="ts", right_time="rt", lower=fmt(lo), upper=fmt(hi))
+    want = [(f"{i:04d}", f"{j:04d}") for i, (a, t, _, _) in enumerate(left_rows)
+            for j, (b, u, _, _) in enumerate(right_rows) if a == b and u * 1800 + lo <= t * 1800 <= u * 1800 + hi]
+    assert sorted((r.txn_id, r.rid) for r in got.collect()) == sorted(want)
