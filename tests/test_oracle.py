@@ -60,7 +60,7 @@ def sliced(spark):
     spark.conf.unset(CONF_KEY)
 
 
-SLICED = ["over_running_sum", "over_running_count", "flagged_withdrawals", "dual_window_flags",
+SLICED = ["session_count", "over_running_sum", "over_running_count", "flagged_withdrawals", "dual_window_flags",
           "dual_window_flags_joined", "latest_values_union", "temporal_join", "changelog_view", "classify_risk",
           "match_failed3", "match_failed_then_success", "match_escalating"]
 
