@@ -158,13 +158,27 @@ def files_already_read(spark: SparkSession, checkpoint: str, source: int = 0) ->
     return sorted(set(files))
 
 
+def consumed_files(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFrame:
+    """The files a stopped file-source query consumed, read from its source
+    log (``sources/<n>``, including compacted batches) as a DataFrame."""
+    log = spark.read.text(f"{checkpoint.rstrip('/')}/sources/{source}")
+    path = F.get_json_object("value", "$.path")
+    return log.where(path.isNotNull()).select(_norm_path(path).alias("_consumed")).distinct()
+
+
+def _norm_path(p):
+    return F.regexp_replace(p, r"^file:/+", "/")
+
+
 def carry_over_file_stream(spark: SparkSession, path: str, schema, old_checkpoint: str, fmt: str = "parquet"
                            ) -> DataFrame:
     """A new file stream that starts where the stopped one ended: files already
-    consumed by ``old_checkpoint`` are excluded (state is not carried)."""
-    seen = {os.path.basename(p) for p in files_already_read(spark, old_checkpoint)}
+    consumed by ``old_checkpoint`` are excluded (state is not carried).
+
+    The exclusion is a stream-static left-anti join against the old source log,
+    so no file list passes through the driver however long the old query ran.
+    """
     df = spark.readStream.format(fmt).schema(schema).load(path)
-    if not seen:
-        return df
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return df.where(~name.isin(*sorted(seen)))
+    seen = consumed_files(spark, old_checkpoint)
+    cur = df.withColumn("_file", _norm_path(F.col("_metadata.file_path")))
+    return cur.join(seen, cur["_file"] == seen["_consumed"], "left_anti").drop("_file")

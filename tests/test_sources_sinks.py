@@ -81,6 +81,7 @@ def test_carry_over_offsets(spark, stream_dir):
     assert K.committed_offsets(spark, f"{d}/ck1")["batch_id"] >= 0
     seen = K.files_already_read(spark, f"{d}/ck1")
     assert len(seen) == len([p for p in os.listdir(f"{stream_dir}/in")])
+    assert K.consumed_files(spark, f"{d}/ck1").count() == len(seen)
     again = K.carry_over_file_stream(spark, files_glob(stream_dir), schema, f"{d}/ck1")
     q = again.writeStream.format("memory").queryName("c12").option("checkpointLocation", f"{d}/ck2") \
         .trigger(availableNow=True).start()
