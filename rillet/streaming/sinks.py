@@ -9,7 +9,6 @@ an executor or driver loss are idempotent.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession

@@ -1,13 +1,11 @@
 """Batch-vs-stream: the same events written as time-ordered files, read one
 file per micro-batch, with a final heartbeat event that moves the watermark
 past everything; the stream's output must equal the batch form."""
-import os
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from rillet.operators.over import running_sum_flag
 from rillet.plans import catalog as C
 from rillet.sources import fixtures as fx
 from rillet.streaming import operators as S
