@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rillet.operators.over import _seconds
 from rillet.operators.scan import next_rows, running_total, running_totals
+from rillet.operators.stats import fits_one_task
 
 # Rows of one failure run scanned as one array in the M1 scan (bounds task memory
 # and the per-block match list).
@@ -77,6 +78,44 @@ def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: s
 
 
 # --------------------------------------------------------------------------- M1
+# Entry states of consecutive blocks are a prefix composition of 3-state
+# transition functions.  Each level groups at most FOLD_FANOUT units, so no
+# collected array grows with the run; FOLD_LEVELS levels cover runs of up to
+# FOLD_FANOUT ** FOLD_LEVELS blocks.
+FOLD_FANOUT = 1024
+FOLD_LEVELS = 3
+
+
+def _step(trans: F.Column, d: F.Column) -> F.Column:
+    return F.element_at(F.array(trans["_x0"], trans["_x1"], trans["_x2"]), d + 1)
+
+
+def _entry_states(units: DataFrame, run_keys: list[str], unit_col: str, levels: int) -> DataFrame:
+    """``units``: (run_keys, unit_col, _x0, _x1, _x2) = exit state of each unit for
+    entry states 0/1/2.  Returns (run_keys, unit_col, _e): the entry state of each
+    unit when the run starts in state 0."""
+    item = F.struct(F.col(unit_col).alias("u"), "_x0", "_x1", "_x2")
+    if levels <= 1:
+        runs = units.groupBy(*run_keys).agg(F.sort_array(F.collect_list(item)).alias("_ch"))
+        start = F.lit(0)
+    else:
+        par = F.floor(F.col(unit_col) / F.lit(FOLD_FANOUT)).cast("bigint")
+        runs = units.withColumn("_par", par).groupBy(*run_keys, "_par").agg(
+            F.sort_array(F.collect_list(item)).alias("_ch"))
+        # Composed transition of each parent: fold its children, no arrays built.
+        comp = runs.select(*run_keys, "_par", *[
+            F.aggregate("_ch", F.lit(e), lambda d, b: _step(b, d)).alias(f"_x{e}") for e in range(3)])
+        parent_entry = _entry_states(comp, run_keys, "_par", levels - 1)
+        runs = runs.join(parent_entry, on=[*run_keys, "_par"], how="inner")
+        start = F.col("_e")
+    init = F.struct(start.alias("d"), F.array().cast("array<struct<u:bigint,e:int>>").alias("es"))
+    fold = F.aggregate("_ch", init, lambda acc, b: F.struct(
+        _step(b, acc["d"]).alias("d"),
+        F.concat(acc["es"], F.array(F.struct(b["u"].cast("bigint").alias("u"), acc["d"].alias("e")))).alias("es")))
+    return (runs.select(*run_keys, F.inline(fold["es"]))
+            .withColumnRenamed("u", unit_col).withColumnRenamed("e", "_e"))
+
+
 def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str, status_col: str,
                       within: str, failed: str = "Failed", size: int = 3,
                       block_rows: int = M1_BLOCK_ROWS, slice_: str | None = None) -> DataFrame:
@@ -89,9 +128,10 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     The scan is sequential with a 3-value state d (rows still covered by the
     previous match).  Each run is cut into blocks of ``block_rows``; every
     block is scanned JVM-side (``aggregate`` over its sorted rows) for all 3
-    possible entry states, the entry state of each block is folded from the
-    small per-block exit table, and the matching variant is kept.  No task
-    holds more than one block of rows.
+    possible entry states, the entry state of each block is a prefix
+    composition of the per-block exit table (:func:`_entry_states`, at most
+    ``FOLD_FANOUT`` units per group and level), and the matching variant is
+    kept.  No task holds more than one block of rows.
     """
     if size != 3:
         raise ValueError("only the reference's F{3,}? pattern is supported")
@@ -126,15 +166,9 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
             .otherwise(F.struct(F.greatest(acc["d"] - 1, F.lit(0)).alias("d"), acc["m"].alias("m"))))
 
     scanned = blocks.select("_k", "_g", "_blk", *[scan(e).alias(f"_s{e}") for e in range(3)])
-    # Fold entry states over the blocks of a run (one small struct per block).
-    folded = scanned.groupBy("_k", "_g").agg(F.sort_array(F.collect_list(F.struct(
-        "_blk", *[F.col(f"_s{e}.d").alias(f"_x{e}") for e in range(3)]))).alias("_bl"))
-    init = F.struct(F.lit(0).alias("d"), F.array().cast("array<struct<blk:bigint,e:int>>").alias("es"))
-    fold = F.aggregate("_bl", init, lambda acc, b: F.struct(
-        F.element_at(F.array(b["_x0"], b["_x1"], b["_x2"]), acc["d"] + 1).alias("d"),
-        F.concat(acc["es"], F.array(F.struct(b["_blk"].alias("blk"), acc["d"].alias("e")))).alias("es")))
-    entries = (folded.select("_k", "_g", F.inline(fold["es"]))
-               .withColumnRenamed("blk", "_blk").withColumnRenamed("e", "_e"))
+    exits = scanned.select("_k", "_g", "_blk", *[F.col(f"_s{e}.d").alias(f"_x{e}") for e in range(3)])
+    levels = 1 if fits_one_task(df) else FOLD_LEVELS
+    entries = _entry_states(exits, ["_k", "_g"], "_blk", levels)
     picked = scanned.join(entries, on=["_k", "_g", "_blk"], how="inner").select(
         "_k", F.explode(F.element_at(F.array(*[F.col(f"_s{e}.m") for e in range(3)]), F.col("_e") + 1)).alias("_m"))
     return picked.select(F.col("_k").alias(key), F.col("_m.t0").alias("first_failed_time"),
