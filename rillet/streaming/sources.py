@@ -1,7 +1,8 @@
-"""Streaming sources: file streams of the fixture tables and rate generators.
+"""Stream fixtures: the workshop tables read as file streams with watermarks.
 
-``open_table`` is the single entry point a user's query starts from (S5/S6):
-batch or stream, start position, record metadata columns.
+Table opening (S5-S7) lives in :mod:`rillet.sources.tables` and the
+generators (S1-S4) in :mod:`rillet.sources.generators`; both are re-exported
+here for convenience.
 """
 
 from __future__ import annotations
@@ -10,62 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.sources import fixtures as fx
-
-
-def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str = "parquet",
-               schema=None, startup: str = "earliest-offset", start_time: str | None = None,
-               time_col: str | None = None, with_metadata: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Open a table as a bounded snapshot or an unbounded stream.
-
-    ``startup='latest-offset'`` on a file stream skips the files present at
-    start (``latestFirst`` + ``maxFileAge``); ``start_time`` filters on
-    ``time_col`` (file sources have no offsets).  ``with_metadata`` adds the
-    file-level record metadata (``_metadata``: path, size, modification time,
-    row index), the file-source counterpart of Kafka's metadata columns.
-    """
-    if fmt == "kafka":
-        return _open_kafka(spark, path, stream=stream, startup=startup, with_metadata=with_metadata)
-    if stream:
-        r = spark.readStream.format(fmt).schema(schema or spark.read.format(fmt).load(path).schema)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        if startup == "latest-offset":
-            r = r.option("latestFirst", "true").option("maxFileAge", "1s")
-        df = r.load(path)
-    else:
-        df = spark.read.format(fmt).load(path)
-    if start_time and time_col:
-        df = df.where(F.col(time_col) >= F.lit(start_time).cast(df.schema[time_col].dataType))
-    if with_metadata:
-        df = df.select("*", F.col("_metadata.file_path").alias("record_file"),
-                       F.col("_metadata.file_modification_time").alias("record_timestamp"),
-                       F.col("_metadata.row_index").alias("record_offset"))
-    return df
-
-
-def _open_kafka(spark: SparkSession, topic: str, *, stream: bool, startup: str, with_metadata: bool,
-                servers: str | None = None) -> DataFrame:
-    """Kafka form of :func:`open_table` (needs the Kafka connector on the classpath;
-    ``spark.rillet.kafka.bootstrap`` names the brokers).  ``startup`` maps to
-    ``startingOffsets`` (``earliest``/``latest`` or a JSON offset map, e.g. from
-    :func:`rillet.streaming.sinks.committed_offsets`)."""
-    servers = servers or spark.conf.get("spark.rillet.kafka.bootstrap", None)
-    start = {"earliest-offset": "earliest", "latest-offset": "latest"}.get(startup, startup)
-    r = (spark.readStream if stream else spark.read).format("kafka")
-    r = r.option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", start)
-    if with_metadata:
-        r = r.option("includeHeaders", "true")
-    df = r.load()
-    if not with_metadata:
-        return df.select("key", "value")
-    return df.select("key", "value",
-                     F.map_from_entries("headers").alias("record_headers"),
-                     F.col("offset").alias("record_offset"), F.col("partition").alias("record_partition"),
-                     F.col("key").alias("record_key"), F.col("value").alias("record_value"),
-                     F.col("timestamp").alias("record_timestamp"),
-                     F.col("timestampType").cast("string").alias("record_timestamp_type"),
-                     F.col("topic").alias("record_topic"))
+from rillet.sources.generators import (customer_emails_generator, customer_queries_generator,  # noqa: F401
+                                       customers_generator, transactions_generator)
+from rillet.sources.tables import open_table  # noqa: F401
 
 
 def events_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int = 1) -> DataFrame:
@@ -90,91 +38,3 @@ def customers_stream(spark: SparkSession, path: str, sf_dir: str, *, delay: str
                                  spark, sf_dir)
     c = c.withColumn("created_at", F.col("created_at").cast("timestamp"))
     return c if delay is None else c.withWatermark("created_at", delay)
-
-
-# --------------------------------------------------------------------- S1-S4
-def _gen(id_col, seed: int, options: list[str]):
-    return fx.pick(options, F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(len(options))))
-
-
-def transactions_generator(spark: SparkSession, *, rows: int | None = None, rows_per_second: int = 3,
-                           seed: int = 42) -> DataFrame:
-    """The transaction generator, bounded (``spark.range(rows)``) or a ``rate`` stream.
-
-    Weights as the reference's option lists: type payment 3 : refund 1 :
-    withdrawal 1, status Successful 2 : Failed 1, accounts ACC1000000..ACC1000010.
-    """
-    if rows is not None:
-        base = spark.range(rows).select(F.col("id"), F.current_timestamp().alias("ts"))
-    else:
-        base = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-                .select(F.col("value").alias("id"), F.col("timestamp").alias("ts")))
-    i = F.col("id")
-    h = F.xxhash64(i, F.lit(seed))
-    return base.select(
-        F.sha2(F.concat(i.cast("string"), F.lit(str(seed))), 256).substr(1, 36).alias("txn_id"),
-        F.concat(F.lit("ACC"), (F.lit(1000000) + F.pmod(h, F.lit(11))).cast("string")).alias("account_number"),
-        F.col("ts").alias("timestamp"),
-        (F.lit(10) + F.pmod(F.xxhash64(i, F.lit(seed + 1)), F.lit(990))).cast("decimal(10,2)").alias("amount"),
-        _gen(i, seed + 2, fx.CURRENCIES).alias("currency"),
-        _gen(i, seed + 3, fx.MERCHANTS).alias("merchant"),
-        _gen(i, seed + 4, fx.LOCATIONS).alias("location"),
-        _gen(i, seed + 5, ["Successful", "Successful", "Failed"]).alias("status"),
-        _gen(i, seed + 6, ["payment", "payment", "payment", "refund", "withdrawal"]).alias("transaction_type"),
-    )
-
-
-def customer_queries_generator(spark: SparkSession, *, rows: int | None = None, rows_per_second: int = 1,
-                               seed: int = 7) -> DataFrame:
-    """S3: support questions naming accounts ACC1000001..ACC1000005."""
-    if rows is not None:
-        base = spark.range(rows).select(F.col("id"), F.current_timestamp().alias("ts"))
-    else:
-        base = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-                .select(F.col("value").alias("id"), F.col("timestamp").alias("ts")))
-    i = F.col("id")
-    acct = F.concat(F.lit("ACC"), (F.lit(1000001) + F.pmod(F.xxhash64(i, F.lit(seed)), F.lit(5))).cast("string"))
-    q = F.pmod(F.xxhash64(i, F.lit(seed + 1)), F.lit(5))
-    text = F.concat(fx.pick([s.split("{}")[0] for s in fx.SUPPORT_QUESTIONS], q), acct,
-                    fx.pick([s.split("{}")[1] for s in fx.SUPPORT_QUESTIONS], q))
-    return base.select(F.expr("uuid()").alias("query_id"), acct.alias("account_number"), text.alias("query_text"),
-                       F.col("ts").alias("timestamp"))
-
-
-def _base(spark: SparkSession, rows: int | None, rows_per_second: int) -> DataFrame:
-    if rows is not None:
-        return spark.range(rows).select(F.col("id"), F.current_timestamp().alias("ts"))
-    return (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-            .select(F.col("value").alias("id"), F.col("timestamp").alias("ts")))
-
-
-def customers_generator(spark: SparkSession, *, rows: int | None = None, rows_per_second: int = 1,
-                        seed: int = 11) -> DataFrame:
-    """Customer versions over the same 11-account domain as S1, so an account
-    recurs as new versions (the input of the upsert table and temporal join)."""
-    b = _base(spark, rows, rows_per_second)
-    i = F.col("id")
-    h = F.xxhash64(i, F.lit(seed))
-    acct = F.concat(F.lit("ACC"), (F.lit(1000000) + F.pmod(h, F.lit(11))).cast("string"))
-    return b.select(
-        acct.alias("account_number"),
-        F.concat(F.lit("Customer "), i.cast("string")).alias("customer_name"),
-        F.concat(F.lit("customer"), i.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("+1-555-"), F.lpad(F.pmod(h, F.lit(10000000)).cast("string"), 7, "0")).alias("phone_number"),
-        F.make_timestamp_ntz(F.lit(1975) + F.pmod(h, F.lit(32)).cast("int"), F.lit(1), F.lit(1), F.lit(0), F.lit(0),
-                             F.lit(0)).alias("date_of_birth"),
-        _gen(i, seed + 1, fx.LOCATIONS).alias("city"),
-        F.col("ts").alias("created_at"))
-
-
-def customer_emails_generator(spark: SparkSession, *, rows: int | None = None, rows_per_second: int = 10,
-                              seed: int = 13) -> DataFrame:
-    """An ARRAY<STRING> of exactly three addresses plus the desired count 0..3."""
-    b = _base(spark, rows, rows_per_second)
-    i = F.col("id")
-    emails = F.transform(F.sequence(F.lit(1), F.lit(3)),
-                         lambda k: F.concat(F.lit("user"), k.cast("string"), F.lit("."), i.cast("string"),
-                                            F.lit("@mail.test")))
-    return b.select(i.cast("int").alias("customer_id"), F.concat(F.lit("Customer "), i.cast("string")).alias("name"),
-                    emails.alias("emails"),
-                    F.pmod(F.xxhash64(i, F.lit(seed)), F.lit(4)).cast("int").alias("desired_email_count"))

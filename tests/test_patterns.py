@@ -19,7 +19,7 @@ events = st.lists(st.tuples(st.sampled_from(["A", "B"]),
                              st.integers(0, 40),                     # time in 30-minute steps
                              st.sampled_from(["Failed", "Successful", None]),
                              st.integers(1, 9)), min_size=1, max_size=40)
-SET = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SET = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def frame(spark, rows):
@@ -180,7 +180,7 @@ def test_interval_join_matches_brute_force(spark, left_rows, right_rows, lo_step
     assert sorted((r.txn_id, r.rid) for r in got.collect()) == sorted(want)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(events)
 def test_m1_hierarchical_fold_matches_brute_force(spark, rows):
     """Force the 3-level prefix composition with a fan-out of 2 and 1-row blocks."""
