@@ -255,6 +255,16 @@ def interval_join(spark: SparkSession, sf: str) -> DataFrame:
                                   right_time="created_at", lower="0 seconds", upper=P.INTERVAL_WIDTH))
 
 
+@query("interval_join_left")
+def interval_join_left(spark: SparkSession, sf: str) -> DataFrame:
+    """J2, left outer: every transaction, with each customer version created in the
+    preceding width (NULLs when none)."""
+    t = fx.transactions(spark, sf).select("txn_id", "account_number", "amount", "timestamp")
+    c = fx.customers(spark, sf).select("account_number", "customer_name", "created_at")
+    return _pairs(J.interval_join(t, c, key="account_number", left_time="timestamp", right_time="created_at",
+                                  lower="0 seconds", upper=P.INTERVAL_LEFT_WIDTH, how="left"))
+
+
 @query("ttl_join")
 def ttl_join(spark: SparkSession, sf: str) -> DataFrame:
     """J4 re-aimed in event time: pairs whose times differ by at most the TTL."""

@@ -18,6 +18,7 @@ TUMBLE_SIZE = "1 day"                # reference 1 minute
 TUMBLE_LAG_SIZE = "1 day"            # reference 1 minute
 SESSION_GAP = "1 hour"               # reference 5 seconds (merchants see an event every ~1.4 h)
 INTERVAL_WIDTH = "3 days"            # reference 10 seconds
+INTERVAL_LEFT_WIDTH = "12 hours"     # left-outer variant: narrower, so many transactions find no version
 TTL_BOTH = "2 days"                  # reference '2d'
 TTL_LEFT = "12 hours"                # reference 't' = 10 s
 TTL_RIGHT = "3 days"                 # reference 'c' = 1 h
