@@ -36,6 +36,17 @@ def _list_versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def _drop_old_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` complete versions (readers always take
+    the newest complete one, so older ones are only needed for replay)."""
+    jvm = spark._jvm
+    versions = _list_versions(spark, base)
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for v in versions[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_version_path(base, v)), True)
+
+
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
     """Current content of a versioned table, or ``None`` before the first write."""
     versions = _list_versions(spark, base)
@@ -53,9 +64,11 @@ class UpsertSink:
     """
 
     def __init__(self, base: str, pk: Sequence[str], order_cols: Sequence[str], *,
-                 delete_when: Callable[[DataFrame], object] | None = None, query_key: str | None = None):
+                 delete_when: Callable[[DataFrame], object] | None = None, query_key: str | None = None,
+                 keep_versions: int | None = None):
         self.base, self.pk, self.order = base, list(pk), list(order_cols)
         self.delete_when, self.query_key = delete_when, query_key
+        self.keep_versions = keep_versions
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         # The batch is referenced several times below; persist it so the
@@ -66,6 +79,8 @@ class UpsertSink:
             self._merge(batch, epoch_id)
         finally:
             batch.unpersist()
+        if self.keep_versions:
+            _drop_old_versions(batch.sparkSession, self.base, self.keep_versions)
 
     def _merge(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession

@@ -1,6 +1,7 @@
 """Batch-vs-stream: the same events written as time-ordered files, read one
 file per micro-batch, with a final heartbeat event that moves the watermark
 past everything; the stream's output must equal the batch form."""
+import os
 import tempfile
 
 import pytest
@@ -94,11 +95,12 @@ def test_upsert_sink_with_having_deletes(spark, stream_dir):
            .groupBy("account_number", "transaction_type").agg(F.sum("amount").alias("total_amount")))
     base = f"{stream_dir}/sink-a3"
     sink = UpsertSink(base, pk=["account_number", "transaction_type"], order_cols=["total_amount"],
-                      delete_when=lambda b: F.col("total_amount") <= 50)
+                      delete_when=lambda b: F.col("total_amount") <= 50, keep_versions=2)
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{stream_dir}/ckpt-a3").trigger(availableNow=True).start())
     q.awaitTermination()
     got = read_latest(spark, base)
+    assert len([p for p in os.listdir(base) if p.startswith("v=")]) <= 2     # older versions removed
     want = (fx.transactions(spark, SF).where(F.col("transaction_type") == "withdrawal")
             .groupBy("account_number").agg(F.sum("amount").alias("s")).where("s > 50"))
     assert sorted((r.account_number, float(r.total_amount)) for r in got.collect()) == \
