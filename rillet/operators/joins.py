@@ -91,6 +91,17 @@ def interval_join(left: DataFrame, right: DataFrame, *, key: str, left_time: str
     b_us = _seconds(bucket) * 1_000_000 if bucket else width
     lt = F.unix_micros(F.col(left_time).cast("timestamp"))
     rt = F.unix_micros(F.col(right_time).cast("timestamp"))
+    if how.lower() in ("right", "right_outer", "rightouter", "full", "outer", "full_outer", "fullouter"):
+        # Right rows are copied into every bucket they touch, so an unmatched
+        # right row would be emitted once per copy: right/full joins use the
+        # equi key alone with the range as residual (AQE still splits skew).
+        cond = ((left[key] == right[key])
+                & F.unix_micros(left[left_time].cast("timestamp")).between(
+                    F.unix_micros(right[right_time].cast("timestamp")) + F.lit(lo_us),
+                    F.unix_micros(right[right_time].cast("timestamp")) + F.lit(hi_us)))
+        j = left.join(right, cond, how)
+        return j.select(*[left[c] for c in left.columns],
+                        *[right[c].alias(f"r_{c}") if c in left.columns else right[c] for c in right.columns])
     l = left.withColumn("_b", F.floor(lt / F.lit(b_us)))
     # Buckets touched by [rt+lo, rt+hi]: at most width/b + 2 of them.
     r = right.withColumn("_b", F.explode(F.sequence(F.floor((rt + F.lit(lo_us)) / F.lit(b_us)),

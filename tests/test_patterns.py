@@ -197,3 +197,22 @@ def test_m1_hierarchical_fold_matches_brute_force(spark, rows):
         PM.FOLD_FANOUT = old
         spark.conf.unset(CONF_KEY)
     assert sorted((r.acct, secs(r.first_failed_time), secs(r.last_failed_time)) for r in got) == brute_m1(rows)
+
+
+@SET
+@given(events, events, st.sampled_from(["left", "full"]))
+def test_outer_interval_join_matches_brute_force(spark, left_rows, right_rows, how):
+    """Outer forms keep every unmatched row exactly once."""
+    from rillet.operators.joins import interval_join
+    lo, hi = 0, 3 * 1800
+    left = frame(spark, left_rows).select("txn_id", "acct", "ts")
+    right = frame(spark, right_rows).select(F.col("txn_id").alias("rid"), "acct", F.col("ts").alias("rt"))
+    got = interval_join(left, right, key="acct", left_time="ts", right_time="rt", lower="0 seconds",
+                        upper=f"{hi} seconds", how=how)
+    pairs = [(f"{i:04d}", f"{j:04d}") for i, (a, t, _, _) in enumerate(left_rows)
+             for j, (b, u, _, _) in enumerate(right_rows) if a == b and u * 1800 + lo <= t * 1800 <= u * 1800 + hi]
+    want = pairs + [(f"{i:04d}", None) for i in range(len(left_rows)) if all(p[0] != f"{i:04d}" for p in pairs)]
+    if how == "full":
+        want += [(None, f"{j:04d}") for j in range(len(right_rows)) if all(p[1] != f"{j:04d}" for p in pairs)]
+    key = lambda x: (x[0] or "", x[1] or "")
+    assert sorted(((r.txn_id, r.rid) for r in got.collect()), key=key) == sorted(want, key=key)
