@@ -144,7 +144,15 @@ def per_key_pair_counts(left: DataFrame, right: DataFrame, *, key: str, how: str
     j = lagg.join(ragg, on=key, how=how)
     nl = F.coalesce(F.col("_nl"), F.lit(0))
     nr = F.coalesce(F.col("_nr"), F.lit(0))
-    pairs = F.greatest(nl, F.lit(1)) * F.greatest(nr, F.lit(1)) if how == "full" else nl * nr
+    h = how.lower()
+    if h in ("full", "outer", "full_outer", "fullouter"):
+        pairs = F.greatest(nl, F.lit(1)) * F.greatest(nr, F.lit(1))
+    elif h in ("left", "left_outer", "leftouter"):
+        pairs = nl * F.greatest(nr, F.lit(1))
+    elif h in ("right", "right_outer", "rightouter"):
+        pairs = F.greatest(nl, F.lit(1)) * nr
+    else:
+        pairs = nl * nr
     cols = [F.col(key), pairs.cast("bigint").alias("pair_count")]
     if left_value:
         cols.append((F.col("_sl") * nr.cast("decimal(20,0)")).alias("pair_amount"))

@@ -216,3 +216,15 @@ def test_outer_interval_join_matches_brute_force(spark, left_rows, right_rows, h
         want += [(None, f"{j:04d}") for j in range(len(right_rows)) if all(p[1] != f"{j:04d}" for p in pairs)]
     key = lambda x: (x[0] or "", x[1] or "")
     assert sorted(((r.txn_id, r.rid) for r in got.collect()), key=key) == sorted(want, key=key)
+
+
+@SET
+@given(events, events, st.sampled_from(["inner", "left", "right", "full"]))
+def test_pair_counts_match_materialised_join(spark, left_rows, right_rows, how):
+    from rillet.operators.joins import per_key_pair_counts
+    l = frame(spark, left_rows).select("acct")
+    r = frame(spark, right_rows).select("acct")
+    got = {r_.acct: r_.pair_count for r_ in per_key_pair_counts(l, r, key="acct", how=how).collect()}
+    j = l.alias("a").join(r.alias("b"), F.col("a.acct") == F.col("b.acct"), how)
+    want = {k: n for k, n in j.groupBy(F.coalesce("a.acct", "b.acct").alias("k")).count().collect()}
+    assert got == want
