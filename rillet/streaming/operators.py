@@ -115,7 +115,7 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
             rows.append((*key, tid, pd.Timestamp(t, unit="us"), v, float(csum[hi] - csum[lo])))
         history = [h for h in hist if h[1] >= wm - r_us]
         if pending or history:
-            state.update((json.dumps([pending, history]),))
+            state.update((json.dumps([pending, history], default=str),))
             nxt = min([p[1] for p in pending], default=wm + r_us)
             state.setTimeoutTimestamp(max(nxt // 1000 + 1, wm // 1000 + 1))
         else:
@@ -154,7 +154,7 @@ def changelog_stream(df: DataFrame, *, key: str, time_col: str, value_cols: Sequ
                 rows.append(("-U", k[0], *last[1:], last[0]))
                 rows.append(("+U", k[0], *cur[1:], cur[0]))
             last = cur
-        state.update((json.dumps(last),))
+        state.update((json.dumps(last, default=str),))
         out = pd.DataFrame(rows, columns=[op_col, key, *vcols, time_col])
         out[time_col] = pd.to_datetime(out[time_col], unit="us")
         yield out
