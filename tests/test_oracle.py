@@ -71,3 +71,10 @@ def test_sliced_plan_matches_oracle(sliced, con, name):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "_slice" in plan                       # the skew-safe plan is the one tested
     assert _norm(df.toPandas()) == _norm(con.execute(E.oracle_sql()[name]).df())
+
+
+def test_every_query_returns_rows_at_sf001(spark):
+    """An empty result would compare equal to an empty oracle; every query must
+    produce rows on the sf0.01 fixture."""
+    empty = [n for n, fn in E.queries().items() if fn(spark, "/root/testdata/sf0.01").limit(1).count() == 0]
+    assert empty == []
