@@ -242,3 +242,15 @@ def test_sliced_sessions_match_session_window(spark, rows, gap):
          .select(F.col("w.start").alias("s"), F.col("w.end").alias("e"), "acct", "n"))
     assert sorted((r.window_start, r.window_end, r.acct, r.total_tx) for r in got.collect()) == \
         sorted((r.s, r.e, r.acct, r.n) for r in w.collect())
+
+
+@SET
+@given(events)
+def test_latest_per_key_matches_pandas(spark, rows):
+    """The current row per key (max_by of the ordering) equals a pandas sort/last."""
+    from rillet.operators.joins import latest_per_key
+    df = frame(spark, rows).select("acct", "ts", "txn_id", "amount")
+    got = sorted((r.acct, r.txn_id) for r in latest_per_key(df, key="acct", order_cols=["ts", "txn_id"]).collect())
+    pdf = df.toPandas().sort_values(["ts", "txn_id"])
+    want = sorted((a, g.iloc[-1]["txn_id"]) for a, g in pdf.groupby("acct"))
+    assert got == want
