@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+#: By application: the folder of the shipped archive, kept until the driver ends.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through Spark's own file
+    distribution; Python workers need no PYTHONPATH or shared source folder then."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    _SHIPPED[sc.applicationId] = folder = tempfile.TemporaryDirectory(prefix="rillet-ship-")
+    archive = os.path.join(folder.name, "rillet_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for base, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
