@@ -1,17 +1,32 @@
-"""The registered queries of the training-data operators and their DuckDB SQL."""
+"""The registered queries of the training-data operators and their DuckDB SQL.
+
+Where SQL can't express a query (hashes or models that DuckDB lacks, approximate search),
+tests hold it against a brute-force version instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import simhash, substring
+from rillet.llm import ann, bpe, chat, mixing, order, quality, simhash, substring, toxicity, urls
+
+#: The rules of op9 and the conversation that op2 adds.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> dict[str, str]:
+    """The public rank file and its pattern."""
+    import public_tokenizers
+
+    return {"ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents and their components at 3 differing bits."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -19,12 +34,158 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and what reading the result back gives."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string"))
+    done = chat.format_chats(turns).withColumn("turns", chat.parse_chat(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
+    line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(line, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all documents' byte sequences in permuted order, read back slot by slot."""
+    shards = order.materialise(table(spark, sf_dir, "documents").select("doc_id", "text"), length=1024, key=42)
+    return order.read_back(spark, shards).select("slot", "shard", "byte_offset", F.col("id").alias("doc_id"), "seq", "n_tokens", "tokens_sha256")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of 35-word windows that also start elsewhere."""
     cut = substring.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_substring_dedup)}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of all documents, the base rules and the verdicts of hosts."""
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry_text=False)
+    return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, carry_text=False)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the public ranks, and decoded again."""
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), **tokenizer(), carry_text=False, ids=False)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document, by weights 1, 2, 3 of the sources."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), weights=(1, 2, 3), limit=3.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of every page's url."""
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urls.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_training_order, op4_substring_dedup, op5_quality_rules,
+                                   op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest)}
+
+#: Fixed values of SQL: the words of a text.
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_chat_format": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        coded AS (
+            SELECT *, length(text) + 4 * (length(text) - length(replace(text, '&', ''))) + 5 * (length(text) - length(replace(text, '[', '')))
+                + 5 * (length(text) - length(replace(text, ']', ''))) + 3 * (length(text) - length(replace(text, '<', '')))
+                + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
+                  ELSE 14 + length(replace(replace(replace(replace(role, '&', '&amp;'), '[', '&lsqb;'), '<', '&lt;'), ']', '&rsqb;')) END AS chars
+            FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM coded GROUP BY conv_id""",
+    "op4_substring_dedup": f"""
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+        windows AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w
+                    FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM texts WHERE len(words) >= 35)),
+        repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows SEMI JOIN repeated USING (w)),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS line, count(*) AS n
+                 FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM texts) ANTI JOIN gone USING (r, p) GROUP BY r)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(line, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (r)""",
+    "op5_quality_rules": f"""
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+        windows AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w
+                    FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM texts WHERE len(words) >= 8)),
+        marked AS (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows),
+        repeats AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM marked WHERE n > 1) GROUP BY r),
+        lines AS (SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+                  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r, line),
+        dups AS (SELECT r, sum(n - 1) AS n_dup_lines FROM lines GROUP BY r),
+        measured AS (
+            SELECT doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+            FROM texts LEFT JOIN repeats USING (r) LEFT JOIN dups USING (r)),
+        ruled AS (SELECT *, n_words < 20 AS f1, 100 * n_repeat_words > 30 * n_words AS f2, 10 * n_symbols > word_chars AS f3 FROM measured),
+        hosts AS (SELECT source, count(*) AS n, sum(f1::INT) AS k1, sum(f2::INT) AS k2, sum(f3::INT) AS k3 FROM ruled WHERE source IS NOT NULL GROUP BY source),
+        moments AS (SELECT avg(k1 / n) AS m1, var_pop(k1 / n) AS v1, avg(k2 / n) AS m2, var_pop(k2 / n) AS v2, avg(k3 / n) AS m3, var_pop(k3 / n) AS v3 FROM hosts),
+        priors AS (SELECT m1, m2, m3,
+            CASE WHEN v1 > 0 AND m1 * (1 - m1) / v1 - 1 > 0 THEN m1 * (1 - m1) / v1 - 1 ELSE 2 END AS s1,
+            CASE WHEN v2 > 0 AND m2 * (1 - m2) / v2 - 1 > 0 THEN m2 * (1 - m2) / v2 - 1 ELSE 2 END AS s2,
+            CASE WHEN v3 > 0 AND m3 * (1 - m3) / v3 - 1 > 0 THEN m3 * (1 - m3) / v3 - 1 ELSE 2 END AS s3 FROM moments),
+        verdicts AS (SELECT source, greatest((k1 + m1 * s1) / (n + s1), (k2 + m2 * s2) / (n + s2), (k3 + m3 * s3) / (n + s3)) > 0.5 AS rejected
+                     FROM hosts, priors)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+            NOT (f1 OR f2) AND NOT coalesce(rejected, false) AS kept
+        FROM ruled LEFT JOIN verdicts USING (source)""",
+    "op8_mix_sources": f"""
+        WITH sized AS (
+            SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+        walked AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY
+                length(bin(size)) * 16 + (size >> greatest(length(bin(size)) - 4, 0)), CAST('0x' || digest[1:2] AS INT), size, doc_id) AS place FROM sized),
+        sources AS (
+            SELECT source, CAST(sum(size) AS DOUBLE) AS s, [1.0, 2.0, 3.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+            FROM sized GROUP BY source),
+        shares AS (
+            SELECT *, (sum(s) OVER () - coalesce(sum(3 * s) OVER (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(w) OVER (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM sources),
+        open AS (SELECT max(share) AS share FROM shares WHERE share * w <= 3 * s),
+        targets AS (
+            SELECT source, s, least(open.share * w, 3 * s) AS target,
+                (CAST('0x' || md5('42:' || coalesce(source, chr(0)))[1:5] AS INT) + 0.5::DOUBLE) / 1048576 AS u
+            FROM shares, open)
+        SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
+            CASE WHEN s > 0 THEN CAST(least(floor(target / s * place + u) - floor(target / s * (place - 1) + u), 3) AS BIGINT) * size ELSE 0 END AS taken
+        FROM walked JOIN targets ON walked.source IS NOT DISTINCT FROM targets.source""",
+    "op9_url_filter": """
+        WITH cut AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+        parsed AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+        rules(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+        met AS (
+            SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM parsed JOIN rules
+            ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+        SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM parsed LEFT JOIN met USING (page_id)""",
+}

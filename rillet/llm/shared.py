@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,3 +35,11 @@ def text_id(col: Column) -> Column:
     XXH64; null counts as the empty text."""
     t = F.coalesce(col, F.lit(""))
     return F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(7), t).alias("b"))
+
+
+def sealed(docs: DataFrame, replaced: Sequence[str] = ()) -> tuple[list[Column], list[Column]]:
+    """Two projections that keep the columns of ``docs`` out of the way of an operator's own:
+    the first renames them to _c0, _c1, ..., the second back.  Columns in ``replaced`` go."""
+    own = [c for c in docs.columns if c not in replaced]
+    return ([F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(own)],
+            [F.col(f"_c{i}").alias(c) for i, c in enumerate(own)])

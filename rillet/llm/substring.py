@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.shared import map_arrow, text_id, written
+from rillet.llm.shared import map_arrow, sealed, text_id, written
 from rillet.llm.textscan import Hasher, Slice, covered, slices
 
 #: Words of a seed.
@@ -207,11 +207,11 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", window: int = 35) -
     """``docs`` with n_words, n_removed, kept (the kept words joined by one space) and
     kept_sha256; columns of these names are replaced.  A word goes if a window of ``window``
     words that covers it also starts anywhere else, the same document included."""
-    own = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "kept_sha256")]
+    inner, outer = sealed(docs, ("n_words", "n_removed", "kept", "kept_sha256"))
     t = text_id(F.col(f"`{text}`"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), t["a"].alias("a"), t["b"].alias("b"))
+    rows = docs.select(*inner, t["a"].alias("a"), t["b"].alias("b"))
     texts = (docs.select(t["a"].alias("a"), t["b"].alias("b"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
              .groupBy("a", "b").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
     spans = duplicate_spans(texts, window).groupBy("a", "b").agg(F.collect_list(F.struct("pos", "size")).alias("spans"))
     cut = _cut(texts.join(spans, ["a", "b"], "left"), window)
-    return rows.join(cut, ["a", "b"]).select("row.*", "n_words", "n_removed", "kept", "kept_sha256")
+    return rows.join(cut, ["a", "b"]).select(*outer, "n_words", "n_removed", "kept", "kept_sha256")
