@@ -21,6 +21,7 @@ with the query's id are passed over.  Rows that repeat an id are candidates each
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 from statistics import NormalDist
 
 import numpy as np
@@ -33,11 +34,11 @@ from rillet.session import ship_package
 #: Vectors of a block and queries of a block.
 BLOCK = 1 << 14
 QUERIES = 1 << 10
-PROJECTIONS = 128
+PROJECTIONS = 64
 THRESHOLD = 0.55
 CERTAINTY = 0.97
 #: Half width of the first windows, in units of the unit sphere, and their growth.
-FIRST, GROWTH = 0.45, 1.14
+FIRST, GROWTH = 0.8, 1.15
 
 _NORMAL = NormalDist()
 
@@ -50,7 +51,7 @@ def _directions(dim: int, n: int, seed: int) -> np.ndarray:
 
 
 class Block:
-    """The sorted projections of some vectors."""
+    """The sorted projections of some vectors, and each vector's place in every one."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, projections: int, seed: int) -> None:
         self.ids, self.vectors, self.longest = ids, vectors, longest
@@ -58,46 +59,75 @@ class Block:
         rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
         self.directions = _directions(vectors.shape[1] + 1, projections, seed)
         projected = self.directions @ np.column_stack([unit, rest]).T
-        self.order = np.argsort(projected, axis=1).astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
+        order = np.argsort(projected, axis=1)
+        # all arrays behind one another, each shifted beyond the one before it
+        self.shift = np.arange(projections) * (4.0 * math.sqrt(vectors.shape[1] + 1) + 1.0)
+        self.sorted = (np.take_along_axis(projected, order, axis=1) + self.shift[:, None]).reshape(-1)
+        self.place = np.empty(order.shape, dtype=np.uint16 if len(ids) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=self.place.dtype)[None, :], axis=1)
+        self.begin = np.arange(projections) * len(ids)
+        self.room = np.empty_like(self.place), np.empty(order.shape, dtype=bool)
+
+    def collisions(self, centre: np.ndarray, width: float) -> tuple[np.ndarray, bool]:
+        """In how many arrays each vector lies in the window around the centre; whether the
+        windows are the whole arrays."""
+        kind, n = self.place.dtype, len(self.ids)
+        low = np.clip(self.sorted.searchsorted(self.shift + centre - width) - self.begin, 0, n)
+        high = np.clip(self.sorted.searchsorted(self.shift + centre + width, side="right") - self.begin, 0, n)
+        # places from low to before high, as one comparison of unsigned numbers
+        away, inside = self.room
+        np.subtract(self.place, low.astype(kind)[:, None], out=away)
+        np.less(away, (high - low).astype(kind)[:, None], out=inside)
+        counts = inside.view(np.uint8).sum(axis=0, dtype=np.uint16 if len(low) > 255 else np.uint8)
+        return counts, bool((high - low == n).all())
+
+    def verify(self, at: np.ndarray, query: np.ndarray, k: int, bar: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the vectors ``at`` that can be among the k best with at least the score
+        ``bar``, ties included, and their inner products, each summed in the same order."""
+        rough = self.vectors[at] @ query
+        if len(at) > k:
+            bar = max(bar, np.partition(rough, -k)[-k])
+        at = at[rough >= bar - 1e-9 * self.longest * float(np.linalg.norm(query))]
+        return at, (self.vectors[at] * query).sum(axis=1)
 
     def search(self, query: np.ndarray, own: int, k: int, threshold: int, certainty: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of up to k nearest found, best first, ties to the smaller id."""
-        unit = np.append(query / np.linalg.norm(query), 0.0)
-        centre = self.directions @ unit
-        n, m = len(self.ids), len(centre)
-        counts = np.zeros(n, dtype=np.int16)
-        seen = np.zeros(n, dtype=bool)
-        seen[self.ids == own] = True
-        left = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centre, strict=True)])
-        right = left.copy()
+        length = float(np.linalg.norm(query))
+        centre = self.directions @ np.append(query / length, 0.0)
+        surely = _ratio(len(centre), threshold, certainty)
+        seen = self.ids == own
         ids, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
         width = FIRST
         while True:
-            for j in range(m):
-                row, order = self.sorted[j], self.order[j]
-                low = row.searchsorted(centre[j] - width)
-                high = row.searchsorted(centre[j] + width, side="right")
-                counts[order[low:left[j]]] += 1
-                counts[order[right[j]:high]] += 1
-                left[j], right[j] = low, high
-            everything = bool((right - left == n).all())
-            fresh = np.flatnonzero((counts >= threshold) & ~seen) if not everything else np.flatnonzero(~seen)
+            counts, everything = self.collisions(centre, width)
+            fresh = np.flatnonzero(~seen if everything else (counts >= threshold) & ~seen)
             if len(fresh):
                 seen[fresh] = True
-                ids = np.concatenate([ids, self.ids[fresh]])
-                scores = np.concatenate([scores, (self.vectors[fresh] * query).sum(axis=1)])
+                fresh, score = self.verify(fresh, query, k, scores[-1] if len(ids) == k else -np.inf)
+                ids, scores = np.concatenate([ids, self.ids[fresh]]), np.concatenate([scores, score])
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
-            if everything or len(ids) == k and self._surely(scores[-1], query, width, m, threshold, certainty):
+            if everything:
                 return ids, scores
-            width *= GROWTH
-
-    def _surely(self, score: float, query: np.ndarray, width: float, m: int, threshold: int, certainty: float) -> bool:
-        """Whether a vector of this score has probably been in ``threshold`` windows."""
-        distance = math.sqrt(max(0.0, 2.0 - 2.0 * score / (self.longest * float(np.linalg.norm(query)))))
-        p = 1.0 if distance == 0 else 2.0 * _NORMAL.cdf(width / distance) - 1.0
-        return p * m - _NORMAL.inv_cdf(certainty) * math.sqrt(m * p * (1.0 - p)) >= threshold
+            wider = width * GROWTH
+            if len(ids) == k:
+                # the radius of the k-th best asks for windows of this width
+                needed = surely * math.sqrt(max(0.0, 2.0 - 2.0 * scores[-1] / (self.longest * length)))
+                if width >= needed:
+                    return ids, scores
+                wider = min(wider, needed)
+            width = wider
+
+
+@lru_cache(maxsize=64)
+def _ratio(m: int, threshold: int, certainty: float) -> float:
+    """Width over distance at which a vector lies in ``threshold`` of m windows with
+    probability ``certainty``: projections differ normally, with the distance as spread."""
+    z, low, high = _NORMAL.inv_cdf(certainty), threshold / m, 1.0
+    for _ in range(60):
+        p = (low + high) / 2
+        low, high = (low, p) if p * m - z * math.sqrt(m * p * (1 - p)) >= threshold else (p, high)
+    return _NORMAL.inv_cdf((min(high, 1 - 1e-12) + 1) / 2)
 
 
 def usable(vector: Column) -> Column:
@@ -131,7 +161,7 @@ def search(data: DataFrame, queries: DataFrame, *, id: str = "vec_id", vector: s
     dim, n, longest = by_size["dim"], by_size["n"], math.sqrt(by_size["sq"])
     n_queries = asked.where(F.size("v") == dim).count()
     blocks, groups = -(-n // block), max(1, -(-n_queries // query_block))
-    least = max(1, math.ceil(threshold * projections))
+    least = min(max(1, math.ceil(threshold * projections)), projections)
 
     def part(df: DataFrame, own: str, count: int, other: str, times: int) -> DataFrame:
         return (df.where(F.size("v") == dim).withColumn(own, F.pmod(F.xxhash64("id", "v"), F.lit(count)).cast("int"))

@@ -29,7 +29,7 @@ from rillet.llm.shared import map_arrow, sealed
 
 #: Characters of texts encoded together, and words kept between stretches.
 STRETCH = 1 << 21
-KEPT = 1 << 17
+KEPT = 1 << 18
 
 
 class Vocabulary:
@@ -39,14 +39,16 @@ class Vocabulary:
         pairs = (line.split() for line in ranks.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.decimal = {rank: str(rank) for rank in self.tokens}
         self.find = regex.compile(pattern).findall
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.merged: dict[tuple[int, int], int] = {}
+        #: Rank of the pair (a, b), by a << 20 | b.
+        self.merged: dict[int, int] = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    self.merged[a, b] = rank
+                    self.merged[a << 20 | b] = rank
         #: Rank of each pair of bytes, -1 for none.
         self.of_bytes = np.full((256, 256), -1, dtype=np.int64)
         for token, rank in self.ranks.items():
@@ -59,61 +61,57 @@ class Vocabulary:
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         if len(flat) == 0:
             return [[] for _ in words]
-        symbols = self.of_byte[flat].tolist()
-        size = len(symbols)
+        size = len(flat)
         after = np.arange(1, size + 1)
         after[ends[ends > 0] - 1] = size      # position ``size`` stands for no neighbour
         before = np.arange(-1, size - 1)
         begins = np.concatenate(([0], ends[:-1]))
         before[begins[begins < size]] = size
-        first = np.full(size, -1, dtype=np.int64)
-        first[:-1] = self.of_bytes[flat[:-1], flat[1:]]
-        first[after == size] = -1
-        index: dict[int, list[int]] = {}
-        at = np.flatnonzero(first >= 0)
-        at = at[np.argsort(first[at], kind="stable")]
-        ranks, cuts = np.unique(first[at], return_index=True)
-        for rank, where in zip(ranks.tolist(), np.split(at, cuts[1:]), strict=True) if len(at) else ():
-            index[rank] = where.tolist()
-        after, before = [*after.tolist(), size], [*before.tolist(), size]
-        symbols.append(-1)
+        pair = np.full(size + 1, -1, dtype=np.int64)  # rank of the pair that begins here
+        pair[:size - 1] = self.of_bytes[flat[:-1], flat[1:]]
+        pair[:size][after == size] = -1
+        at = np.flatnonzero(pair >= 0)
+        at = at[np.argsort(pair[at], kind="stable")]
+        ranks, cuts = np.unique(pair[at], return_index=True)
+        index = {r: where.tolist() for r, where in zip(ranks.tolist(), np.split(at, cuts[1:]), strict=False)} if len(at) else {}
+        symbols, pair, after, before = [*self.of_byte[flat].tolist(), -1], pair.tolist(), [*after.tolist(), size], [*before.tolist(), size]
         heap = list(index)
         heapq.heapify(heap)
-        merged = self.merged
-
-        def put(rank: int, positions: list[int]) -> None:
-            there = index.get(rank)
-            if there is None:
-                index[rank] = positions
-                heapq.heappush(heap, rank)
-            else:
-                there.extend(positions)
-
+        rank_of = self.merged.get
         while heap:
             rank = heapq.heappop(heap)
             where = sorted(index.pop(rank))
             for k, p in enumerate(where):
-                n = after[p]
-                if symbols[p] < 0 or symbols[n] < 0 or merged.get((symbols[p], symbols[n])) != rank:
+                if pair[p] != rank:  # merged meanwhile
                     continue
-                symbols[p], symbols[n] = rank, -1
-                follow = after[n]
-                after[p] = follow
-                lower = False
+                gone = after[p]
+                follow, lead = after[gone], before[p]
+                symbols[p], symbols[gone], pair[gone], after[p] = rank, -1, -1, follow
+                first = second = -1
                 if follow != size:
                     before[follow] = p
-                    new = merged.get((rank, symbols[follow]))
-                    if new is not None:
-                        put(new, [p])
-                        lower = new < rank
-                lead = before[p]
+                    first = rank_of(rank << 20 | symbols[follow], -1)
+                    if first >= 0:
+                        if first in index:
+                            index[first].append(p)
+                        else:
+                            index[first] = [p]
+                            heapq.heappush(heap, first)
+                pair[p] = first
                 if lead != size:
-                    new = merged.get((symbols[lead], rank))
-                    if new is not None:
-                        put(new, [lead])
-                        lower = lower or new < rank
-                if lower and k + 1 < len(where):
-                    put(rank, where[k + 1:])
+                    second = pair[lead] = rank_of(symbols[lead] << 20 | rank, -1)
+                    if second >= 0:
+                        if second in index:
+                            index[second].append(lead)
+                        else:
+                            index[second] = [lead]
+                            heapq.heappush(heap, second)
+                if (0 <= first < rank or 0 <= second < rank) and k + 1 < len(where):
+                    if rank in index:
+                        index[rank].extend(where[k + 1:])
+                    else:
+                        index[rank] = where[k + 1:]
+                        heapq.heappush(heap, rank)
                     break
         out, low = [], 0
         for high in ends.tolist():
@@ -132,19 +130,27 @@ class Coder:
 
     def __init__(self, ranks: bytes, pattern: str) -> None:
         self.vocabulary = _vocabulary(ranks, pattern)
-        self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.ids: dict[str, str] = {}         # by word: its ids in decimal
+        self.decoded: dict[str, bytes] = {}   # by word: the bytes of its ids
+        self.again: set[str] = set()          # words that were met again
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[list[int], str, bytes]]]:
-        """For each text its words, as (ids, ids in decimal, bytes decoded from the ids)."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """For each text its ids in decimal, joined by one space, and the bytes decoded from them."""
         split = [self.vocabulary.find(t) for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = list({w for words in split for w in words}.difference(self.known))
-        tokens = self.vocabulary.tokens
+        here = set().union(*split)
+        new = list(here.difference(self.ids))
+        self.again.update(here.intersection(self.ids))
+        if len(self.ids) + len(new) > KEPT:
+            stay = self.again if len(self.again) <= KEPT // 2 else here.intersection(self.ids)
+            self.ids = {w: self.ids[w] for w in stay}
+            self.decoded = {w: self.decoded[w] for w in stay}
+            self.again = set()
+        decimal, tokens = self.vocabulary.decimal, self.vocabulary.tokens
         for w, ids in zip(new, self.vocabulary.replay([w.encode() for w in new]), strict=True):
-            self.known[w] = ids, " ".join(map(str, ids)), b"".join([tokens[i] for i in ids])
-        known = self.known
-        return ([known[w] for w in words] for words in split)
+            self.ids[w] = " ".join([decimal[i] for i in ids])
+            self.decoded[w] = b"".join([tokens[i] for i in ids])
+        of_ids, of_bytes = self.ids.__getitem__, self.decoded.__getitem__
+        return ((" ".join(map(of_ids, words)), b"".join(map(of_bytes, words))) for words in split)
 
 
 def _stretches(texts: list[str]) -> Iterator[list[str]]:
@@ -184,13 +190,13 @@ def encode(docs: DataFrame, *, ranks: str, pattern: str, text: str = "text", car
         for batch in batches:
             first = 0
             for stretch in _stretches(batch.column(n).to_pylist()):
-                count, flat, coded, decoded = [], [], [], []
-                for words in coder.encode(stretch):
-                    count.append(sum([len(w[0]) for w in words]))
-                    coded.append(hashlib.sha256(" ".join([w[1] for w in words]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join([w[2] for w in words])).hexdigest())
+                count, flat, coded, decoded = [], [np.zeros(0, dtype=np.int32)], [], []
+                for line, raw in coder.encode(stretch):
+                    count.append(line.count(" ") + 1 if line else 0)
+                    coded.append(hashlib.sha256(line.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(raw).hexdigest())
                     if ids:
-                        flat.append(np.array([i for w in words for i in w[0]], dtype=np.int32))
+                        flat.append(np.array(line.split(), dtype=np.int32))
                 out = [pa.array(count, pa.int64()), pa.array(coded), pa.array(decoded)]
                 if ids:
                     out.insert(1, pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))), pa.int32()), pa.array(np.concatenate(flat))))
