@@ -36,9 +36,11 @@ BLOCK = 1 << 14
 QUERIES = 1 << 10
 PROJECTIONS = 64
 THRESHOLD = 0.55
-CERTAINTY = 0.97
+CERTAINTY = 0.9
 #: Half width of the first windows, in units of the unit sphere, and their growth.
-FIRST, GROWTH = 0.8, 1.15
+FIRST, GROWTH = 0.8, 1.3
+#: More than single precision can be off, of products of unit vectors.
+_ROUGH = 1e-5
 
 _NORMAL = NormalDist()
 
@@ -57,6 +59,7 @@ class Block:
         self.ids, self.vectors, self.longest = ids, vectors, longest
         unit = vectors / longest
         rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
+        self.rough = unit.astype(np.float32)
         self.directions = _directions(vectors.shape[1] + 1, projections, seed)
         projected = self.directions @ np.column_stack([unit, rest]).T
         order = np.argsort(projected, axis=1)
@@ -83,11 +86,12 @@ class Block:
 
     def verify(self, at: np.ndarray, query: np.ndarray, k: int, bar: float) -> tuple[np.ndarray, np.ndarray]:
         """Those of the vectors ``at`` that can be among the k best with at least the score
-        ``bar``, ties included, and their inner products, each summed in the same order."""
-        rough = self.vectors[at] @ query
-        if len(at) > k:
-            bar = max(bar, np.partition(rough, -k)[-k])
-        at = at[rough >= bar - 1e-9 * self.longest * float(np.linalg.norm(query))]
+        ``bar``, ties included, and their inner products in double precision, each summed in
+        the same order.  Single precision on the unit scale leaves out what can't."""
+        scale = self.longest * float(np.linalg.norm(query))
+        rough = self.rough[at] @ (query / np.linalg.norm(query)).astype(np.float32)
+        bar = max(bar / scale, float(np.partition(rough, -k)[-k]) if len(at) > k else -np.inf)
+        at = at[rough >= bar - _ROUGH]
         return at, (self.vectors[at] * query).sum(axis=1)
 
     def search(self, query: np.ndarray, own: int, k: int, threshold: int, certainty: float) -> tuple[np.ndarray, np.ndarray]:
