@@ -54,47 +54,24 @@ def session_count(df: DataFrame, time_col: str, gap: str, keys: str | Sequence[s
                   where: Column | None = None, alias: str = "total_tx", slice_: str | None = None) -> DataFrame:
     """Session windows per key; a new session starts when the gap *exceeds* ``gap``.
 
-    Spark's ``session_window`` merges rows exactly one gap apart and ends a
-    session at last event + gap, matching the reference's SESSION TVF, so
-    ``sec_duration`` includes the gap.  It merges all sessions of a key in one
-    task, so large inputs (or an explicit ``slice_``) use gaps-and-islands over
-    skew-safe scans instead: a sliced LAG of the time, a sliced running count
-    of session starts, then a partial-aggregated ``groupBy(key, session)``.
+    A session lasts to its last event + gap, as the reference's SESSION TVF has it, so
+    ``sec_duration`` includes the gap; rows exactly one gap apart are one session.  Sessions
+    are gaps and islands over sliced scans, so that a hot key is not one task: the previous
+    row's time, a running count of session starts, then a partial-aggregated
+    ``groupBy(key, session)``.  Rows without a time belong to no session; NULL is a key.
     """
-    from rillet.operators.over import _seconds
-    from rillet.operators.scan import previous_value, running_total
-    from rillet.operators.stats import fits_one_task
+    from rillet.operators.over import _micros
+    from rillet.operators.scan import previous_value, running_total, suggest_slice
 
-    src = df if where is None else df.where(where)
     keys = _cols(keys)
-    if slice_ is not None or not fits_one_task(src):
-        t = F.unix_micros(F.col(time_col).cast("timestamp"))
-        tb = src.select(*keys, F.col(time_col), t.alias("_t"))
-        prev = previous_value(tb, keys=keys, order_cols=["_t"], value=F.col("_t"), alias="_p",
-                              time_col=time_col, **({"slice_": slice_} if slice_ else {"slice_": "1 day"}))
-        start = F.when(F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(_seconds(gap) * 1_000_000)), 1) \
-            .otherwise(0)
-        sid = running_total(prev, keys=keys, order_cols=["_t"], value=start, alias="_sid", time_col=time_col,
-                            **({"slice_": slice_} if slice_ else {"slice_": "1 day"}))
-        g = sid.groupBy(*keys, "_sid").agg(F.min(time_col).alias("_s"), F.max(time_col).alias("_e"),
-                                            F.count(F.lit(1)).alias(alias))
-        end = F.col("_e") + F.expr(f"INTERVAL {_seconds(gap)} SECONDS")
-        return g.select(F.col("_s").alias("window_start"), end.alias("window_end"),
-                        F.expr(f"timestampdiff(SECOND, _s, _e + INTERVAL {_seconds(gap)} SECONDS)").cast("bigint")
-                        .alias("sec_duration"), *keys, F.col(alias).cast("bigint").alias(alias))
-    g = src.groupBy(F.session_window(F.col(time_col), gap).alias("w"), *keys).agg(
-        F.count(F.lit(1)).alias(alias))
-    return g.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        F.expr("timestampdiff(SECOND, w.start, w.end)").cast("bigint").alias("sec_duration"),
-        *_cols(keys),
-        F.col(alias).cast("bigint").alias(alias),
-    )
-
-
-def lookup_arrays(lookup: DataFrame, key_col: str, value_cols: Sequence[str], *,
-                  alias: str = "search_results") -> DataFrame:
-    """One row per lookup key holding the sorted array of all matching rows."""
-    return lookup.groupBy(key_col).agg(
-        F.sort_array(F.collect_list(F.struct(*value_cols))).alias(alias))
+    src = (df if where is None else df.where(where)).where(F.col(time_col).isNotNull())
+    rows = src.select(*keys, F.col(time_col), F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"))
+    slice_ = slice_ or suggest_slice(rows, time_col)
+    prev = previous_value(rows, keys=keys, order_cols=["_t"], value=F.col("_t"), alias="_p", time_col=time_col, slice_=slice_)
+    start = F.when(F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(_micros(gap))), 1).otherwise(0)
+    sid = running_total(prev, keys=keys, order_cols=["_t"], value=start, alias="_sid", time_col=time_col, slice_=slice_)
+    g = sid.groupBy(*keys, "_sid").agg(F.min(time_col).alias("_s"), F.max(time_col).alias("_e"), F.count(F.lit(1)).alias(alias))
+    end = f"_e + make_dt_interval(0, 0, 0, {_micros(gap)}BD / 1000000)"
+    return g.select(F.col("_s").alias("window_start"), F.expr(end).alias("window_end"),
+                    F.expr(f"timestampdiff(SECOND, _s, {end})").cast("bigint").alias("sec_duration"),
+                    *keys, F.col(alias).cast("bigint").alias(alias))

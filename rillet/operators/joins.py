@@ -4,9 +4,8 @@ Design rules used throughout:
 
 * Equi keys always go into the join condition so Spark hash-partitions (or
   broadcasts) on them; time bounds are residual range predicates.
-* Broadcast only sides whose size is *checked*: :func:`maybe_broadcast`
-  asks the optimizer's size estimate and otherwise leaves the choice to
-  AQE, which re-plans with runtime statistics and splits skewed partitions.
+* No broadcast hints: AQE broadcasts a side whose size it has measured at run
+  time, and splits skewed partitions of the others.
 * Time-bounded joins (J2, J4, J5) additionally bucket event time so the join
   key is ``(key, bucket)``: a hot key's rows spread over many tasks and no
   pair outside the bound is ever formed.
@@ -19,25 +18,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.over import _seconds
-from rillet.operators.stats import estimated_bytes
-
-# Sides estimated below this many bytes may be broadcast explicitly.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
+from rillet.operators.over import _micros
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``broadcast(df)`` only when its estimated size is known and below ``limit``."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 # --------------------------------------------------------------------------- J1
 def temporal_join(left: DataFrame, versions: DataFrame, *, key: str, left_time: str,
                   version_time: str, version_cols: Sequence[str], tiebreak: str | None = None,
@@ -85,10 +71,10 @@ def interval_join(left: DataFrame, right: DataFrame, *, key: str, left_time: str
     bucket its window touches, so the equi key is ``(key, bucket)`` and a hot
     key is spread over its buckets.  Output columns: all left, then all right.
     """
-    lo_us = _seconds(lower) * 1_000_000 if not lower.startswith("-") else -_seconds(lower[1:]) * 1_000_000
-    hi_us = _seconds(upper) * 1_000_000 if not upper.startswith("-") else -_seconds(upper[1:]) * 1_000_000
+    lo_us = _micros(lower) if not lower.startswith("-") else -_micros(lower[1:])
+    hi_us = _micros(upper) if not upper.startswith("-") else -_micros(upper[1:])
     width = max(hi_us - lo_us, 1)
-    b_us = _seconds(bucket) * 1_000_000 if bucket else width
+    b_us = _micros(bucket) if bucket else width
     lt = F.unix_micros(F.col(left_time).cast("timestamp"))
     rt = F.unix_micros(F.col(right_time).cast("timestamp"))
     if how.lower() in ("right", "right_outer", "rightouter", "full", "outer", "full_outer", "fullouter"):
@@ -168,7 +154,6 @@ def lookup_join(left: DataFrame, table: DataFrame, *, left_key: Column, table_ke
 
     The lookup side is pre-grouped to one row per key (an array of structs,
     sorted for determinism), then left-joined; no match gives an empty array.
-    The grouped side is broadcast only if its estimated size is small.
     ``derive`` computes columns from the array once per *key* on the grouped
     side (e.g. a count or a rendering) instead of once per left row; with
     ``keep_array=False`` only those derived columns cross the join.
@@ -179,7 +164,6 @@ def lookup_join(left: DataFrame, table: DataFrame, *, left_key: Column, table_ke
     derive = derive or {}
     grouped = grouped.select("_lk", *([alias] if keep_array else []),
                              *[fn(F.col(alias)).alias(name) for name, fn in derive.items()])
-    grouped = maybe_broadcast(grouped)
     l = left.withColumn("_lk", left_key)
     j = l.join(grouped, on="_lk", how="left")
     # Unmatched rows: the derived value of an empty array.

@@ -1,38 +1,47 @@
 """OVER-window operators.
 
-Bounded RANGE frames (``RANGE BETWEEN INTERVAL x PRECEDING AND CURRENT ROW``)
-are computed with a *time-sliced* window: rows are partitioned by
-``(keys, slice)`` where a slice is a fixed span of event time, and each slice
-also receives the rows of the preceding ``range`` as read-only halo rows.  The
-frame of every output row then lies inside its slice, so results are exact,
-while one hot key is spread over many tasks instead of one.  Halo rows are
-duplicated once at most when the slice is at least as long as the range.
+Sums and counts over ``RANGE BETWEEN INTERVAL x PRECEDING AND CURRENT ROW`` are
+differences of running totals: the total up to a row's time less the total before
+``time - x``.  Running totals are sliced scans (:mod:`rillet.operators.scan`), so
+neither a hot key nor a long range has to fit one task.
 
 Unbounded frames (``ROWS UNBOUNDED PRECEDING``) use a two-level scan: a local
 scan per slice, a carry computed from one summary row per slice, and a final
-combine; see :func:`latest_values`.
+combine; see :func:`latest_values`.  There is one plan for every input size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.operators.stats import fits_one_task
-
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _seconds(interval: str) -> int:
-    """'3 days' / '1 hour' / '10 seconds' -> seconds."""
+def _micros(interval: str) -> int:
+    """'3 days' / '1 hour' / '1.5 seconds' -> microseconds; an interval that is no whole
+    number of them is an error."""
     n, unit = interval.strip().split()
     unit = unit.lower().rstrip("s")
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
-    return int(float(n) * mult)
+    mult = {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
+            "day": 86400 * 10**6, "week": 604800 * 10**6}[unit]
+    us = Fraction(n) * mult
+    if us.denominator != 1:
+        raise ValueError(f"{interval!r} is not a whole number of microseconds")
+    return int(us)
+
+
+def _seconds(interval: str) -> int:
+    """An interval in whole seconds; a fraction of a second is an error."""
+    us = _micros(interval)
+    if us % 10**6:
+        raise ValueError(f"{interval!r} is not a whole number of seconds")
+    return us // 10**6
 
 
 def _epoch_us(ts: Column) -> Column:
@@ -41,25 +50,17 @@ def _epoch_us(ts: Column) -> Column:
 
 def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str,
                       range_: str, aggs: dict[str, Column], slice_: str | None = None) -> DataFrame:
-    """Attach ``aggs`` computed over ``RANGE range_ PRECEDING .. CURRENT ROW`` per key.
-
-    ``aggs`` maps output names to aggregate expressions (``F.sum('amount')``).
-    Peers (rows with an equal timestamp) are inside the frame, as in SQL.
-    ``slice_`` (default: 16 x range) sets the event-time slice length used to
-    split hot keys; any slice length gives the same result.  With no slice and
-    an input that fits one task (:func:`rillet.operators.stats.fits_one_task`)
-    the plain per-key window is used.  Size it so one
-    key's rows in one slice fit a task; rows within ``range_`` of a slice
-    start are read twice, i.e. ``range_/slice_`` extra input.
+    """Attach any aggregates over ``RANGE range_ PRECEDING .. CURRENT ROW`` per key.
+
+    For aggregates that have no difference (MIN, MAX, ...): a task holds the rows of a
+    key's slice and of the range before it, so the slice (``slice_``, by default four
+    ranges) is what splits a key.  Sums and counts: :func:`running_range_totals`.
+    Peers are inside the frame; rows without a time are each other's peers, as in SQL.
     """
     keys = _cols(keys)
-    r_us = _seconds(range_) * 1_000_000
-    t = _epoch_us(F.col(time_col))
-    if slice_ is None and fits_one_task(df):
-        w = Window.partitionBy(*keys).orderBy(t).rangeBetween(-r_us, Window.currentRow)
-        return df.select("*", *[expr.over(w).alias(name) for name, expr in aggs.items()])
-    s_us = _seconds(slice_) * 1_000_000 if slice_ else 16 * r_us
-    base = df.withColumn("_t", t).withColumn("_slice", F.floor(F.col("_t") / F.lit(s_us)))
+    r_us = _micros(range_)
+    s_us = max(_micros(slice_), r_us) if slice_ else 4 * r_us
+    base = df.withColumn("_t", _epoch_us(F.col(time_col))).withColumn("_slice", F.floor(F.col("_t") / F.lit(s_us)))
     # Rows within `range` of the next slice's start are also copied there as halo.
     next_start = (F.col("_slice") + 1) * F.lit(s_us)
     halo = (base.where(F.col("_t") >= next_start - F.lit(r_us))
@@ -71,6 +72,48 @@ def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str
     return out.where(~F.col("_halo")).drop("_t", "_slice", "_halo")
 
 
+def running_range_totals(df: DataFrame, *, keys: str | Sequence[str], time_col: str, range_: str,
+                         sums: dict[str, Column] | None = None, counts: dict[str, Column] | None = None,
+                         slice_: str | None = None) -> DataFrame:
+    """Attach ``SUM(v)`` (``sums``) and ``COUNT(v)`` (``counts``) over ``RANGE range_
+    PRECEDING .. CURRENT ROW`` per key.
+
+    Rows are summed by (key, time) first; every time also asks for the total before
+    ``time - range_``, as a point of the same running scan.  Floating values are summed as
+    decimals, so a difference is exact.  A sum of no values is NULL.  Rows with a NULL key
+    are one key; rows without a time are each other's peers and nobody else's.
+    """
+    from rillet.operators.scan import matched, running_totals
+
+    keys = _cols(keys)
+    sums, counts = sums or {}, counts or {}
+    r_us = _micros(range_)
+    kind = {n: df.select(F.sum(v)).schema[0].dataType for n, v in sums.items()}
+    floating = {n for n, k in kind.items() if k.typeName() in ("double", "float")}
+    value = {n: v.cast("decimal(28,9)") if n in floating else v for n, v in sums.items()}
+    names = [*[f"_s_{n}" for n in sums], *[f"_n_{n}" for n in sums], *[f"_n_{n}" for n in counts]]
+    base = df.withColumn("_t", _epoch_us(F.col(time_col)))
+    per_time = base.groupBy(*keys, "_t").agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(f"_s_{n}") for n, v in value.items()],
+        *[F.count(v).alias(f"_n_{n}") for n, v in {**value, **counts}.items()])
+    timed = per_time.where(F.col("_t").isNotNull())
+    asked = timed.select(*keys, "_t", (F.col("_t") - F.lit(r_us)).alias("_at"), F.lit(False).alias("_own"),
+                         *[F.lit(0).cast(timed.schema[n].dataType).alias(n) for n in names])
+    points = timed.select(*keys, "_t", F.col("_t").alias("_at"), F.lit(True).alias("_own"), *names).unionByName(asked)
+    points = points.withColumn("_time", F.timestamp_micros("_at"))
+    totals = running_totals(points, keys=keys, order_cols=["_at", "_own"], time_col="_time", slice_=slice_,
+                            values={f"{n}_upto": F.col(n) for n in names})
+    own = lambda n, is_own: F.max(F.when(F.col("_own") == F.lit(is_own), F.col(f"{n}_upto")))
+    framed = totals.groupBy(*keys, "_t").agg(*[(own(n, True) - own(n, False)).alias(n) for n in names])
+    untimed = per_time.where(F.col("_t").isNull()).select(*keys, "_t", *names)
+    frames = framed.select(*keys, "_t", *names).unionByName(untimed)
+    frames = frames.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_kt"), *names)
+    out = base.join(frames, matched([*keys, "_t"], [*[f"_k{i}" for i in range(len(keys))], "_kt"]), "inner")
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[F.when(F.col(f"_n_{n}") > 0, F.col(f"_s_{n}").cast(kind[n])).alias(n) for n in sums],
+                      *[F.col(f"_n_{n}").cast("bigint").alias(n) for n in counts])
+
+
 def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str, value_col: str,
                      range_: str, threshold: float, total_alias: str = "total_value",
                      flag_alias: str = "flag", slice_: str | None = None,
@@ -82,8 +125,7 @@ def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str,
     several differently filtered windows run over one table without joins (W4).
     """
     v = F.col(value_col) if only is None else F.when(only, F.col(value_col))
-    out = running_aggregate(df, keys=keys, time_col=time_col, range_=range_,
-                            aggs={total_alias: F.sum(v)}, slice_=slice_)
+    out = running_range_totals(df, keys=keys, time_col=time_col, range_=range_, sums={total_alias: v}, slice_=slice_)
     flag = F.when(F.col(total_alias) > F.lit(threshold), "YES").otherwise("NO")
     if only is not None:
         out = out.withColumn(total_alias, F.when(only, F.col(total_alias)))
@@ -94,8 +136,7 @@ def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str,
 def running_count(df: DataFrame, *, keys: str | Sequence[str], time_col: str, range_: str,
                   alias: str = "cnt", slice_: str | None = None) -> DataFrame:
     """Running ``COUNT(*)`` over a time range."""
-    return running_aggregate(df, keys=keys, time_col=time_col, range_=range_,
-                             aggs={alias: F.count(F.lit(1))}, slice_=slice_)
+    return running_range_totals(df, keys=keys, time_col=time_col, range_=range_, counts={alias: F.lit(1)}, slice_=slice_)
 
 
 def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
@@ -108,18 +149,14 @@ def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
     inside each (key, time slice); (2) per slice a one-row summary of the last
     non-NULL value of every column, carried forward over slices with the same
     window (one row per slice, tiny); (3) combine ``coalesce(local, carry)``.
-    ``order_cols[0]`` (or ``time_col``) must be the event time.  ``slice_``
-    defaults to 1 day; with no slice and a small input the plain window is used.
+    ``order_cols[0]`` (or ``time_col``) must be the event time.  ``slice_`` is sized from
+    the data if it isn't given.  Rows with a NULL key are one key, rows without a time come
+    first in it.
     """
+    from rillet.operators.scan import carried, with_slice
+
     keys = _cols(keys)
-    time_col = time_col or order_cols[0]
-    if slice_ is None and fits_one_task(df):
-        w = (Window.partitionBy(*keys).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.select(*[F.col(c) for c in df.columns],
-                         *[F.last(c, ignorenulls=True).over(w).alias(f"{prefix}{c}") for c in value_cols])
-    s_us = _seconds(slice_ or "1 day") * 1_000_000
-    base = df.withColumn("_slice", F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)))
+    base = with_slice(df, time_col or order_cols[0], slice_)
     local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.last(c, ignorenulls=True).over(local_w).alias(f"_loc_{c}")
@@ -134,8 +171,8 @@ def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = summ.select(*keys, "_slice", *[F.last(f"_s_{c}", ignorenulls=True).over(carry_w)
                                            .alias(f"_c_{c}") for c in value_cols])
-    out = local.join(carry, on=[*keys, "_slice"], how="left")
-    return out.select(*[F.col(c) for c in df.columns],
+    return carried(local, carry, keys).select(
+                      *[F.col(c) for c in df.columns],
                       *[F.coalesce(F.col(f"_loc_{c}"), F.col(f"_c_{c}")).alias(f"{prefix}{c}")
                         for c in value_cols])
 

@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.over import _seconds
-from rillet.operators.scan import next_rows, running_total, running_totals
-from rillet.operators.stats import fits_one_task
+from rillet.operators.over import _micros
+from rillet.operators.scan import matched, next_rows, running_total, running_totals
 
 # Rows of one failure run scanned as one array in the M1 scan (bounds task memory
 # and the per-block match list).
@@ -38,9 +37,9 @@ def escalating(df: DataFrame, *, key: str, time_col: str, value_col: str, within
     Overlapping matches are allowed, so each row is tested independently with
     its next two rows (exact leads from :func:`next_rows`).
     """
-    w_us = _seconds(within) * 1_000_000
+    w_us = _micros(within)
     x = next_rows(df.select(key, time_col, tiebreak, value_col), keys=key,
-                  order_cols=[time_col, tiebreak], time_col=time_col, within=within,
+                  order_cols=[time_col, tiebreak], time_col=time_col,
                   values=[value_col, time_col], n=2, slice_=slice_)
     t0 = F.unix_micros(F.col(time_col).cast("timestamp"))
     t2 = F.unix_micros(F.col(f"{time_col}_2").cast("timestamp"))
@@ -63,13 +62,13 @@ def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: s
     pattern is a join of each run to the row that ends it plus an aggregate.
     """
     carry = carry or []
-    w_us = _seconds(within) * 1_000_000
+    w_us = _micros(within)
     g = _run_ids(df, key=key, time_col=time_col, tiebreak=tiebreak, is_a=F.col(status_col) == failed,
                  slice_=slice_)
-    fails = g.where(F.col(status_col) == failed).select(key, "_g", F.col(time_col).alias("_ft"))
+    fails = g.where(F.col(status_col) == failed).select(F.col(key).alias("_k"), F.col("_g").alias("_run"), F.col(time_col).alias("_ft"))
     succ = g.where(F.col(status_col) == success).select(
         key, (F.col("_g") - 1).alias("_g"), F.col(time_col).alias("success_time"), *carry)
-    j = fails.join(succ, on=[key, "_g"], how="inner").where(
+    j = fails.join(succ, matched(["_k", "_run"], [key, "_g"]), "inner").where(
         F.unix_micros(F.col("success_time").cast("timestamp")) - F.unix_micros(F.col("_ft").cast("timestamp"))
         <= F.lit(w_us))
     out = j.groupBy(key, "_g", "success_time", *carry).agg(
@@ -83,7 +82,7 @@ def failures_then_success(df: DataFrame, *, key: str, time_col: str, tiebreak: s
 # collected array grows with the run; FOLD_LEVELS levels cover runs of up to
 # FOLD_FANOUT ** FOLD_LEVELS blocks.
 FOLD_FANOUT = 1024
-FOLD_LEVELS = 3
+FOLD_LEVELS = 2
 
 
 def _step(trans: F.Column, d: F.Column) -> F.Column:
@@ -106,7 +105,9 @@ def _entry_states(units: DataFrame, run_keys: list[str], unit_col: str, levels:
         comp = runs.select(*run_keys, "_par", *[
             F.aggregate("_ch", F.lit(e), lambda d, b: _step(b, d)).alias(f"_x{e}") for e in range(3)])
         parent_entry = _entry_states(comp, run_keys, "_par", levels - 1)
-        runs = runs.join(parent_entry, on=[*run_keys, "_par"], how="inner")
+        same = [*run_keys, "_par"]
+        parent_entry = parent_entry.select(*[F.col(c).alias(f"_p{c}") for c in same], "_e")
+        runs = runs.join(parent_entry, matched(same, [f"_p{c}" for c in same]), "inner").drop(*[f"_p{c}" for c in same])
         start = F.col("_e")
     init = F.struct(start.alias("d"), F.array().cast("array<struct<u:bigint,e:int>>").alias("es"))
     fold = F.aggregate("_ch", init, lambda acc, b: F.struct(
@@ -135,7 +136,7 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     """
     if size != 3:
         raise ValueError("only the reference's F{3,}? pattern is supported")
-    w_us = _seconds(within) * 1_000_000
+    w_us = _micros(within)
     is_f = F.coalesce(F.col(status_col) == failed, F.lit(False))
     # One pass: _g numbers the failure runs, _nf counts failures so far (its
     # order inside a run is the run order, so blocks are ranges of _nf).
@@ -145,7 +146,7 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     fails = g.where(is_f).select(F.col(key).alias("_k"), "_g", "_nf", F.col(time_col).alias("_t"),
                                  F.col(tiebreak).alias("_tb"))
     # Second-next failure of the account; it is in the same run iff its _g matches.
-    nx = next_rows(fails, keys="_k", order_cols=["_t", "_tb"], time_col="_t", within=within,
+    nx = next_rows(fails, keys="_k", order_cols=["_t", "_tb"], time_col="_t",
                    values=["_t", "_g"], n=2, slice_=slice_)
     ok = F.coalesce((F.col("_g_2") == F.col("_g")) & (
         F.unix_micros(F.col("_t_2").cast("timestamp")) - F.unix_micros(F.col("_t").cast("timestamp"))
@@ -167,9 +168,9 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
 
     scanned = blocks.select("_k", "_g", "_blk", *[scan(e).alias(f"_s{e}") for e in range(3)])
     exits = scanned.select("_k", "_g", "_blk", *[F.col(f"_s{e}.d").alias(f"_x{e}") for e in range(3)])
-    levels = 1 if fits_one_task(df) else FOLD_LEVELS
-    entries = _entry_states(exits, ["_k", "_g"], "_blk", levels)
-    picked = scanned.join(entries, on=["_k", "_g", "_blk"], how="inner").select(
+    same = ["_k", "_g", "_blk"]
+    entries = _entry_states(exits, ["_k", "_g"], "_blk", FOLD_LEVELS).select(*[F.col(c).alias(f"_p{c}") for c in same], "_e")
+    picked = scanned.join(entries, matched(same, [f"_p{c}" for c in same]), "inner").select(
         "_k", F.explode(F.element_at(F.array(*[F.col(f"_s{e}.m") for e in range(3)]), F.col("_e") + 1)).alias("_m"))
     return picked.select(F.col("_k").alias(key), F.col("_m.t0").alias("first_failed_time"),
                          F.col("_m.t2").alias("last_failed_time"), F.lit(size).cast("bigint").alias("failed_count"))

@@ -17,19 +17,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.operators.over import _epoch_us, _seconds
-from rillet.operators.stats import fits_one_task
+from rillet.operators.over import _epoch_us, _micros
 
-DEFAULT_SLICE = "1 day"
+#: Rows of a key that holds a third of all rows that one (key, slice) may have.
+ROWS_PER_TASK = 2_000_000
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def with_slice(df: DataFrame, time_col: str, slice_: str) -> DataFrame:
-    s_us = _seconds(slice_) * 1_000_000
-    return df.withColumn("_slice", F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)))
+def matched(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of columns in which NULL equals NULL."""
+    out = F.col(left[0]).eqNullSafe(F.col(right[0]))
+    for a, b in zip(left[1:], right[1:], strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
+def with_slice(df: DataFrame, time_col: str, slice_: str | None) -> DataFrame:
+    """``_slice``: the number of the row's slice of ``slice_`` (sized from the data if None);
+    rows without a time share one slice, before all others."""
+    s_us = _micros(slice_ or suggest_slice(df, time_col))
+    return df.withColumn("_slice", F.coalesce(F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)), F.lit(-(1 << 62))))
+
+
+def carried(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``local`` with the columns that ``carry`` has for its (keys, _slice); keys may be NULL."""
+    names = [*keys, "_slice"]
+    other = [f"_of_{i}" for i in range(len(names))]
+    renamed = carry.select(*[F.col(c).alias(o) for c, o in zip(names, other, strict=True)],
+                           *[c for c in carry.columns if c not in names])
+    return local.join(renamed, matched(names, other), "left").drop(*other)
 
 
 def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
@@ -43,12 +62,8 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     """
     keys = _cols(keys)
     names = list(values)
-    if slice_ is None and fits_one_task(df):
-        w = (Window.partitionBy(*keys).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.select("*", *[F.sum(v).over(w).alias(n) for n, v in values.items()])
     base = with_slice(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]),
-                      time_col or order_cols[0], slice_ or DEFAULT_SLICE)
+                      time_col or order_cols[0], slice_)
     local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_v_{n}").over(local_w).alias(f"_loc_{n}") for n in names])
@@ -56,8 +71,8 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     carry_w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*keys, "_slice", *[F.coalesce(F.sum(f"_tot_{n}").over(carry_w), F.lit(0))
                                            .alias(f"_carry_{n}") for n in names])
-    out = local.join(carry, on=[*keys, "_slice"], how="left")
-    return out.select(*[F.col(c) for c in df.columns],
+    return carried(local, carry, keys).select(
+                      *[F.col(c) for c in df.columns],
                       *[(F.col(f"_loc_{n}") + F.col(f"_carry_{n}")).alias(n) for n in names])
 
 
@@ -75,62 +90,53 @@ def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     """``LAG(value, 1) OVER (PARTITION BY keys ORDER BY order_cols)`` for non-NULL ``value``
     (wrap nullable values in a struct)."""
     keys = _cols(keys)
-    if slice_ is None and fits_one_task(df):
-        return df.withColumn(alias, F.lag(value, 1).over(Window.partitionBy(*keys).orderBy(*order_cols)))
-    base = with_slice(df.withColumn("_v", value), time_col or order_cols[0], slice_ or DEFAULT_SLICE)
+    base = with_slice(df.withColumn("_v", value), time_col or order_cols[0], slice_)
     local_w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     local = base.withColumn("_loc", F.lag("_v", 1).over(local_w))
     ordering = F.struct(*[F.col(c) for c in order_cols])
     summ = local.groupBy(*keys, "_slice").agg(F.max_by("_v", ordering).alias("_lastv"))
     carry_w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*keys, "_slice", F.last("_lastv", ignorenulls=True).over(carry_w).alias("_carry"))
-    out = local.join(carry, on=[*keys, "_slice"], how="left")
-    return out.withColumn(alias, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_v", "_loc", "_carry",
-                                                                                    "_slice")
+    out = carried(local, carry, keys)
+    return out.withColumn(alias, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_v", "_loc", "_carry", "_slice")
 
 
 def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str], time_col: str,
-              within: str, values: Sequence[str], n: int = 2, slice_: str | None = None) -> DataFrame:
-    """``LEAD(v, 1..n)`` for rows whose n-th successor lies within ``within`` of them.
-
-    Slices get a forward halo of ``within``: every successor that can satisfy
-    the bound is in the same (key, slice) partition, so the leads are exact
-    whenever the bound holds and NULL-or-out-of-bound otherwise.  Callers must
-    test the bound on the returned lead times.  The slice is never shorter than
-    ``within`` (the halo reaches one slice ahead).
+              values: Sequence[str], n: int = 2, slice_: str | None = None) -> DataFrame:
+    """``LEAD(v, 1..n) OVER (PARTITION BY keys ORDER BY order_cols)`` for each value.
+
+    Rows that have n successors in their (key, slice) take them from there.  The others are
+    the last n rows of a slice, and what follows them is among the last and first n rows of
+    slices: at most 2n rows a slice, over which the leads are taken once more.
     """
     keys = _cols(keys)
-    w_us = _seconds(within) * 1_000_000
-    if slice_ is None and fits_one_task(df):
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return df.select("*", *[F.lead(v, k).over(w).alias(f"{v}_{k}") for k in range(1, n + 1) for v in values])
-    s_us = (max(_seconds(slice_) * 1_000_000, w_us) if slice_
-            else max(16 * w_us, _seconds(DEFAULT_SLICE) * 1_000_000))
-    t = _epoch_us(F.col(time_col))
-    base = df.withColumn("_slice", F.floor(t / F.lit(s_us))).withColumn("_halo", F.lit(False))
-    halo = (base.where(t < F.col("_slice") * F.lit(s_us) + F.lit(w_us))
-            .withColumn("_slice", F.col("_slice") - 1).withColumn("_halo", F.lit(True)))
-    both = base.unionByName(halo)
+    base = with_slice(df, time_col, slice_)
     w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
-    leads = [F.lead(v, k).over(w).alias(f"{v}_{k}") for k in range(1, n + 1) for v in values]
-    return both.select("*", *leads).where(~F.col("_halo")).drop("_slice", "_halo")
+    place = base.withColumn("_first", F.row_number().over(w)).withColumn(
+        "_left", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_slice")) - F.col("_first"))
+    lead = lambda over: [F.lead(v, k).over(over).alias(f"{v}_{k}") for k in range(1, n + 1) for v in values]
+    drop = ("_slice", "_first", "_left")
+    inside = place.select("*", *lead(w)).where(F.col("_left") >= n).drop(*drop)
+    rim = place.where((F.col("_first") <= n) | (F.col("_left") < n))
+    across = rim.select("*", *lead(Window.partitionBy(*keys).orderBy("_slice", *order_cols))).where(F.col("_left") < n).drop(*drop)
+    return inside.unionByName(across)
 
 
 def suggest_slice(df: DataFrame, time_col: str, *, hot_fraction: float = 1 / 3,
-                  rows_per_task: int = 5_000_000, minimum: str = "1 second") -> str:
+                  rows_per_task: int | None = None, minimum: str = "1 second") -> str:
     """Slice width such that a key holding ``hot_fraction`` of all rows puts at
     most ``rows_per_task`` rows in one (key, slice) partition.
 
     One partial aggregate (count, min, max of the time column) is run; the
     result is three numbers.  Time-sliced scans are exact for any width, so
-    this only tunes task size: pass the result as ``slice_`` to the operators.
+    this only tunes task size.  Operators without ``slice_`` use it.
     """
     t = _epoch_us(F.col(time_col))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     n, lo, hi = row["n"], row["lo"], row["hi"]
-    floor_s = _seconds(minimum)
+    least = _micros(minimum)
     if not n or lo is None or hi <= lo:
-        return f"{max(floor_s, 86400)} seconds"
-    hot_rows_per_us = n * hot_fraction / (hi - lo)
-    width_s = int(rows_per_task / hot_rows_per_us / 1_000_000)
-    return f"{max(floor_s, width_s)} seconds"
+        return f"{max(least, 86400 * 10**6)} microseconds"
+    width = int((rows_per_task or ROWS_PER_TASK) * (hi - lo) / (n * hot_fraction))
+    # one slice is enough where a hot key fits it: no boundary inside the data
+    return f"{max(least, width if width <= hi - lo else 4 * (abs(lo) + abs(hi)) + 1)} microseconds"

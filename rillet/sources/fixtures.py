@@ -50,13 +50,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a dimension only if its estimated size is below the limit
-    (nation has 25 rows at every scale factor; the check keeps that honest)."""
-    from rillet.operators.joins import maybe_broadcast
-    return maybe_broadcast(df)
-
-
 def pick(options: list[str], index: Column) -> Column:
     """``options[index]`` (0-based) as a Catalyst expression."""
     return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
@@ -98,7 +91,7 @@ def customers_from_events(events: DataFrame, spark: SparkSession, sf_dir: str) -
     customer and nation tables are static)."""
     ev = events.where(F.col("event_type") == "signup")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = _small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (ev.join(cust, ev.user_id == cust.c_custkey, "inner")
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     return j.select(
@@ -129,7 +122,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the address packed into a JSON string; every 50th is malformed."""
     c = read_table(spark, sf_dir, "customer")
-    nation = _small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(nation, c.c_nationkey == nation.n_nationkey, "left")
     good = F.concat(
         F.lit('{"street": "'), F.col("c_custkey").cast("string"), F.lit(" Main Street"),

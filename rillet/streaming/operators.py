@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rillet.operators.over import _seconds
+from rillet.operators.over import _micros, _seconds
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -92,7 +92,7 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
     ``COUNT(*)`` (``value_col`` is then ignored).
     """
     keys = _cols(keys)
-    r_us = _seconds(range_) * 1_000_000
+    r_us = _micros(range_)
     out_schema = (", ".join(f"{k} string" for k in keys)
                   + f", {id_col} string, {time_col} timestamp, {value_col} double, {total_alias} double"
                   + (f", {flag_alias} string" if threshold is not None else ""))

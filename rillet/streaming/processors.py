@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from rillet.operators.over import _seconds
+from rillet.operators.over import _micros
 
 Step = Callable[[object, list[dict]], tuple[object, list[tuple]]]
 
@@ -127,7 +127,7 @@ def min_run_stream(df: DataFrame, *, key: str, time_col: str, tiebreak: str, sta
                    failed: str = "Failed") -> DataFrame:
     """M1 on a stream.  The greedy scan checks start i when row i+2 arrives, so the
     carry is only the (at most two) failures of the current run after the last match."""
-    w = _seconds(within) * 1_000_000
+    w = _micros(within)
 
     def step(carry, rows):
         buf = carry or []
@@ -154,7 +154,7 @@ def failures_then_success_stream(df: DataFrame, *, key: str, time_col: str, tieb
                                  within: str, carry_cols: Sequence[str] = (), failed: str = "Failed",
                                  success: str = "Successful", min_failed: int = 2) -> DataFrame:
     """M2 on a stream; the carry holds the current run's failures inside the bound."""
-    w = _seconds(within) * 1_000_000
+    w = _micros(within)
     cc = list(carry_cols)
 
     def step(carry, rows):
@@ -181,7 +181,7 @@ def failures_then_success_stream(df: DataFrame, *, key: str, time_col: str, tieb
 def escalating_stream(df: DataFrame, *, key: str, time_col: str, tiebreak: str, value_col: str,
                       within: str) -> DataFrame:
     """M3 on a stream; the carry is the previous two rows."""
-    w = _seconds(within) * 1_000_000
+    w = _micros(within)
 
     def step(carry, rows):
         prev = carry or []

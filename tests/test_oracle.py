@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from rillet.plans.catalog import QUERIES as CATALOG  # noqa: E402
 from rillet.sources.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -34,11 +35,11 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(CATALOG) - set(E.oracle_sql())
     assert missing == set()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
@@ -52,12 +53,11 @@ def test_entry_smoke(spark):
 
 
 @pytest.fixture()
-def sliced(spark):
-    """Force the skew-safe (key, time slice) plans regardless of input size."""
-    from rillet.operators.stats import CONF_KEY
-    spark.conf.set(CONF_KEY, "0")
-    yield spark
-    spark.conf.unset(CONF_KEY)
+def sliced(spark, monkeypatch):
+    """Slices that hold some thirty rows of a hot key at most."""
+    from rillet.operators import scan
+    monkeypatch.setattr(scan, "ROWS_PER_TASK", 30)
+    return spark
 
 
 SLICED = ["session_count", "over_running_sum", "over_running_count", "flagged_withdrawals", "dual_window_flags",
@@ -69,12 +69,12 @@ SLICED = ["session_count", "over_running_sum", "over_running_count", "flagged_wi
 def test_sliced_plan_matches_oracle(sliced, con, name):
     df = E.queries()[name](sliced, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "_slice" in plan                       # the skew-safe plan is the one tested
+    assert "_slice" in plan
     assert _norm(df.toPandas()) == _norm(con.execute(E.oracle_sql()[name]).df())
 
 
 def test_every_query_returns_rows_at_sf001(spark):
     """An empty result would compare equal to an empty oracle; every query must
     produce rows on the sf0.01 fixture."""
-    empty = [n for n, fn in E.queries().items() if fn(spark, "/root/testdata/sf0.01").limit(1).count() == 0]
+    empty = [n for n, fn in CATALOG.items() if fn(spark, "/root/testdata/sf0.01").limit(1).count() == 0]
     assert empty == []

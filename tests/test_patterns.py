@@ -185,17 +185,14 @@ def test_interval_join_matches_brute_force(spark, left_rows, right_rows, lo_step
 def test_m1_hierarchical_fold_matches_brute_force(spark, rows):
     """Force the 3-level prefix composition with a fan-out of 2 and 1-row blocks."""
     import rillet.operators.patterns as PM
-    from rillet.operators.stats import CONF_KEY
     old = PM.FOLD_FANOUT
     PM.FOLD_FANOUT = 2
-    spark.conf.set(CONF_KEY, "0")
     try:
         df = frame(spark, rows)
         got = PM.min_run_reluctant(df, key="acct", time_col="ts", tiebreak="txn_id", status_col="status",
                                    within="3 hours", block_rows=1, slice_="4 hours").collect()
     finally:
         PM.FOLD_FANOUT = old
-        spark.conf.unset(CONF_KEY)
     assert sorted((r.acct, secs(r.first_failed_time), secs(r.last_failed_time)) for r in got) == brute_m1(rows)
 
 

@@ -149,15 +149,6 @@ def test_filter_stays_above_watermark(spark, stream_dir):
     assert filter_above_watermark(kept)
 
 
-def test_lookup_side_broadcast_only_when_small(spark):
-    c = fx.customers(spark, SF).select("customer_name", "date_of_birth")
-    j = lookup_join(c, fx.movies(spark, SF), left_key=F.year("date_of_birth").cast("int"), table_key="year",
-                    value_cols=["title"])
-    assert "ResolvedHint (strategy=broadcast)" in _plan(j) or "broadcast" in _plan(j).lower()
-    from rillet.operators.joins import maybe_broadcast
-    big = spark.range(10)
-    assert maybe_broadcast(big, limit=1) is big
-
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
     df = fx.customers(spark, SF)
