@@ -63,17 +63,21 @@ def upsert_by_other_key(results: DataFrame, *, query_key: str, sink_key: str,
     return latest_per_key(results, key=sink_key, order_cols=order)
 
 
+def tag_invalid(df: DataFrame, checks: dict[str, Column], *, reason_col: str = "error_reason") -> DataFrame:
+    """``df`` with the name of the first check that a row fails, NULL if it passes all: one
+    scan for good and bad rows together."""
+    names = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]
+    return df.withColumn(reason_col, F.coalesce(*names, F.lit(None).cast("string")))
+
+
 def split_valid(df: DataFrame, checks: dict[str, Column], *, reason_col: str = "error_reason"
                 ) -> tuple[DataFrame, DataFrame]:
     """Route rows by named checks (a check is a Column that is TRUE when
     the row is valid).  Returns ``(good, dead_letter)``; the dead-letter side gets
-    the name of the first failed check.  One scan feeds both sides.
+    the name of the first failed check.  Both sides read ``df``; where that is dear, write
+    or persist it first, or use :func:`tag_invalid` and keep one table.
     """
-    reason = None
-    for name, ok in checks.items():
-        bad = ~F.coalesce(ok, F.lit(False))
-        reason = F.when(bad, F.lit(name)) if reason is None else reason.when(bad, F.lit(name))
-    tagged = df.withColumn(reason_col, reason)
+    tagged = tag_invalid(df, checks, reason_col=reason_col)
     return (tagged.where(F.col(reason_col).isNull()).drop(reason_col),
             tagged.where(F.col(reason_col).isNotNull()))
 
@@ -91,11 +95,12 @@ def json_record_checks(raw: Column, schema: str, required: Sequence[str]) -> tup
 def validated_insert(df: DataFrame, target_schema: dict[str, str], *, not_null: Sequence[str] = ()
                      ) -> tuple[DataFrame, DataFrame]:
     """Cast each column to the target type with ``try_cast``; rows whose cast
-    fails (non-NULL in, NULL out), whose NOT NULL column is NULL, or that lack a
-    target column are rejected with a reason."""
+    fails (non-NULL in, NULL out) or whose NOT NULL column is NULL are rejected with a
+    reason.  A missing or surplus column fails the statement."""
     missing = [c for c in target_schema if c not in df.columns]
-    if missing:
-        raise ValueError(f"column count mismatch: missing {missing}")
+    surplus = [c for c in df.columns if c not in target_schema]
+    if missing or surplus:
+        raise ValueError(f"column count mismatch: missing {missing}, surplus {surplus}")
     cast = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in target_schema.items()],
                      *[F.col(c).alias(f"_raw_{c}") for c in target_schema])
     checks = {f"bad_type_{c}": F.col(f"_raw_{c}").isNull() | F.col(c).isNotNull() for c in target_schema}

@@ -55,7 +55,7 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
                    values: dict[str, Column], time_col: str | None = None,
                    slice_: str | None = None) -> DataFrame:
     """``SUM(v) OVER (PARTITION BY keys ORDER BY order_cols ROWS UNBOUNDED PRECEDING)``
-    for each ``alias -> v`` in ``values`` (non-negative v), in one pass.
+    for each ``alias -> v`` in ``values``, in one pass.
 
     The per-slice totals are taken from the local window's output, which is
     already partitioned by (keys, slice): no extra scan or shuffle of the input.
@@ -67,7 +67,7 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_v_{n}").over(local_w).alias(f"_loc_{n}") for n in names])
-    summ = local.groupBy(*keys, "_slice").agg(*[F.max(f"_loc_{n}").alias(f"_tot_{n}") for n in names])
+    summ = local.groupBy(*keys, "_slice").agg(*[F.sum(f"_v_{n}").alias(f"_tot_{n}") for n in names])
     carry_w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*keys, "_slice", *[F.coalesce(F.sum(f"_tot_{n}").over(carry_w), F.lit(0))
                                            .alias(f"_carry_{n}") for n in names])

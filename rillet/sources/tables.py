@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.session import scratch_path
+
 
 def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str = "parquet",
                schema=None, startup: str = "earliest-offset", start_time: str | None = None,
                time_col: str | None = None, with_metadata: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, latest_from: str | None = None) -> DataFrame:
     """Open a table as a bounded snapshot or an unbounded stream.
 
-    ``startup='latest-offset'`` on a file stream skips the files present at
-    start (``latestFirst`` + ``maxFileAge``); ``start_time`` filters on
+    ``startup='latest-offset'`` on a file stream skips exactly the files present
+    now, whatever their times: their paths are kept in a table of the shared folder
+    (``latest_from`` names it, so that a restarted statement keeps its own start) and
+    anti-joined; ``start_time`` filters on
     ``time_col`` (file sources have no offsets).  ``with_metadata`` adds the
     file-level record metadata (``_metadata``: path, size, modification time,
     row index), the file-source counterpart of Kafka's metadata columns.
@@ -24,9 +28,9 @@ def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str
         r = spark.readStream.format(fmt).schema(schema or spark.read.format(fmt).load(path).schema)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        if startup == "latest-offset":
-            r = r.option("latestFirst", "true").option("maxFileAge", "1s")
         df = r.load(path)
+        if startup == "latest-offset":
+            df = _without_present_files(spark, df, path, latest_from)
     else:
         df = spark.read.format(fmt).load(path)
     if start_time and time_col:
@@ -38,6 +42,19 @@ def open_table(spark: SparkSession, path: str, *, stream: bool = False, fmt: str
     return df
 
 
+def _without_present_files(spark: SparkSession, stream: DataFrame, path: str, listing: str | None) -> DataFrame:
+    """``stream`` without the rows of the files listed at ``listing``, which is written now
+    unless it exists."""
+    listing = listing or scratch_path(spark, "present-files")
+    place = spark._jvm.org.apache.hadoop.fs.Path(listing)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").write.parquet(listing)
+    plain = lambda p: F.regexp_replace(p, r"^file:/+", "/")
+    present = spark.read.schema("path string").parquet(listing).select(plain(F.col("path")).alias("_present"))
+    named = stream.withColumn("_file", plain(F.col("_metadata.file_path")))
+    return named.join(present, named["_file"] == present["_present"], "left_anti").drop("_file")
+
+
 def _open_kafka(spark: SparkSession, topic: str, *, stream: bool, startup: str, with_metadata: bool,
                 servers: str | None = None) -> DataFrame:
     """Kafka form of :func:`open_table` (needs the Kafka connector on the classpath;

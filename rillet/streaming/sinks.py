@@ -1,9 +1,9 @@
 """Stateful sinks for streams (S12, A3, C4, C6, C11, C12) via ``foreachBatch``.
 
-Tables are versioned directories under a shared base path (never a
-machine-local folder): batch ``n`` reads version ``n-1``, merges, and writes
-version ``n``; a restarted batch rewrites the same version, so replays after
-an executor or driver loss are idempotent.
+Tables are versioned directories under a shared base path (never a machine-local
+folder).  A batch reads the newest version, merges, and writes the next one, named after
+the streaming query and its epoch: a batch that is run again rewrites its own version, and
+a new query on the same table goes on from the newest version whatever its epochs.
 """
 
 from __future__ import annotations
@@ -18,11 +18,14 @@ from rillet.operators.changelog import split_valid
 from rillet.operators.joins import latest_per_key
 
 
-def _version_path(base: str, n: int) -> str:
-    return f"{base.rstrip('/')}/v={n:012d}"
+def writer_of(batch: DataFrame) -> str:
+    """Id of the streaming query that runs this ``foreachBatch`` call ('direct' outside one);
+    it stays the same when the query is restarted from its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
-def _list_versions(spark: SparkSession, base: str) -> list[int]:
+def _list_versions(spark: SparkSession, base: str) -> list[tuple[int, str, str]]:
+    """(number, "writer.epoch", path) of the complete versions, oldest first."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -32,7 +35,8 @@ def _list_versions(spark: SparkSession, base: str) -> list[int]:
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+            number, _, source = name[2:].partition(".")
+            out.append((int(number), source, f"{base.rstrip('/')}/{name}"))
     return sorted(out)
 
 
@@ -40,21 +44,22 @@ def _drop_old_versions(spark: SparkSession, base: str, keep: int) -> None:
     """Remove all but the newest ``keep`` complete versions (readers always take
     the newest complete one, so older ones are only needed for replay)."""
     jvm = spark._jvm
-    versions = _list_versions(spark, base)
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for v in versions[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(_version_path(base, v)), True)
+    for _, _, path in _list_versions(spark, base)[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
     """Current content of a versioned table, or ``None`` before the first write."""
     versions = _list_versions(spark, base)
-    return spark.read.parquet(_version_path(base, versions[-1])) if versions else None
+    return spark.read.parquet(versions[-1][2]) if versions else None
 
 
 class UpsertSink:
-    """Keep one row per primary key (last write wins, by ``order_cols``).
+    """Keep one row per primary key: the largest by ``order_cols``, among equal ones
+    the one that arrived last, so the result doesn't depend on how rows fall into batches.
+    Leave ``order_cols`` empty where a later value may be smaller: the last arrival wins.
 
     ``delete_when`` (A3): rows of the batch matching it delete their key, which
     is how a group that stops satisfying HAVING leaves the sink.
@@ -65,7 +70,7 @@ class UpsertSink:
 
     def __init__(self, base: str, pk: Sequence[str], order_cols: Sequence[str], *,
                  delete_when: Callable[[DataFrame], object] | None = None, query_key: str | None = None,
-                 keep_versions: int | None = None):
+                 keep_versions: int | None = 3):
         self.base, self.pk, self.order = base, list(pk), list(order_cols)
         self.delete_when, self.query_key = delete_when, query_key
         self.keep_versions = keep_versions
@@ -84,8 +89,14 @@ class UpsertSink:
 
     def _merge(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        prior = [v for v in _list_versions(spark, self.base) if v < epoch_id]
-        old = spark.read.parquet(_version_path(self.base, prior[-1])) if prior else None
+        own = f"{writer_of(batch)}.{epoch_id}"
+        versions = _list_versions(spark, self.base)
+        if own in [v[1] for v in versions[:-1]]:
+            return  # others have written since: this batch is in the table
+        if versions and versions[-1][1] == own:
+            versions.pop()  # run again: on what it saw the first time
+        target = f"{self.base.rstrip('/')}/v={versions[-1][0] + 1 if versions else 0:012d}.{own}"
+        old = spark.read.parquet(versions[-1][2]) if versions else None
         new = batch.withColumn("_del", self.delete_when(batch) if self.delete_when is not None else F.lit(False))
         new = latest_per_key(new, key=self.pk if self.query_key is None else [self.query_key],
                              order_cols=self.order)
@@ -96,13 +107,13 @@ class UpsertSink:
                 stale = old.join(new.select(self.query_key), on=self.query_key, how="left_anti")
             merged = (stale.withColumn("_del", F.lit(False)).withColumn("_src", F.lit(0))
                       .unionByName(new.withColumn("_src", F.lit(1))))
-            merged = latest_per_key(merged, key=self.pk, order_cols=["_src", *self.order]).drop("_src")
+            merged = latest_per_key(merged, key=self.pk, order_cols=[*self.order, "_src"]).drop("_src")
         else:
             merged = new
         if self.query_key is not None:
             merged = latest_per_key(merged, key=self.pk, order_cols=[*self.order, self.query_key])
         merged = merged.where(~F.col("_del")).drop("_del")
-        merged.write.mode("overwrite").parquet(_version_path(self.base, epoch_id))
+        merged.write.mode("overwrite").parquet(target)
 
 
 class DeadLetterSink:
@@ -121,8 +132,9 @@ class DeadLetterSink:
             if self.mode == "fail" and not bad.isEmpty():
                 first = bad.select("error_reason").first()[0]
                 raise RuntimeError(f"record failed validation ({first}) in batch {epoch_id}")
-            good.write.mode("overwrite").parquet(f"{self.good_path.rstrip('/')}/batch={epoch_id}")
-            bad.write.mode("overwrite").parquet(f"{self.dlq_path.rstrip('/')}/batch={epoch_id}")
+            part = f"query={writer_of(batch)}/batch={epoch_id}"  # another query's batches stay
+            good.write.mode("overwrite").parquet(f"{self.good_path.rstrip('/')}/{part}")
+            bad.write.mode("overwrite").parquet(f"{self.dlq_path.rstrip('/')}/{part}")
         finally:
             batch.unpersist()
 
