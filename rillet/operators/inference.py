@@ -40,14 +40,25 @@ def rule_risk(amount: Column, ttype: Column, status: Column, merchant: Column,
     return F.when(high, RISK_HIGH).when(medium, RISK_MEDIUM).otherwise(RISK_LOW)
 
 
+def prompt_risk(text: Column) -> Column:
+    """The rule model over the prompt text, as an expression: it stays in the JVM."""
+    part = lambda i: F.regexp_extract(text, r"amount:([^,]*), type:([^,]*), status:([^,]*), merchant:(.*)", i)
+    return rule_risk(part(1).try_cast("decimal(38,2)"), part(2), part(3), part(4))
+
+
+def predict_expression(df: DataFrame, text: Column, model: Callable[[Column], Column], *, output_col: str = "risk_level") -> DataFrame:
+    """I1 with a model that is an expression of the text, such as :func:`prompt_risk`."""
+    return df.withColumn(output_col, model(text))
+
+
 def predict(df: DataFrame, text: Column, predictor: Callable[[pd.Series], pd.Series] | Column, *,
             output_col: str = "risk_level", return_type: str = "string",
             loader: Callable[[], Callable[[pd.Series], pd.Series]] | None = None) -> DataFrame:
     """``ML_PREDICT(model, text)`` - one output value appended per row.
 
-    ``predictor`` may be a Column (evaluated in the JVM) or a pandas function.
-    With ``loader``, the model is built once per Python worker (iterator UDF)
-    instead of once per batch.
+    ``predictor`` is a pandas function of the texts; with ``loader``, the model is built once
+    per Python worker (iterator UDF) instead of once per batch.  A Column stands for a score
+    that is there already; for a model in the JVM see :func:`predict_expression`.
     """
     if isinstance(predictor, Column):
         return df.withColumn(output_col, predictor)

@@ -195,16 +195,10 @@ def dual_window_flags_joined(spark: SparkSession, sf: str) -> DataFrame:
 @query("flagged_messages")
 def flagged_messages(spark: SparkSession, sf: str) -> DataFrame:
     """P10 + F1: a query over the flagged view composing a customer message."""
-    v = dual_window_frame(spark, sf)
-    v.createOrReplaceTempView("flagged_trx_view")
-    return spark.sql("""
-        SELECT txn_id, account_number,
-               CONCAT('Dear user ', CAST(account_number AS STRING),
-                      ', your transaction of ', CAST(CAST(amount AS DECIMAL(10,2)) AS STRING),
-                      ' cannot be processed due to lack of ', CAST(currency AS STRING),
-                      ' balance available on your card.') AS message
-        FROM flagged_trx_view
-        WHERE withdraw_flag = 'YES'""")
+    v = dual_window_frame(spark, sf).where(F.col("withdraw_flag") == "YES")
+    message = F.format_string(fx.DECLINED_MESSAGE.replace("{}", "%s"), F.col("account_number"),
+                              F.col("amount").cast("decimal(10,2)").cast("string"), F.col("currency"))
+    return v.select("txn_id", "account_number", message.alias("message"))
 
 
 # ----------------------------------------------------------------- W5 / U1
@@ -307,6 +301,25 @@ def full_outer(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("account_number").alias("account_id"), "pair_count")
 
 
+@query("regular_join_rows")
+def regular_join_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every transaction with its customer's current row; one match a row, so the output
+    grows with the transactions."""
+    t = fx.transactions(spark, sf).select("txn_id", "account_number", _dbl("amount").alias("amount"), "currency", "merchant", "timestamp")
+    c = materialize_latest(spark, sf).select("account_number", "customer_name", "email", "city", "created_at")
+    return J.regular_join(t, c, key="account_number")
+
+
+@query("full_outer_rows")
+def full_outer_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Large transactions and the customers of some cities, each with or without the
+    other, the account from either side."""
+    t = (fx.transactions(spark, sf).where(F.col("amount") > P.LARGE_AMOUNT)
+         .select("account_number", "txn_id", _dbl("amount").alias("amount"), "timestamp"))
+    c = materialize_latest(spark, sf).where(F.col("city") >= "J").select("account_number", "customer_name", "city")
+    return J.regular_join(t, c, key="account_number", how="full")
+
+
 # ----------------------------------------------------------------- J7 / J8 / C3
 @query("materialize_latest")
 def materialize_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,18 +462,29 @@ def convert_tz_q(spark: SparkSession, sf: str) -> DataFrame:
 def classify_risk(spark: SparkSession, sf: str) -> DataFrame:
     """I1 + I2: risk level per transaction from the rule model; 'recurring failed'
     = at least N failed transactions of the account within the preceding range."""
-    from rillet.operators.inference import predict, rule_risk, transaction_prompt
+    from rillet.operators.inference import RISK_LOW, RISK_MEDIUM, predict_expression, prompt_risk, transaction_prompt
     t = fx.transactions(spark, sf)
-    t = W.running_aggregate(t, keys="account_number", time_col="timestamp", range_=P.RECURRING_FAILED_RANGE,
-                            aggs={"_nf": F.sum(F.when(F.col("status") == "Failed", 1).otherwise(0))})
+    t = W.running_range_totals(t, keys="account_number", time_col="timestamp", range_=P.RECURRING_FAILED_RANGE,
+                               counts={"_nf": F.when(F.col("status") == "Failed", 1)})
     prompt = transaction_prompt(F.col("amount"), F.col("transaction_type"), F.col("status"), F.col("merchant"))
-    risk = rule_risk(F.col("amount"), F.col("transaction_type"), F.col("status"), F.col("merchant"),
-                     recurring_failed=F.col("_nf") >= P.RECURRING_FAILED_MIN)
-    out = predict(t.withColumn("prompt", prompt), F.col("prompt"), risk)
+    out = predict_expression(t.withColumn("prompt", prompt), F.col("prompt"), prompt_risk)
+    # the one rule that the prompt's text can't show
+    recurring = (F.col("risk_level") == RISK_LOW) & (F.col("_nf") >= P.RECURRING_FAILED_MIN)
+    out = out.withColumn("risk_level", F.when(recurring, RISK_MEDIUM).otherwise(F.col("risk_level")))
     return out.select("txn_id", "account_number", _dbl("amount").alias("amount"), "transaction_type", "status",
                       "merchant", "timestamp", "prompt", "risk_level")
 
 
+@query("classify_prompt")
+def classify_prompt(spark: SparkSession, sf: str) -> DataFrame:
+    """A Python model, loaded once per worker, scores the text of each prompt."""
+    from rillet.operators.inference import parse_prompt_rules, predict, transaction_prompt
+    t = fx.transactions(spark, sf)
+    prompt = transaction_prompt(F.col("amount"), F.col("transaction_type"), F.col("status"), F.col("merchant"))
+    return predict(t.select("txn_id", prompt.alias("prompt")), F.col("prompt"), parse_prompt_rules,
+                   loader=lambda: parse_prompt_rules).select("txn_id", "risk_level")
+
+
 @query("support_answers")
 def support_answers_q(spark: SparkSession, sf: str) -> DataFrame:
     """One answer per support question, from the account tool."""

@@ -29,3 +29,4 @@ RECURRING_FAILED_MIN = 2
 LOG_RANGE_LOW = 20.0                 # log_out_of_range bounds on amounts
 LOG_RANGE_HIGH = 400.0
 RANDOM_STRING_MAX = 12
+LARGE_AMOUNT = 300                   # side of the full outer join that some accounts lack

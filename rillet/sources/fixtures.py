@@ -37,6 +37,9 @@ SUPPORT_QUESTIONS = [
     "Is my account {} in good standing?",
     "Can you check recent activity on account {}?",
 ]
+# The message to a customer whose withdrawal is flagged: account, amount, currency.
+DECLINED_MESSAGE = ("Dear user {}, your transaction of {} cannot be processed due to lack of {} "
+                    "balance available on your card.")
 # Account number layout of the generators: 'ACC' + 1000000 + user id.
 ACCOUNT_PREFIX = "ACC"
 ACCOUNT_BASE = 1000000
