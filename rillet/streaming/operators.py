@@ -94,25 +94,28 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
     keys = _cols(keys)
     r_us = _micros(range_)
     out_schema = (", ".join(f"{k} string" for k in keys)
-                  + f", {id_col} string, {time_col} timestamp, {value_col} double, {total_alias} double"
+                  + f", {id_col} string, {time_col} timestamp, {value_col} double, {total_alias} {'long' if agg == 'count' else 'double'}"
                   + (f", {flag_alias} string" if threshold is not None else ""))
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pending, history = ([], []) if not state.exists else json.loads(state.get[0])
         for pdf in pdfs:
             for tid, t, v in zip(pdf[id_col], pdf[time_col], pdf[value_col]):
-                pending.append([str(tid), int(pd.Timestamp(t).value // 1000), 1.0 if agg == "count" else float(v)])
+                pending.append([str(tid), int(pd.Timestamp(t).value // 1000), None if pd.isna(v) else float(v)])
         wm = state.getCurrentWatermarkMs() * 1000  # microseconds, like the rows
         ready = sorted(p for p in pending if p[1] <= wm)
         pending = [p for p in pending if p[1] > wm]
         rows = []
         hist = sorted(history + ready, key=lambda p: p[1])
         times = np.array([h[1] for h in hist], dtype=np.int64)
-        csum = np.concatenate([[0.0], np.cumsum([h[2] for h in hist])])
+        # whole millionths: sums and their differences are exact; NULLs add nothing
+        known = np.concatenate([[0], np.cumsum([h[2] is not None for h in hist])])
+        csum = np.concatenate([[0], np.cumsum([0 if h[2] is None else round(h[2] * 10**6) for h in hist], dtype=np.int64)])
         for tid, t, v in ready:
             hi = np.searchsorted(times, t, side="right")
             lo = np.searchsorted(times, t - r_us, side="left")
-            rows.append((*key, tid, pd.Timestamp(t, unit="us"), v, float(csum[hi] - csum[lo])))
+            total = int(csum[hi] - csum[lo]) / 10**6 if known[hi] > known[lo] else None
+            rows.append((*key, tid, pd.Timestamp(t, unit="us"), v, int(hi - lo) if agg == "count" else total))
         history = [h for h in hist if h[1] >= wm - r_us]
         if pending or history:
             state.update((json.dumps([pending, history], default=str),))
@@ -122,6 +125,7 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
             state.remove()
         if rows:
             out = pd.DataFrame(rows, columns=[*keys, id_col, time_col, value_col, total_alias])
+            out = out.astype({c: float for c in (value_col, total_alias) if c == value_col or agg != "count"})
             if threshold is not None:
                 out[flag_alias] = (out[total_alias] > threshold).map({True: "YES", False: "NO"})
             yield out

@@ -187,10 +187,10 @@ def escalating_stream(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
         prev = carry or []
         out = []
         for r in rows:
-            cur = [r[time_col], float(r[value_col])]
+            cur = [r[time_col], None if pd.isna(r[value_col]) else float(r[value_col])]
             if len(prev) == 2:
                 (t0, a0), (_, a1) = prev
-                if a1 > a0 and cur[1] > a1 and cur[0] - t0 <= w:
+                if None not in (a0, a1, cur[1]) and a1 > a0 and cur[1] > a1 and cur[0] - t0 <= w:
                     out.append((a0, a1, cur[1], t0, cur[0]))
             prev = (prev + [cur])[-2:]
         return prev, out
