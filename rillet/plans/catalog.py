@@ -364,10 +364,11 @@ def high_spenders(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------- J6
 @query("lookup_join")
 def lookup_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer version with all movies released in its birth year."""
-    c = fx.customers(spark, sf).select("customer_name", "date_of_birth")
+    """Each customer version with all movies of its shelf; a key has few movies at any
+    size, so the output grows with the customers."""
+    c = fx.customers(spark, sf).select("customer_name", "date_of_birth", "phone_number")
     m = fx.movies(spark, sf)
-    j = J.lookup_join(c, m, left_key=F.year("date_of_birth").cast("int"), table_key="year",
+    j = J.lookup_join(c, m, left_key=fx.favourite_shelf(F.col("phone_number")), table_key="shelf",
                       value_cols=["title", "genres", "rated", "plot", "year"], keep_array=False,
                       derive={"n_results": lambda a: F.size(a).cast("bigint"),
                               "titles": lambda a: F.array_join(F.transform(a, lambda s: s["title"]), "|")})

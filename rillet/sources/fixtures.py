@@ -119,9 +119,19 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("A "), F.lower(F.col("p_type")), F.lit(" story.")).alias("plot"),
         (F.lit(1970) + F.pmod(F.col("p_size"), F.lit(32))).cast("int").alias("year"),
         F.col("p_partkey").alias("movie_id"),
+        F.floor(F.col("p_partkey") / F.lit(SHELF)).alias("shelf"),
     )
 
 
+#: Movies of one lookup key: keys grow with the table, matches per key don't.
+SHELF = 8
+
+
+def favourite_shelf(phone_number: Column) -> Column:
+    """The shelf a customer looks up, by the digits of the phone number."""
+    return F.floor(F.substring(phone_number, 8, 7).cast("bigint") / F.lit(SHELF))
+
+
 def customers_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the address packed into a JSON string; every 50th is malformed."""
     c = read_table(spark, sf_dir, "customer")

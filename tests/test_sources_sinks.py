@@ -107,7 +107,7 @@ def test_upsert_key_mismatch_stream(spark, stream_dir):
 def test_lookup_join_stream_static(spark, stream_dir):
     """J6 with a streaming left side and a static lookup table."""
     c = src.customers_stream(spark, files_glob(stream_dir), SF, max_files_per_trigger=6)
-    j = lookup_join(c, fx.movies(spark, SF), left_key=F.year("date_of_birth").cast("int"), table_key="year",
+    j = lookup_join(c, fx.movies(spark, SF), left_key=fx.favourite_shelf(F.col("phone_number")), table_key="shelf",
                     value_cols=["title"])
     got = run_to_end(j.select("customer_name", F.size("search_results").alias("n")), "j6s", outdir=stream_dir)
     want = C.lookup_join(spark, SF)
