@@ -3,10 +3,9 @@
 Spark 4 SQL functions (``CREATE TEMPORARY FUNCTION .. RETURN``) are inlined by
 the analyzer, so calls from SQL run as the same built-in expressions as the
 DataFrame forms in :mod:`rillet.functions.scalar` / :mod:`rillet.functions.table`
-(no Python worker, no per-row serialisation).  SQL functions cannot be
-overloaded by arity, so the reference's three ``concat_with_separator``
-overloads are registered as ``concat_with_separator`` (2 values) and
-``concat_with_separator3`` / ``concat_with_separator4``; the separator stays last.
+(no Python worker, no per-row serialisation).  The three overloads of
+``concat_with_separator`` (two to four values, the separator last) are one function
+whose last parameters have a default that stands for "not given".
 """
 
 from __future__ import annotations
@@ -38,8 +37,21 @@ _MAIL_T = "array<struct<email_index:int,email:string>>"
 _ELEM = ("CASE WHEN is_variant_null(e) THEN 'null' WHEN schema_of_variant(e) LIKE 'OBJECT%' "
          "OR schema_of_variant(e) LIKE 'ARRAY%' THEN '' ELSE variant_get(e, '$', 'string') END")
 
+#: Default of a parameter that was not given; NULL is a value of its own.
+_ABSENT = "'\\u0001absent'"
+
+
+def _cws_any() -> str:
+    def joined(n: int) -> str:
+        names = "abcde"[:n + 1]
+        return f"concat_ws(coalesce({names[-1]}, ''), " + ", ".join(f"coalesce({v}, '')" for v in names[:-1]) + ")"
+
+    return (f"(a STRING, b STRING, c STRING, d STRING DEFAULT {_ABSENT}, e STRING DEFAULT {_ABSENT}) RETURNS STRING RETURN "
+            f"CASE WHEN d <=> {_ABSENT} THEN {joined(2)} WHEN e <=> {_ABSENT} THEN {joined(3)} ELSE {joined(4)} END")
+
+
 FUNCTIONS = {
-    "concat_with_separator": _cws(2),
+    "concat_with_separator": _cws_any(),
     "concat_with_separator3": _cws(3),
     "concat_with_separator4": _cws(4),
     "log_out_of_range": "(value DOUBLE, low DOUBLE, high DOUBLE) RETURNS DOUBLE RETURN value",

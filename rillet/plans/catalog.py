@@ -534,15 +534,13 @@ def match_escalating(spark: SparkSession, sf: str) -> DataFrame:
 @query("dlq_split")
 def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
     """C11: JSON customer records routed to the table or the dead-letter queue."""
-    from rillet.operators.changelog import json_record_checks, split_valid
+    from rillet.operators.changelog import json_record_checks, tag_invalid
     raw = fx.customer_records_json(spark, sf)
     parsed, checks = json_record_checks(F.col("raw"), "customer_id BIGINT, name STRING, city STRING",
                                         ["customer_id", "name"])
-    good, bad = split_valid(raw.withColumn("rec", parsed), checks)
-    both = (good.withColumn("route", F.lit("ok")).withColumn("error_reason", F.lit(None).cast("string"))
-            .unionByName(bad.withColumn("route", F.lit("dlq"))))
+    both = tag_invalid(raw.withColumn("rec", parsed), checks)
     # customer_id is NULL on dead letters; as text it keeps one type on every engine.
-    return both.select("record_id", "route", "error_reason",
+    return both.select("record_id", F.when(F.col("error_reason").isNull(), "ok").otherwise("dlq").alias("route"), "error_reason",
                        F.col("rec.customer_id").cast("string").alias("customer_id"),
                        F.col("rec.name").alias("name"))
 

@@ -144,6 +144,10 @@ def sqlfn(spark):
 @pytest.mark.parametrize("call,want", [
     ("concat_with_separator('hello', 'world', '-')", "hello-world"),
     ("concat_with_separator3('a', 'b', 'c', '-')", "a-b-c"),
+    ("concat_with_separator('a', 'b', 'c', '-')", "a-b-c"),
+    ("concat_with_separator('a', 'b', 'c', 'd', '-')", "a-b-c-d"),
+    ("concat_with_separator('a', NULL, NULL, '-')", "a--"),
+    ("concat_with_separator('a', 'b', 'c', 'd', NULL)", "abcd"),
     ("concat_with_separator4('a', 'b', 'c', 'd', '-')", "a-b-c-d"),
     ("concat_with_separator('hello', 'world', '')", "helloworld"),
     ("concat_with_separator('', '', '-')", "-"),
@@ -201,6 +205,16 @@ def test_pandas_predictor_equals_rule_predictor(spark):
     assert {r.jvm for r in rows} >= {"HIGH", "LOW"}
 
 
+def test_concat_with_separator_sql_arity(spark):
+    from pyspark.errors import AnalysisException
+
+    from rillet.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    for call in ("concat_with_separator('a', '-')", "concat_with_separator('a', 'b', 'c', 'd', 'e', '-')"):
+        with pytest.raises(AnalysisException):
+            spark.sql(f"SELECT {call}")
+
+
 def test_changelog_modes_and_display(spark):
     from rillet.operators.changelog import as_table, changelog_view, first_changes
     from rillet.sources import fixtures as fx
