@@ -109,7 +109,7 @@ class _Pointers:
 
 def _parse(texts: DataFrame, window: int) -> DataFrame:
     """Factors of at least ``window`` words, as spans of the text and of the reference (size
-    > 0), and the windows to count (size 0, with their two hashes)."""
+    > 0), and the windows to count (size 0 or below, with their two hashes)."""
     q = min(SEED, window)
     names = ["a", "b", "pos", "size", "h1", "h2"]
 
@@ -118,6 +118,28 @@ def _parse(texts: DataFrame, window: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(pos, pa.int32()), pa.array(size, pa.int32()),
                                            _long(none if h1 is None else h1), _long(none if h2 is None else h2)], names)
 
+    def loose(a, b, part: Slice, s: _Seeds, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Windows to count.  Those that repeat within the slice are spans at once, and one of
+        each stands for them in the count, with the size -1 for "twice or more"."""
+        second = Hasher(part.hashes, second=True)
+        h1, h2 = s.hasher.spans(start, start + window), second.spans(start, start + window)
+        order = np.lexsort((start, h2, h1))
+        same = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
+        first = np.ones(len(start), dtype=bool)
+        first[order[1:]] = ~same
+        twice = np.zeros(len(start), dtype=bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        doc = part.doc[start]
+        yield rows(a[doc[first] + part.first], b[doc[first] + part.first], (start - part.bounds[doc])[first],
+                   np.where(twice, -1, 0)[first].astype(np.int32), h1[first], h2[first])
+        at = start[twice]
+        if len(at):
+            joint = (np.diff(at) == 1) & (part.doc[at[1:]] == part.doc[at[:-1]])
+            begin = at[np.concatenate(([True], ~joint))]
+            size = at[np.concatenate((~joint, [True]))] - begin + window
+            doc = part.doc[begin]
+            yield rows(a[doc + part.first], b[doc + part.first], begin - part.bounds[doc], size)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
@@ -146,11 +168,7 @@ def _parse(texts: DataFrame, window: int) -> DataFrame:
                 # whole windows in a factor: those that start from its begin to its end - window
                 inside = covered(s.at[begin], size - window + 1, len(part.doc))
                 open_ = ~inside[s.windows] & known[s.window_seed]
-                start = s.windows[open_]
-                doc = part.doc[start]
-                second = Hasher(part.hashes, second=True)
-                yield rows(a[doc + part.first], b[doc + part.first], start - part.bounds[doc], np.zeros(len(start), dtype=np.int32),
-                           s.hasher.spans(start, start + window), second.spans(start, start + window))
+                yield from loose(a, b, part, s, s.windows[open_])
 
     return map_arrow(texts.select("a", "b", "text", "refs"), work, "a long, b long, pos int, size int, h1 long, h2 long")
 
@@ -164,8 +182,8 @@ def duplicate_spans(texts: DataFrame, window: int) -> DataFrame:
     refs = (repeated.join(reference, "seed").groupBy("a", "b")
             .agg(F.collect_list(F.struct("pos", "ra", "rb", "at", F.col("rlink").alias("link"))).alias("refs")))
     parsed = written(_parse(texts.join(refs, ["a", "b"]), window), "factors")
-    loose = parsed.where("size = 0")
-    twice = loose.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    loose = parsed.where("size <= 0")
+    twice = loose.groupBy("h1", "h2").agg(F.sum(1 - F.col("size")).alias("n")).where("n > 1").select("h1", "h2")
     return (parsed.where("size > 0").select("a", "b", "pos", "size").distinct()
             .unionByName(loose.join(twice, ["h1", "h2"]).select("a", "b", "pos", F.lit(window).cast("int").alias("size"))))
 
