@@ -52,7 +52,10 @@ def ordered_processor(df: DataFrame, *, key: str, time_col: str, order_cols: Seq
         pending = [r for r in pending if r[time_col] > wm]
         ready.sort(key=lambda r: tuple((r[c] is not None, r[c]) for c in [time_col, *order_cols]))
         carry, rows = step(carry, ready) if ready else (carry, [])
-        state.update((json.dumps([pending, carry], default=str),))
+        if pending or carry is not None:
+            state.update((json.dumps([pending, carry], default=str),))
+        elif state.exists:
+            state.remove()
         if pending:
             state.setTimeoutTimestamp(max(min(r[time_col] for r in pending) // 1000 + 1, wm // 1000 + 1))
         if rows:
