@@ -83,33 +83,33 @@ def running_range_totals(df: DataFrame, *, keys: str | Sequence[str], time_col:
     decimals, so a difference is exact.  A sum of no values is NULL.  Rows with a NULL key
     are one key; rows without a time are each other's peers and nobody else's.
     """
-    from rillet.operators.scan import matched, running_totals
+    from rillet.operators.scan import key_of, running_totals, suggest_slice
 
     keys = _cols(keys)
     sums, counts = sums or {}, counts or {}
-    r_us = _micros(range_)
+    r_us, slice_ = _micros(range_), slice_ or suggest_slice(df, time_col)
     kind = {n: df.select(F.sum(v)).schema[0].dataType for n, v in sums.items()}
     floating = {n for n, k in kind.items() if k.typeName() in ("double", "float")}
     value = {n: v.cast("decimal(28,9)") if n in floating else v for n, v in sums.items()}
     names = [*[f"_s_{n}" for n in sums], *[f"_n_{n}" for n in sums], *[f"_n_{n}" for n in counts]]
-    base = df.withColumn("_t", _epoch_us(F.col(time_col)))
+    base = df.withColumn("_t", _epoch_us(F.col(time_col))).withColumn("_row_key", key_of([*keys, "_t"]))
     per_time = base.groupBy(*keys, "_t").agg(
         *[F.coalesce(F.sum(v), F.lit(0)).alias(f"_s_{n}") for n, v in value.items()],
         *[F.count(v).alias(f"_n_{n}") for n, v in {**value, **counts}.items()])
-    timed = per_time.where(F.col("_t").isNotNull())
-    asked = timed.select(*keys, "_t", (F.col("_t") - F.lit(r_us)).alias("_at"), F.lit(False).alias("_own"),
-                         *[F.lit(0).cast(timed.schema[n].dataType).alias(n) for n in names])
-    points = timed.select(*keys, "_t", F.col("_t").alias("_at"), F.lit(True).alias("_own"), *names).unionByName(asked)
-    points = points.withColumn("_time", F.timestamp_micros("_at"))
+    # each time as a point of its own, and the point that it asks the earlier total of; rows
+    # without a time come first, so both totals of a later row hold them
+    zero = [F.lit(0).cast(per_time.schema[n].dataType).alias(n) for n in names]
+    points = per_time.select(*keys, "_t", F.inline(F.array(
+        F.struct(F.col("_t").alias("_at"), F.lit(True).alias("_own"), *[F.col(n) for n in names]),
+        F.struct((F.col("_t") - F.lit(r_us)).alias("_at"), F.lit(False).alias("_own"), *zero))))
+    points = points.where(F.col("_own") | F.col("_at").isNotNull()).withColumn("_time", F.timestamp_micros("_at"))
     totals = running_totals(points, keys=keys, order_cols=["_at", "_own"], time_col="_time", slice_=slice_,
                             values={f"{n}_upto": F.col(n) for n in names})
-    own = lambda n, is_own: F.max(F.when(F.col("_own") == F.lit(is_own), F.col(f"{n}_upto")))
-    framed = totals.groupBy(*keys, "_t").agg(*[(own(n, True) - own(n, False)).alias(n) for n in names])
-    untimed = per_time.where(F.col("_t").isNull()).select(*keys, "_t", *names)
-    frames = framed.select(*keys, "_t", *names).unionByName(untimed)
-    frames = frames.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_kt"), *names)
-    out = base.join(frames, matched([*keys, "_t"], [*[f"_k{i}" for i in range(len(keys))], "_kt"]), "inner")
-    return out.select(*[F.col(c) for c in df.columns],
+    upto = lambda n, own: F.max(F.when(F.col("_own") == F.lit(own), F.col(f"{n}_upto")))
+    frames = totals.groupBy(key_of([*keys, "_t"]).alias("_row_key")).agg(
+        *[(upto(n, True) - F.coalesce(upto(n, False), F.lit(0))).alias(n) for n in names])
+    return base.join(frames, "_row_key").select(
+                      *[F.col(c) for c in df.columns],
                       *[F.when(F.col(f"_n_{n}") > 0, F.col(f"_s_{n}").cast(kind[n])).alias(n) for n in sums],
                       *[F.col(f"_n_{n}").cast("bigint").alias(n) for n in counts])
 
@@ -153,25 +153,24 @@ def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
     the data if it isn't given.  Rows with a NULL key are one key, rows without a time come
     first in it.
     """
-    from rillet.operators.scan import carried, with_slice
+    from rillet.operators.scan import carried, key_of, with_slice
 
-    keys = _cols(keys)
-    base = with_slice(df, time_col or order_cols[0], slice_)
-    local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
+    base = with_slice(df.withColumn("_key", key_of(_cols(keys))), time_col or order_cols[0], slice_)
+    local_w = (Window.partitionBy("_key", "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.last(c, ignorenulls=True).over(local_w).alias(f"_loc_{c}")
                                for c in value_cols])
     # Summary: last non-null of every column within each slice, ordered by the
     # same keys.  max_by over a struct of the order columns picks it exactly.
     order_struct = F.struct(*[F.col(c) for c in order_cols])
-    summ = local.groupBy(*keys, "_slice").agg(*[
+    summ = local.groupBy("_key", "_slice").agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"_s_{c}")
         for c in value_cols])
-    carry_w = (Window.partitionBy(*keys).orderBy("_slice")
+    carry_w = (Window.partitionBy("_key").orderBy("_slice")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summ.select(*keys, "_slice", *[F.last(f"_s_{c}", ignorenulls=True).over(carry_w)
-                                           .alias(f"_c_{c}") for c in value_cols])
-    return carried(local, carry, keys).select(
+    carry = summ.select("_key", "_slice", *[F.last(f"_s_{c}", ignorenulls=True).over(carry_w)
+                                            .alias(f"_c_{c}") for c in value_cols])
+    return carried(local, carry).select(
                       *[F.col(c) for c in df.columns],
                       *[F.coalesce(F.col(f"_loc_{c}"), F.col(f"_c_{c}")).alias(f"{prefix}{c}")
                         for c in value_cols])

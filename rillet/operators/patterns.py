@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.over import _micros
-from rillet.operators.scan import matched, next_rows, running_total, running_totals
+from rillet.operators.scan import matched, next_rows, running_total, running_totals, suggest_slice
 
 # Rows of one failure run scanned as one array in the M1 scan (bounds task memory
 # and the per-block match list).
@@ -137,12 +137,12 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     if size != 3:
         raise ValueError("only the reference's F{3,}? pattern is supported")
     w_us = _micros(within)
+    slice_ = slice_ or suggest_slice(df, time_col)
     is_f = F.coalesce(F.col(status_col) == failed, F.lit(False))
     # One pass: _g numbers the failure runs, _nf counts failures so far (its
     # order inside a run is the run order, so blocks are ranges of _nf).
     g = running_totals(df, keys=key, order_cols=[time_col, tiebreak], time_col=time_col,
-                       values={"_g": F.when(is_f, 0).otherwise(1), "_nf": F.when(is_f, 1).otherwise(0)},
-                       **({"slice_": slice_} if slice_ else {}))
+                       values={"_g": F.when(is_f, 0).otherwise(1), "_nf": F.when(is_f, 1).otherwise(0)}, slice_=slice_)
     fails = g.where(is_f).select(F.col(key).alias("_k"), "_g", "_nf", F.col(time_col).alias("_t"),
                                  F.col(tiebreak).alias("_tb"))
     # Second-next failure of the account; it is in the same run iff its _g matches.

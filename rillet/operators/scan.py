@@ -35,6 +35,12 @@ def matched(left: Sequence[str], right: Sequence[str]) -> Column:
     return out
 
 
+def key_of(keys: Sequence[str]) -> Column:
+    """The keys as one struct, which is never NULL: windows, groups and plain equi-joins on it
+    take NULL keys as one key and share one partitioning."""
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def with_slice(df: DataFrame, time_col: str, slice_: str | None) -> DataFrame:
     """``_slice``: the number of the row's slice of ``slice_`` (sized from the data if None);
     rows without a time share one slice, before all others."""
@@ -42,13 +48,9 @@ def with_slice(df: DataFrame, time_col: str, slice_: str | None) -> DataFrame:
     return df.withColumn("_slice", F.coalesce(F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)), F.lit(-(1 << 62))))
 
 
-def carried(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``local`` with the columns that ``carry`` has for its (keys, _slice); keys may be NULL."""
-    names = [*keys, "_slice"]
-    other = [f"_of_{i}" for i in range(len(names))]
-    renamed = carry.select(*[F.col(c).alias(o) for c, o in zip(names, other, strict=True)],
-                           *[c for c in carry.columns if c not in names])
-    return local.join(renamed, matched(names, other), "left").drop(*other)
+def carried(local: DataFrame, carry: DataFrame) -> DataFrame:
+    """``local`` with the columns that ``carry`` has for its (_key, _slice)."""
+    return local.join(carry, ["_key", "_slice"], "left")
 
 
 def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
@@ -62,16 +64,16 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     """
     keys = _cols(keys)
     names = list(values)
-    base = with_slice(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]),
+    base = with_slice(df.select("*", key_of(keys).alias("_key"), *[v.alias(f"_v_{n}") for n, v in values.items()]),
                       time_col or order_cols[0], slice_)
-    local_w = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
+    local_w = (Window.partitionBy("_key", "_slice").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_v_{n}").over(local_w).alias(f"_loc_{n}") for n in names])
-    summ = local.groupBy(*keys, "_slice").agg(*[F.sum(f"_v_{n}").alias(f"_tot_{n}") for n in names])
-    carry_w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, "_slice", *[F.coalesce(F.sum(f"_tot_{n}").over(carry_w), F.lit(0))
-                                           .alias(f"_carry_{n}") for n in names])
-    return carried(local, carry, keys).select(
+    summ = local.groupBy("_key", "_slice").agg(*[F.sum(f"_v_{n}").alias(f"_tot_{n}") for n in names])
+    carry_w = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select("_key", "_slice", *[F.coalesce(F.sum(f"_tot_{n}").over(carry_w), F.lit(0))
+                                            .alias(f"_carry_{n}") for n in names])
+    return carried(local, carry).select(
                       *[F.col(c) for c in df.columns],
                       *[(F.col(f"_loc_{n}") + F.col(f"_carry_{n}")).alias(n) for n in names])
 
@@ -90,15 +92,15 @@ def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
     """``LAG(value, 1) OVER (PARTITION BY keys ORDER BY order_cols)`` for non-NULL ``value``
     (wrap nullable values in a struct)."""
     keys = _cols(keys)
-    base = with_slice(df.withColumn("_v", value), time_col or order_cols[0], slice_)
-    local_w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
+    base = with_slice(df.withColumn("_v", value).withColumn("_key", key_of(keys)), time_col or order_cols[0], slice_)
+    local_w = Window.partitionBy("_key", "_slice").orderBy(*order_cols)
     local = base.withColumn("_loc", F.lag("_v", 1).over(local_w))
     ordering = F.struct(*[F.col(c) for c in order_cols])
-    summ = local.groupBy(*keys, "_slice").agg(F.max_by("_v", ordering).alias("_lastv"))
-    carry_w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, "_slice", F.last("_lastv", ignorenulls=True).over(carry_w).alias("_carry"))
-    out = carried(local, carry, keys)
-    return out.withColumn(alias, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_v", "_loc", "_carry", "_slice")
+    summ = local.groupBy("_key", "_slice").agg(F.max_by("_v", ordering).alias("_lastv"))
+    carry_w = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select("_key", "_slice", F.last("_lastv", ignorenulls=True).over(carry_w).alias("_carry"))
+    return carried(local, carry).select(*[F.col(c) for c in df.columns if c != alias],
+                                        F.coalesce(F.col("_loc"), F.col("_carry")).alias(alias))
 
 
 def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str], time_col: str,

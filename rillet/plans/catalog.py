@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rillet.operators import aggregations as agg
 from rillet.operators import joins as J
 from rillet.operators import over as W
+from rillet.operators.scan import suggest_slice
 from rillet.plans import params as P
 from rillet.sources import fixtures as fx
 
@@ -143,13 +144,14 @@ def dual_window_frame(spark: SparkSession, sf: str) -> DataFrame:
     total, and every transaction keeps its own row (txn_id is the row key).
     """
     a = fx.transactions(spark, sf)
+    slice_ = suggest_slice(a, "timestamp")
     succ = F.col("status") == "Successful"
     wd = W.running_sum_flag(
-        a, keys=["account_number", "transaction_type"], time_col="timestamp", value_col="amount",
+        a, slice_=slice_, keys=["account_number", "transaction_type"], time_col="timestamp", value_col="amount",
         range_=P.DUAL_RANGE, threshold=P.DUAL_WITHDRAW_THRESHOLD, total_alias="withdrawal_total",
         flag_alias="withdraw_flag", only=(F.col("transaction_type") == "withdrawal") & succ)
     both = W.running_sum_flag(
-        wd, keys=["account_number", "currency"], time_col="timestamp", value_col="amount",
+        wd, slice_=slice_, keys=["account_number", "currency"], time_col="timestamp", value_col="amount",
         range_=P.DUAL_RANGE, threshold=P.DUAL_FX_THRESHOLD, total_alias="forex_total",
         flag_alias="fx_flag", only=(F.col("transaction_type") != "refund") & succ)
     j = both.where((F.col("withdraw_flag") == "YES") | (F.col("fx_flag") == "YES"))
