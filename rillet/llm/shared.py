@@ -11,9 +11,19 @@ from pyspark.sql import functions as F
 from rillet.session import checkpoint_dir, ship_package
 
 
+#: Rows of an Arrow batch: texts run to many kilobytes, and a batch is in memory several times.
+BATCH_ROWS = 2_000
+
+
 def map_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """``mapInArrow`` whose function may live in this package on any executor."""
-    ship_package(df.sparkSession)
+    """``mapInArrow`` whose function may live in this package on any executor, with batches
+    of at most BATCH_ROWS rows unless the session asks for fewer."""
+    spark = df.sparkSession
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    asked = int(spark.conf.get(name, "10000"))
+    if not 0 < asked <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
     return df.mapInArrow(work, schema)
 
 
