@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import ann, bpe, chat, mixing, order, quality, simhash, substring, toxicity, urls
+from rillet.llm import ann, bpe, chat, mixing, order, quality, search, simhash, substring, toxicity, urls
 
 #: The rules of op9 and the conversation that op2 adds.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -96,8 +96,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_training_order, op4_substring_dedup, op5_quality_rules,
-                                   op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest)}
+                                   op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest, op13_ranked_search)}
 
 #: Fixed values of SQL: the words of a text.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -188,4 +193,24 @@ ORACLE = {
             ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
         SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parsed LEFT JOIN met USING (page_id)""",
+    "op13_ranked_search": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        sizes AS (SELECT r, len(terms) AS n FROM words WHERE len(terms) > 0),
+        totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+        asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark) GROUP BY ALL),
+        lists AS (
+            SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, unnest(terms) AS term FROM words) SEMI JOIN asked USING (term) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM lists, totals GROUP BY term),
+        scored AS (
+            SELECT item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked JOIN lists USING (term) JOIN weights USING (term) JOIN sizes USING (r), totals GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS place FROM scored WHERE score > 0)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20""",
 }
