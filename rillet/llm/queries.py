@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import ann, bpe, chat, mixing, order, quality, search, simhash, substring, toxicity, urls
+from rillet.llm import ann, bpe, chat, mixing, order, quality, repair, search, simhash, substring, toxicity, urls
 
 #: The rules of op9 and the conversation that op2 adds.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -96,13 +96,33 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults that op11 plants by a checksum of id and turn: the row is
+    ``gone``, its text empty or without ends of sentences, the row twice, or its role the user's."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text, role = (F.coalesce(c, F.lit(" ")) for c in ("text", "role"))
+    fault = F.col("fault")
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key.cast("binary")) % 20).alias("fault")).select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(False), F.lit(False))).otherwise(F.array(fault == 0))).alias("gone"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    fixed = repair.repair(damaged(table(spark, sf_dir, "conversations")), gone="gone")
+    lines = F.array_join(F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"])), "\n")
+    return fixed.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(lines, 256).alias("repaired_sha256"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item."""
     return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_training_order, op4_substring_dedup, op5_quality_rules,
-                                   op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest, op13_ranked_search)}
+                                   op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest, op11_conversation_repair,
+                                   op13_ranked_search)}
 
 #: Fixed values of SQL: the words of a text.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -193,6 +213,60 @@ ORACLE = {
             ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
         SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parsed LEFT JOIN met USING (page_id)""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+        bits AS (SELECT range AS b, list_reduce([CAST(range AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS code FROM range(256)),
+        codes AS (SELECT list(code ORDER BY b) AS code FROM bits),
+        summed AS (
+            SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, [CAST(ascii(x) AS BIGINT) FOR x IN string_split(key, '')]),
+                lambda c, x: xor(c >> 8, code[1 + (xor(c, x) & 255)])), 4294967295) % 20 AS fault FROM keyed, codes),
+        damaged AS (
+            SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM summed, range(2) WHERE fault <> 0 AND (range = 0 OR fault = 3)),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+        ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth,
+                lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+        judged AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                before IS NOT NULL AND before || role[1] NOT IN ('su', 'ua', 'au') AS clash FROM ordered),
+        counted AS (
+            SELECT conv_id, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (clash) AS illegal FROM judged GROUP BY conv_id),
+        moves(q, a, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        inserts(q, price, audit, made, q2) AS (VALUES (0, 0, '', []::VARCHAR[], 0), (1, 0, '', [], 1), (2, 0, '', [], 2), (3, 0, '', [], 3),
+            (0, 5, 'I', ['user:'], 2), (1, 5, 'I', ['user:'], 2), (2, 5, 'I', ['assistant:'], 3), (3, 5, 'I', ['user:'], 2),
+            (0, 10, 'II', ['user:', 'assistant:'], 3), (1, 10, 'II', ['user:', 'assistant:'], 3)),
+        edits AS (
+            SELECT conv_id, i, q, 2 AS price, 'D' AS edit, []::VARCHAR[] AS made, q AS q2 FROM judged, range(4) AS r(q)
+            UNION ALL
+            SELECT conv_id, i, q, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K', [role || ':' || text], q2
+            FROM judged JOIN moves ON role[1] = a WHERE fault IN ('', 'truncated')
+            UNION ALL
+            SELECT conv_id, i, q, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R', [CASE a WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text], q2
+            FROM judged JOIN moves ON a <> 's' WHERE fault IN ('', 'truncated')),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS q, {'cost': 0::BIGINT, 'audit': '', 'made': []::VARCHAR[]} AS best FROM counted
+            UNION ALL
+            SELECT w.conv_id, w.i + 1, e.q2, min({'cost': w.best.cost + s.price + e.price, 'audit': w.best.audit || s.audit || e.edit,
+                'made': list_concat(list_concat(w.best.made, s.made), e.made)})
+            FROM walk AS w JOIN inserts AS s ON w.q = s.q JOIN edits AS e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.q = s.q2
+            GROUP BY ALL),
+        ended AS (
+            SELECT w.conv_id, min({'cost': w.best.cost + s.price, 'audit': w.best.audit || s.audit, 'made': list_concat(w.best.made, s.made)}) AS best
+            FROM walk AS w JOIN counted AS c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN inserts AS s ON w.q = s.q
+            WHERE s.q2 IN (0, 3) GROUP BY w.conv_id)
+        SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+            sha256(coalesce(array_to_string(best.made, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS a LEFT JOIN counted AS c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended AS e ON a.conv_id IS NOT DISTINCT FROM e.conv_id""",
     "op13_ranked_search": r"""
         WITH words AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
