@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import ann, bpe, chat, mixing, order, quality, repair, search, simhash, substring, toxicity, urls
+from rillet.llm import ann, bpe, chat, mixing, order, packing, quality, repair, search, simhash, substring, toxicity, urls
 
 #: The rules of op9 and the conversation that op2 adds.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -115,6 +115,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(lines, 256).alias("repaired_sha256"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 1,024; ids are reduced to their checksum before they move."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+                                  capacity=1024, end=2)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=1024)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item."""
     return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
@@ -122,7 +131,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_training_order, op4_substring_dedup, op5_quality_rules,
                                    op6_toxicity, op7_byte_bpe, op8_mix_sources, op9_url_filter, op10_nearest, op11_conversation_repair,
-                                   op13_ranked_search)}
+                                   op12_best_fit_packing, op13_ranked_search)}
 
 #: Fixed values of SQL: the words of a text.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
