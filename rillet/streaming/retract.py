@@ -76,21 +76,48 @@ def _out(changes: Counter, columns: Sequence[str]) -> Iterator[pd.DataFrame]:
 
 
 class _Rows:
-    """Equal rows and how many there are of each, in a map state."""
+    """Equal rows and how many there are of each: a log of their changes, written with one call
+    a batch, netted when it is read and rewritten when it has grown to twice its rows."""
 
-    def __init__(self, state) -> None:
-        self.state = state
+    def __init__(self, handle: StatefulProcessorHandle, name: str) -> None:
+        self.state = handle.getListState(name, "row string, n long")
+
+    def all(self) -> dict[str, int]:
+        held: Counter = Counter()
+        entries = 0
+        for row, n in self.state.get():
+            held[row] += n
+            entries += 1
+        net = {row: n for row, n in held.items() if n}
+        if entries > 2 * len(net) + 16:
+            if net:
+                self.state.put(list(net.items()))
+            else:
+                self.state.clear()
+        return net
+
+    def add(self, changes: dict[str, int]) -> None:
+        if changes:
+            self.state.appendList(list(changes.items()))
+
+
+class _ExpiringRows:
+    """The same with one entry per row, each of which expires by itself."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, ttl: int) -> None:
+        self.state = handle.getMapState(name, "row string", "n long", ttl)
 
     def all(self) -> dict[str, int]:
         return {k[0]: v[0] for k, v in self.state.iterator()}
 
-    def add(self, row: str, n: int) -> None:
-        held = self.state.getValue((row,)) if self.state.containsKey((row,)) else None
-        n += held[0] if held else 0
-        if n:
-            self.state.updateValue((row,), (n,))
-        elif held:
-            self.state.removeKey((row,))
+    def add(self, changes: dict[str, int]) -> None:
+        for row, n in changes.items():
+            held = self.state.getValue((row,))
+            n += held[0] if held else 0
+            if n > 0:
+                self.state.updateValue((row,), (n,))
+            elif held:
+                self.state.removeKey((row,))
 
 
 class _Order:
@@ -127,7 +154,7 @@ class _Upsert(StatefulProcessor):
         self.current = handle.getValueState("current", "row string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.current.get()[0] if self.current.exists() else None
+        before = (self.current.get() or (None,))[0]
         now = before
         for pdf in rows:
             for row in pdf["row_json"]:
@@ -158,7 +185,7 @@ class _Join(StatefulProcessor):
         self.pad_left, self.pad_right, self.ttl = pad_left, pad_right, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.left, self.right = (_Rows(handle.getMapState(name, "row string", "n long", ttl))
+        self.left, self.right = (_Rows(handle, name) if ttl is None else _ExpiringRows(handle, name, ttl)
                                  for name, ttl in zip(("left", "right"), self.ttl, strict=True))
         if self.pad_left or self.pad_right:
             self.counts = handle.getValueState("counts", "l long, r long")
@@ -181,16 +208,15 @@ class _Join(StatefulProcessor):
                 for l, m in part.items():
                     out[l, r] += n * m
         if self.pad_left or self.pad_right:
-            n_left, n_right = self.counts.get() if self.counts.exists() else (0, 0)
+            n_left, n_right = self.counts.get() or (0, 0)
             then = (n_left + sum(new_left.values()), n_right + sum(new_right.values()))
             if self.pad_left:
                 self._pad(out, lambda row: (row, None), left, new_left, n_right, then[1])
             if self.pad_right:
                 self._pad(out, lambda row: (None, row), right, new_right, n_left, then[0])
             self.counts.update(then)
-        for state, new in ((self.left, new_left), (self.right, new_right)):
-            for row, n in new.items():
-                state.add(row, n)
+        self.left.add(new_left)
+        self.right.add(new_right)
         yield from _out(out, ["_l", "_r"])
 
     @staticmethod
@@ -308,8 +334,7 @@ class _Aggregate(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         sums, counts, before = [_Sum() for _ in self.scales], [0] * (self.n_counts + 1), None
-        if self.state.exists():
-            held = self.state.get()
+        if (held := self.state.get()) is not None:
             counts, sums = [int(c) for c in held[0].split()], [_Sum(s) for s in held[1]]
             before = self._row(counts, sums)
         for pdf in rows:
@@ -319,7 +344,7 @@ class _Aggregate(StatefulProcessor):
                     s.merge(v, n) if self.merges else s.add(v, n, scale is None)
         if counts[0] > 0 or any(counts):   # more taken away than added so far: wait for the rest
             self.state.update((" ".join(map(str, counts)), [s.text() for s in sums]))
-        elif before is not None or self.state.exists():
+        elif held is not None:
             self.state.clear()
         after = self._row(counts, sums)
         if before != after:
@@ -379,7 +404,7 @@ class _Winner(StatefulProcessor):
         self.order = order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = _Rows(handle.getMapState("rows", "row string", "n long"))
+        self.rows = _Rows(handle, "rows")
         self.shown = handle.getValueState("shown", "row string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -387,10 +412,8 @@ class _Winner(StatefulProcessor):
         for pdf in rows:
             for n, row in zip(pdf["n"].tolist(), pdf["row_json"], strict=True):
                 change[row] += n
-        for row, n in change.items():
-            if n:
-                self.rows.add(row, n)
-        before = self.shown.get()[0] if self.shown.exists() else None
+        self.rows.add({row: n for row, n in change.items() if n})
+        before = (self.shown.get() or (None,))[0]
         if change.get(before, 0) < 0:
             left = [r for r, n in self.rows.all().items() if n > 0]   # the next best one returns
         else:
@@ -430,20 +453,17 @@ class _Versioned(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = handle.getMapState("versions", "t long", "row string")
-        self.waiting = handle.getMapState("waiting", "t long, n long", "row string")
-        self.seen = handle.getValueState("seen", "n long")
+        self.versions = handle.getListState("versions", "t long, row string")
+        self.waiting = handle.getListState("waiting", "t long, row string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = self.seen.get()[0] if self.seen.exists() else 0
+        new: tuple[list, list] = ([], [])
         for pdf in rows:
             for side, t, row in zip(pdf["side"].tolist(), pdf["t"].tolist(), pdf["row_json"], strict=True):
-                if side:
-                    self.waiting.updateValue((t, n), (row,))
-                    n += 1
-                elif not self.versions.containsKey((t,)) or self.versions.getValue((t,))[0] < row:
-                    self.versions.updateValue((t,), (row,))
-        self.seen.update((n,))
+                new[side].append((t, row))
+        for state, entries in zip((self.versions, self.waiting), new, strict=True):
+            if entries:
+                state.appendList(entries)
         yield from self._released(timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -451,23 +471,28 @@ class _Versioned(StatefulProcessor):
 
     def _released(self, timerValues) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [(k[0], k[1], v[0]) for k, v in self.waiting.iterator()]
-        ready = sorted(w for w in waiting if w[0] <= clock)
-        versions = sorted((k[0], v[0]) for k, v in self.versions.iterator())
-        times = [t for t, _ in versions]
-        out = []
-        for t, n, row in ready:
-            at = bisect_right(times, t)
-            if at:
-                out.append((row, versions[at - 1][1]))
-            self.waiting.removeKey((t, n))
-        for t in times[:max(bisect_right(times, clock) - 1, 0)]:
-            self.versions.removeKey((t,))   # no row that is still to come asks for it
-        later = [w[0] for w in waiting if w[0] > clock]
+        waiting = list(self.waiting.get())
+        ready, later = sorted(w for w in waiting if w[0] <= clock), [w for w in waiting if w[0] > clock]
         if later:
-            self.handle.registerTimer(max(min(later), clock) // 1000 + 1)
-        if out:
-            yield pd.DataFrame(out, columns=["_l", "_v"])
+            self.handle.registerTimer(max(min(later)[0], clock) // 1000 + 1)
+        if not ready:
+            return
+        versions = sorted(self.versions.get())
+        times = [t for t, _ in versions]
+        for at in range(0, len(ready), 10_000):
+            valid = [(row, bisect_right(times, t)) for t, row in ready[at:at + 10_000]]
+            yield pd.DataFrame([(row, versions[v - 1][1]) for row, v in valid if v], columns=["_l", "_v"], dtype=object)
+        self._rewrite(self.waiting, later)
+        past = bisect_right(times, clock) - 1   # of these no row that is still to come asks
+        if past > len(versions) - past:
+            self._rewrite(self.versions, versions[past:])
+
+    @staticmethod
+    def _rewrite(state, entries: list[tuple]) -> None:
+        if entries:
+            state.put(entries)
+        else:
+            state.clear()
 
     def close(self) -> None:
         pass
@@ -482,7 +507,8 @@ def versioned_join(left: DataFrame, versions: DataFrame, *, key: str | Sequence[
     versions up to its time are complete, however far they lag.  Of versions of one time the last by their
     columns' JSON counts.  Rows below the clock on arrival are late and go.  NULL keys match nothing.
 
-    State per key: rows above the clock, versions above the clock and the last one below it.
+    State per key: rows above the clock, versions above the clock, the last one below it and at most as
+    many older ones.
     """
     keys = _cols(key)
     known = F.lit(True)
