@@ -61,12 +61,12 @@ def session_count(df: DataFrame, time_col: str, gap: str, keys: str | Sequence[s
     ``groupBy(key, session)``.  Rows without a time belong to no session; NULL is a key.
     """
     from rillet.operators.over import _micros
-    from rillet.operators.scan import previous_value, running_total, suggest_slice
+    from rillet.operators.scan import previous_value, rank_slices, running_total
 
     keys = _cols(keys)
     src = (df if where is None else df.where(where)).where(F.col(time_col).isNotNull())
     rows = src.select(*keys, F.col(time_col), F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"))
-    slice_ = slice_ or suggest_slice(rows, time_col)
+    slice_ = slice_ or rank_slices(rows, time_col)
     prev = previous_value(rows, keys=keys, order_cols=["_t"], value=F.col("_t"), alias="_p", time_col=time_col, slice_=slice_)
     start = F.when(F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(_micros(gap))), 1).otherwise(0)
     sid = running_total(prev, keys=keys, order_cols=["_t"], value=start, alias="_sid", time_col=time_col, slice_=slice_)

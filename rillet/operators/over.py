@@ -1,9 +1,8 @@
 """OVER-window operators.
 
-Sums and counts over ``RANGE BETWEEN INTERVAL x PRECEDING AND CURRENT ROW`` are
-differences of running totals: the total up to a row's time less the total before
-``time - x``.  Running totals are sliced scans (:mod:`rillet.operators.scan`), so
-neither a hot key nor a long range has to fit one task.
+Sums and counts over ``RANGE BETWEEN INTERVAL x PRECEDING AND CURRENT ROW`` add up parts of
+slices and whole slices (:func:`running_range_totals`), so neither a hot key nor a long range has
+to fit one task, and nothing is subtracted: any doubles sum as in a plain window.
 
 Unbounded frames (``ROWS UNBOUNDED PRECEDING``) use a two-level scan: a local
 scan per slice, a carry computed from one summary row per slice, and a final
@@ -74,49 +73,56 @@ def running_aggregate(df: DataFrame, *, keys: str | Sequence[str], time_col: str
 
 def running_range_totals(df: DataFrame, *, keys: str | Sequence[str], time_col: str, range_: str,
                          sums: dict[str, Column] | None = None, counts: dict[str, Column] | None = None,
-                         slice_: str | None = None) -> DataFrame:
+                         slice_=None) -> DataFrame:
     """Attach ``SUM(v)`` (``sums``) and ``COUNT(v)`` (``counts``) over ``RANGE range_
     PRECEDING .. CURRENT ROW`` per key.
 
-    Rows are summed by (key, time) first; every time also asks for the total before
-    ``time - range_``, as a point of the same running scan.  Floating values are summed as
-    decimals, so a difference is exact.  A sum of no values is NULL.  Rows with a NULL key
-    are one key; rows without a time are each other's peers and nobody else's.
-    """
-    from rillet.operators.scan import key_of, running_totals, suggest_slice
+    Slices are cut at the borders of :class:`rillet.operators.scan.Slices` and at these plus the range, so
+    the frames that end in a slice all begin in one slice or in neighbours without a border + range
+    between.  A row x goes to its own slice and, its values alone, to the slice of x + range if that
+    is another: there a plain window finds the rows at both ends of each frame.  What lies between the two
+    slices is in every frame of the slice and is added as one total per (key, slice).
 
-    keys = _cols(keys)
-    sums, counts = sums or {}, counts or {}
-    r_us, slice_ = _micros(range_), slice_ or suggest_slice(df, time_col)
-    kind = {n: df.select(F.sum(v)).schema[0].dataType for n, v in sums.items()}
-    floating = {n for n, k in kind.items() if k.typeName() in ("double", "float")}
-    value = {n: v.cast("decimal(28,9)") if n in floating else v for n, v in sums.items()}
-    names = [*[f"_s_{n}" for n in sums], *[f"_n_{n}" for n in sums], *[f"_n_{n}" for n in counts]]
-    base = df.withColumn("_t", _epoch_us(F.col(time_col))).withColumn("_row_key", key_of([*keys, "_t"]))
-    per_time = base.groupBy(*keys, "_t").agg(
-        *[F.coalesce(F.sum(v), F.lit(0)).alias(f"_s_{n}") for n, v in value.items()],
-        *[F.count(v).alias(f"_n_{n}") for n, v in {**value, **counts}.items()])
-    # each time as a point of its own, and the point that it asks the earlier total of; rows
-    # without a time come first, so both totals of a later row hold them
-    zero = [F.lit(0).cast(per_time.schema[n].dataType).alias(n) for n in names]
-    points = per_time.select(*keys, "_t", F.inline(F.array(
-        F.struct(F.col("_t").alias("_at"), F.lit(True).alias("_own"), *[F.col(n) for n in names]),
-        F.struct((F.col("_t") - F.lit(r_us)).alias("_at"), F.lit(False).alias("_own"), *zero))))
-    points = points.where(F.col("_own") | F.col("_at").isNotNull()).withColumn("_time", F.timestamp_micros("_at"))
-    totals = running_totals(points, keys=keys, order_cols=["_at", "_own"], time_col="_time", slice_=slice_,
-                            values={f"{n}_upto": F.col(n) for n in names})
-    upto = lambda n, own: F.max(F.when(F.col("_own") == F.lit(own), F.col(f"{n}_upto")))
-    frames = totals.groupBy(key_of([*keys, "_t"]).alias("_row_key")).agg(
-        *[(upto(n, True) - F.coalesce(upto(n, False), F.lit(0))).alias(n) for n in names])
-    return base.join(frames, "_row_key").select(
-                      *[F.col(c) for c in df.columns],
-                      *[F.when(F.col(f"_n_{n}") > 0, F.col(f"_s_{n}").cast(kind[n])).alias(n) for n in sums],
-                      *[F.col(f"_n_{n}").cast("bigint").alias(n) for n in counts])
+    One shuffle of the rows with at most one narrow copy each, one partial aggregate of the values.
+    A sum of no values is NULL.  Rows with a NULL key are one key; rows without a time are each
+    other's peers and nobody else's.
+    """
+    from rillet.operators.scan import TIMELESS, key_of, slices_for
+
+    keys, sums, counts = _cols(keys), sums or {}, counts or {}
+    r_us, slices = _micros(range_), slices_for(df, time_col, slice_)
+    t = _epoch_us(F.col(time_col))
+    # borders and borders + range, counted: both slices of x, x's own and that of x + range
+    own = F.coalesce(slices.of(t) + slices.of(t - F.lit(r_us)), F.lit(TIMELESS))
+    far = F.coalesce(slices.of(t + F.lit(r_us)) + slices.of(t), F.lit(TIMELESS))
+    values = {**{f"_s_{n}": v for n, v in sums.items()}, **{f"_n_{n}": v for n, v in {**sums, **counts}.items()}}
+    total = {n: F.sum(n) if n.startswith("_s_") else F.count(n) for n in values}
+    kind = {f"_s_{n}": df.select(F.sum(v)).schema[0].dataType for n, v in sums.items()}
+    base = df.select(key_of(keys).alias("_key"), t.alias("_t"), own.alias("_own"), far.alias("_far"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+                     *[v.alias(n) for n, v in values.items()])
+    places = F.when(F.col("_far") > F.col("_own"), F.array("_own", "_far")).otherwise(F.array("_own"))
+    placed = base.select("_key", "_t", "_own", *values, "_row", F.explode(places).alias("_slice"))
+    placed = placed.withColumn("_row", F.when(F.col("_slice") == F.col("_own"), F.col("_row")))
+    frame = Window.partitionBy("_key", "_slice").orderBy("_t").rangeBetween(-r_us, Window.currentRow)
+    ends = placed.select("_key", "_slice", "_row", *[e.over(frame).alias(n) for n, e in total.items()]).where(F.col("_row").isNotNull())
+    cells = base.groupBy("_key", "_own", "_far").agg(*[e.alias(n) for n, e in total.items()])
+    inner = cells.alias("c").join(cells.select("_key", F.col("_own").alias("_slice")).distinct().alias("s"),
+                                  (F.col("c._key") == F.col("s._key")) & (F.col("c._own") < F.col("s._slice")) & (F.col("s._slice") < F.col("c._far")))
+    inner = inner.groupBy(F.col("s._key").alias("_key"), F.col("s._slice").alias("_slice")).agg(*[F.sum(f"c.{n}").alias(f"_in{n}") for n in values])
+    both = ends.join(inner, ["_key", "_slice"], "left")
+
+    def added(n: str) -> Column:
+        a, b = F.col(n), F.col(f"_in{n}")
+        return F.coalesce(a + b, a, b) if n in kind else a + F.coalesce(b, F.lit(0))
+
+    return both.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns],
+                       *[F.when(added(f"_n_{n}") > 0, added(f"_s_{n}").cast(kind[f"_s_{n}"])).alias(n) for n in sums],
+                       *[added(f"_n_{n}").cast("bigint").alias(n) for n in counts])
 
 
 def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str, value_col: str,
                      range_: str, threshold: float, total_alias: str = "total_value",
-                     flag_alias: str = "flag", slice_: str | None = None,
+                     flag_alias: str = "flag", slice_=None,
                      only: Column | None = None) -> DataFrame:
     """Running SUM over a time range with a YES/NO flag when it exceeds ``threshold``.
 
@@ -134,13 +140,13 @@ def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str,
 
 
 def running_count(df: DataFrame, *, keys: str | Sequence[str], time_col: str, range_: str,
-                  alias: str = "cnt", slice_: str | None = None) -> DataFrame:
+                  alias: str = "cnt", slice_=None) -> DataFrame:
     """Running ``COUNT(*)`` over a time range."""
     return running_range_totals(df, keys=keys, time_col=time_col, range_=range_, counts={alias: F.lit(1)}, slice_=slice_)
 
 
 def latest_values(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
-                  value_cols: Sequence[str], prefix: str = "last_", slice_: str | None = None,
+                  value_cols: Sequence[str], prefix: str = "last_", slice_=None,
                   time_col: str | None = None) -> DataFrame:
     """``LAST_VALUE(c IGNORE NULLS) OVER (PARTITION BY keys ORDER BY .. ROWS UNBOUNDED
     PRECEDING)`` for each value column, one output row per input row.

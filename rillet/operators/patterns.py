@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.over import _micros
-from rillet.operators.scan import matched, next_rows, running_total, running_totals, suggest_slice
+from rillet.operators.scan import matched, next_rows, rank_slices, running_total, running_totals
 
 # Rows of one failure run scanned as one array in the M1 scan (bounds task memory
 # and the per-block match list).
@@ -137,7 +137,7 @@ def min_run_reluctant(df: DataFrame, *, key: str, time_col: str, tiebreak: str,
     if size != 3:
         raise ValueError("only the reference's F{3,}? pattern is supported")
     w_us = _micros(within)
-    slice_ = slice_ or suggest_slice(df, time_col)
+    slice_ = slice_ or rank_slices(df, time_col)
     is_f = F.coalesce(F.col(status_col) == failed, F.lit(False))
     # One pass: _g numbers the failure runs, _nf counts failures so far (its
     # order inside a run is the run order, so blocks are ranges of _nf).

@@ -2,7 +2,7 @@
 
 A window ``PARTITION BY key ORDER BY t`` puts every row of a key in one task.
 When one key may hold a large share of all rows, the scans here split each
-key by event-time slices and stitch the slices together exactly:
+key by event-time slices (:class:`Slices`) and stitch the slices together exactly:
 
 1. a local window inside each ``(key, slice)``;
 2. one summary row per ``(key, slice)`` (partial-aggregated before the shuffle);
@@ -19,8 +19,48 @@ from pyspark.sql import functions as F
 
 from rillet.operators.over import _epoch_us, _micros
 
-#: Rows of a key that holds a third of all rows that one (key, slice) may have.
+#: Rows that one slice should have, hence the most that a key can have in one, whatever its share.
 ROWS_PER_TASK = 2_000_000
+#: Slices at most: their borders are a literal of the plan.
+MOST_SLICES = 16_384
+
+
+class Slices:
+    """Event time cut into slices by borders (microseconds) or, given a width, evenly.
+
+    A time equal to a border begins the slice: rows of one time share a slice.
+    """
+
+    def __init__(self, borders: Sequence[int] = (), width: int | None = None) -> None:
+        self.borders, self.width = sorted(set(borders)), width
+
+    def of(self, t: Column) -> Column:
+        """Number of the slice that time ``t`` (microseconds) is in, rising with it; NULL for NULL."""
+        if self.width:
+            return F.floor(t / F.lit(self.width)).cast("long")
+        if not self.borders:
+            return F.when(t.isNotNull(), F.lit(0).cast("long"))
+        # how many borders are at most t, by binary search; the list is folded to one literal
+        cuts = F.split(F.lit(",".join(map(str, self.borders))), ",").cast("array<bigint>")
+        n = len(self.borders)
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+        below = F.aggregate(steps, F.lit(0), lambda a, step: F.when((a + step <= n) & (F.get(cuts, a + step - 1) <= t), a + step).otherwise(a))
+        return F.when(t.isNotNull(), below.cast("long"))
+
+
+def rank_slices(df: DataFrame, time_col: str, *, rows_per_task: int | None = None) -> Slices:
+    """Slices with about ``rows_per_task`` rows of ``df`` each, so no key can have more in one, be
+    it hot, bursty or beside outliers; only rows of one and the same time can't be parted.
+
+    A count and, where one slice is too few, quantiles of the time column are read by the
+    driver.  Scans are exact for any borders.  Beyond MOST_SLICES slices they grow with the table.
+    """
+    t = _epoch_us(F.col(time_col))
+    n = -(-df.count() // (rows_per_task or ROWS_PER_TASK))
+    if n <= 1:
+        return Slices()
+    n = min(n, MOST_SLICES)
+    return Slices(df.select(F.percentile_approx(t, [i / n for i in range(1, n)], max(10_000, 8 * n))).first()[0] or ())
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -41,11 +81,21 @@ def key_of(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def with_slice(df: DataFrame, time_col: str, slice_: str | None) -> DataFrame:
-    """``_slice``: the number of the row's slice of ``slice_`` (sized from the data if None);
-    rows without a time share one slice, before all others."""
-    s_us = _micros(slice_ or suggest_slice(df, time_col))
-    return df.withColumn("_slice", F.coalesce(F.floor(_epoch_us(F.col(time_col)) / F.lit(s_us)), F.lit(-(1 << 62))))
+#: Slice of the rows without a time, before all others.
+TIMELESS = -(1 << 62)
+
+
+def slices_for(df: DataFrame, time_col: str, slice_: str | Slices | None) -> Slices:
+    """``slice_`` as given, a width such as '4 hours', or slices by rank if None."""
+    if slice_ is None:
+        return rank_slices(df, time_col)
+    return Slices(width=_micros(slice_)) if isinstance(slice_, str) else slice_
+
+
+def with_slice(df: DataFrame, time_col: str, slice_: str | Slices | None) -> DataFrame:
+    """``_slice``: the number of the row's slice; rows without a time share one, before all others."""
+    number = slices_for(df, time_col, slice_).of(_epoch_us(F.col(time_col)))
+    return df.withColumn("_slice", F.coalesce(number, F.lit(TIMELESS)))
 
 
 def carried(local: DataFrame, carry: DataFrame) -> DataFrame:
@@ -55,7 +105,7 @@ def carried(local: DataFrame, carry: DataFrame) -> DataFrame:
 
 def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                    values: dict[str, Column], time_col: str | None = None,
-                   slice_: str | None = None) -> DataFrame:
+                   slice_: str | Slices | None = None) -> DataFrame:
     """``SUM(v) OVER (PARTITION BY keys ORDER BY order_cols ROWS UNBOUNDED PRECEDING)``
     for each ``alias -> v`` in ``values``, in one pass.
 
@@ -80,7 +130,7 @@ def running_totals(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
 
 def running_total(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                   value: Column, alias: str, time_col: str | None = None,
-                  slice_: str | None = None) -> DataFrame:
+                  slice_: str | Slices | None = None) -> DataFrame:
     """Single-value form of :func:`running_totals`."""
     return running_totals(df, keys=keys, order_cols=order_cols, values={alias: value},
                           time_col=time_col, slice_=slice_)
@@ -88,7 +138,7 @@ def running_total(df: DataFrame, *, keys: str | Sequence[str], order_cols: Seque
 
 def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str],
                    value: Column, alias: str, time_col: str | None = None,
-                   slice_: str | None = None) -> DataFrame:
+                   slice_: str | Slices | None = None) -> DataFrame:
     """``LAG(value, 1) OVER (PARTITION BY keys ORDER BY order_cols)`` for non-NULL ``value``
     (wrap nullable values in a struct)."""
     keys = _cols(keys)
@@ -104,7 +154,7 @@ def previous_value(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequ
 
 
 def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[str], time_col: str,
-              values: Sequence[str], n: int = 2, slice_: str | None = None) -> DataFrame:
+              values: Sequence[str], n: int = 2, slice_: str | Slices | None = None) -> DataFrame:
     """``LEAD(v, 1..n) OVER (PARTITION BY keys ORDER BY order_cols)`` for each value.
 
     Rows that have n successors in their (key, slice) take them from there.  The others are
@@ -122,23 +172,3 @@ def next_rows(df: DataFrame, *, keys: str | Sequence[str], order_cols: Sequence[
     rim = place.where((F.col("_first") <= n) | (F.col("_left") < n))
     across = rim.select("*", *lead(Window.partitionBy(*keys).orderBy("_slice", *order_cols))).where(F.col("_left") < n).drop(*drop)
     return inside.unionByName(across)
-
-
-def suggest_slice(df: DataFrame, time_col: str, *, hot_fraction: float = 1 / 3,
-                  rows_per_task: int | None = None, minimum: str = "1 second") -> str:
-    """Slice width such that a key holding ``hot_fraction`` of all rows puts at
-    most ``rows_per_task`` rows in one (key, slice) partition.
-
-    One partial aggregate (count, min, max of the time column) is run; the
-    result is three numbers.  Time-sliced scans are exact for any width, so
-    this only tunes task size.  Operators without ``slice_`` use it.
-    """
-    t = _epoch_us(F.col(time_col))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    n, lo, hi = row["n"], row["lo"], row["hi"]
-    least = _micros(minimum)
-    if not n or lo is None or hi <= lo:
-        return f"{max(least, 86400 * 10**6)} microseconds"
-    width = int((rows_per_task or ROWS_PER_TASK) * (hi - lo) / (n * hot_fraction))
-    # one slice is enough where a hot key fits it: no boundary inside the data
-    return f"{max(least, width if width <= hi - lo else 4 * (abs(lo) + abs(hi)) + 1)} microseconds"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rillet.operators import aggregations as agg
 from rillet.operators import joins as J
 from rillet.operators import over as W
-from rillet.operators.scan import suggest_slice
+from rillet.operators.scan import rank_slices
 from rillet.plans import params as P
 from rillet.sources import fixtures as fx
 
@@ -144,7 +144,7 @@ def dual_window_frame(spark: SparkSession, sf: str) -> DataFrame:
     total, and every transaction keeps its own row (txn_id is the row key).
     """
     a = fx.transactions(spark, sf)
-    slice_ = suggest_slice(a, "timestamp")
+    slice_ = rank_slices(a, "timestamp")
     succ = F.col("status") == "Successful"
     wd = W.running_sum_flag(
         a, slice_=slice_, keys=["account_number", "transaction_type"], time_col="timestamp", value_col="amount",

@@ -42,9 +42,10 @@ def test_sliced_scans_equal_plain_windows(spark, monkeypatch, per_task):
 
 
 def test_running_sum_of_doubles_and_a_range_longer_than_slices(spark, monkeypatch):
+    """Doubles add up as doubles, in any order: the threshold lies between two sums, not on one."""
     monkeypatch.setattr(SC, "ROWS_PER_TASK", 1)
     df = frame(spark, [(None, m, 1) for m in range(50)]).withColumn("v", F.lit(0.1))
-    out = W.running_sum_flag(df, keys="k", time_col="ts", value_col="v", range_="30 minutes", threshold=3.0).orderBy("ts").collect()
+    out = W.running_sum_flag(df, keys="k", time_col="ts", value_col="v", range_="30 minutes", threshold=3.05).orderBy("ts").collect()
     assert [round(r["total_value"], 9) for r in out] == [round(0.1 * min(m + 1, 31), 9) for m in range(50)]
     assert [r["flag"] for r in out] == ["YES" if m >= 30 else "NO" for m in range(50)]
 
@@ -118,3 +119,51 @@ def test_latest_offset_skips_the_present_and_nothing_else(spark):
     q = df.writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(f"{d}/out").collect()) == list(range(100, 110))
+
+
+def _ranged(df, micros):
+    return Window.partitionBy("k").orderBy(F.unix_micros("ts")).rangeBetween(-micros, 0)
+
+
+@pytest.mark.parametrize("values", [[1e-10, 3e-10, None], [1e20, 7e25, 1e300], [float("nan"), 1.0, 2.0], [float("inf"), 1.0, None],
+                                    [float("-inf"), float("inf"), 0.5], [5e-324, 1e-310, 0.0]])
+@pytest.mark.parametrize("per_task", [1, 9, 1000])
+def test_range_sums_of_any_doubles_equal_a_plain_window(spark, monkeypatch, values, per_task):
+    rng = random.Random(per_task)
+    monkeypatch.setattr(SC, "ROWS_PER_TASK", per_task)
+    rows = [(i, rng.choice(["a", "a", None]), T0 + dt.timedelta(seconds=rng.choice([rng.randrange(3000), 1500 + rng.randrange(60)])), rng.choice(values)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, k string, ts timestamp, v double")
+    want = {r["id"]: r["s"] for r in df.select("id", F.sum("v").over(_ranged(df, 300 * 10**6)).alias("s")).collect()}
+    for r in W.running_range_totals(df, keys="k", time_col="ts", range_="5 minutes", sums={"s": F.col("v")}).collect():
+        a, b = r["s"], want[r["id"]]
+        assert a == b or (a != a and b != b) or a == pytest.approx(b, rel=1e-12, abs=0), (a, b)
+
+
+@pytest.mark.parametrize("shape", ["outlier", "burst", "even"])
+def test_slices_by_rank_bound_the_largest_task(spark, shape):
+    """A hot key, one row of 1970 or half of all rows within a second: no (key, slice) passes twice the target."""
+    n, target = 20_000, 500
+    at = {"outlier": F.when(F.col("id") == 0, 0).otherwise(1_700_000_000_000_000 + F.col("id") * 1_000_000),
+          "burst": 1_700_000_000_000_000 + F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") * 60_000_000),
+          "even": 1_700_000_000_000_000 + F.col("id") * 1000}[shape]
+    df = spark.range(n).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.timestamp_micros(at.cast("long")).alias("ts"))
+    sliced = SC.with_slice(df, "ts", SC.rank_slices(df, "ts", rows_per_task=target))
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 2 * target
+    order = sliced.groupBy("_slice").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).orderBy("_slice").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(order, order[1:], strict=False))
+
+
+def test_range_totals_copy_a_row_at_most_once(spark):
+    df = spark.range(5_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"), F.lit(1).alias("v"))
+    out = W.running_range_totals(df, keys="k", time_col="ts", range_="10 minutes", sums={"s": F.col("v")},
+                                 slice_=SC.rank_slices(df, "ts", rows_per_task=100))
+    assert out.agg(F.min("s"), F.max("s"), F.count("*")).first()[0:3] == (1, 601, 5_000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+
+
+def test_slice_numbers_by_search(spark):
+    borders = [5, 9, 9, 100]
+    got = [r[0] for r in spark.range(0, 110).select(SC.Slices(borders).of(F.col("id"))).collect()]
+    assert got == [sum(b <= t for b in sorted(set(borders))) for t in range(110)]
+    assert SC.Slices().of(F.lit(3)) is not None and spark.range(1).select(SC.Slices(borders).of(F.lit(None).cast("long")).alias("x")).first()["x"] is None

@@ -75,12 +75,12 @@ def test_hot_key_patterns_match_plain(spark):
         sorted((r.st, r.n) for r in want.collect())
 
 
-def test_suggest_slice_bounds_hot_slices(spark):
-    from rillet.operators.scan import suggest_slice, with_slice
+def test_rank_slices_bound_hot_slices(spark):
+    from rillet.operators.scan import rank_slices, with_slice
     t = hot(spark)
-    width = suggest_slice(t, "timestamp", hot_fraction=1.0, rows_per_task=1000)
-    per_slice = with_slice(t, "timestamp", width).groupBy("account_number", "_slice").count()
-    assert per_slice.agg(F.max("count")).first()[0] <= 2000      # ~rows_per_task for uniform time
+    slices = rank_slices(t, "timestamp", rows_per_task=1000)
+    per_slice = with_slice(t, "timestamp", slices).groupBy("account_number", "_slice").count()
+    assert per_slice.agg(F.max("count")).first()[0] <= 2000
 
 
 def test_patterns_with_small_slices_match_defaults(spark):
