@@ -1,7 +1,7 @@
 """Best-fit packing with certified bin counts.
 
 ``token_pieces`` encodes documents and cuts those longer than the capacity.  ``pack`` deals the
-pieces, as (place, size) alone, to partitions of some thousands; each is packed by best-fit
+pieces, as (place, size) alone, to partitions of some ten thousands; each is packed by best-fit
 decreasing.  Dual feasible functions map sizes so that no bin can hold more than one; the
 largest sum over several families of them bounds the number of bins from below.  Where a
 partition has as many bins as its sums demand, its packing is final, and so is every full
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from rillet.llm.shared import map_arrow, sealed, written
 
-#: Pieces of a partition, and rounds at most.
-PART, ROUNDS = 8_192, 12
+#: Pieces of a partition, rounds at most, and rounds in a row that may save nothing.
+PART, ROUNDS, IDLE = 32_768, 12, 3
 
 #: Fixed value: how the tokenizer file's pre-tokenizer splits a text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -227,18 +227,20 @@ def pack(pieces: DataFrame, *, capacity: int, size: str = "length", part: int =
     place = "at long, n long, sequence long, offset long, final boolean"
     fits = rows.where(F.col("n").between(1, capacity)).select("at", "n")
     done = [fits.where(F.col("n") == capacity).select("at", F.col("at").alias("sequence"), F.lit(0).cast("long").alias("offset"))]
-    open_, bins, best = fits.where(F.col("n") < capacity), None, 0   # open_ has a place once bins is known
+    open_, bins, best, idle = fits.where(F.col("n") < capacity), None, 0, 0   # open_ has a place once bins is known
     for round_ in range(max(rounds, 1)):
         parts = max(1, math.ceil(open_.count() / part))
         dealt = open_.select("at", "n", F.pmod(F.xxhash64("at", F.lit(round_)), F.lit(parts)).alias("part"))
         made = written(dealt.groupBy("part").applyInArrow(lambda t: _packed(t, capacity), place), "packed")
         count = made.where("offset = 0").agg(F.count("*"), F.coalesce(F.sum(F.col("final").cast("long")), F.lit(0))).first()
+        idle += 1
         if bins is None or count[0] < bins:
+            idle = 0
             done.append(made.where("final").select("at", "sequence", "offset"))
             open_, bins = made.where("NOT final"), count[0] - count[1]
             sizes = open_.groupBy("n").count().collect()   # at most one row for each size below the capacity
             best = _bound(np.array([r[0] for r in sizes], dtype=np.int64), np.array([r[1] for r in sizes], dtype=np.int64), capacity) if sizes else 0
-        if bins <= best or parts == 1:
+        if bins <= best or parts == 1 or idle == IDLE:
             break
     done.append(open_.select("at", "sequence", "offset"))
     placed = done[0]
