@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.shared import map_arrow, sealed, text_id, written
-from rillet.llm.textscan import Hasher, Slice, covered, slices
+from rillet.llm.textscan import LONGEST, Hasher, Slice, covered, slices
 
 #: Words of a seed.
 SEED = 8
@@ -74,37 +74,47 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _seeds(texts: DataFrame, window: int) -> DataFrame:
+    """Per text and seed its first place, the link from there, and how often the text has it: a
+    text that repeats one word has a single row for it."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.asarray(batch.column(c)) for c in ("a", "b"))
             for part in slices(batch.column(batch.schema.get_field_index("text"))):
                 s = _Seeds(part, window)
-                row = s.doc + part.first
-                yield pa.RecordBatch.from_arrays([_long(s.hash), pa.array(a[row]), pa.array(b[row]), pa.array(s.pos, pa.int32()), _long(s.link)],
-                                                 ["seed", "a", "b", "pos", "link"])
+                order = np.lexsort((s.pos, s.hash, s.doc))
+                doc, hash_ = s.doc[order], s.hash[order]
+                first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (hash_[1:] != hash_[:-1]))[:len(order)]))
+                at = order[first]
+                row = s.doc[at] + part.first
+                yield pa.RecordBatch.from_arrays([_long(s.hash[at]), pa.array(a[row]), pa.array(b[row]), pa.array(s.pos[at], pa.int32()), _long(s.link[at]),
+                                                  pa.array(np.diff(np.append(first, len(order))), pa.int32())], ["seed", "a", "b", "pos", "link", "n"])
 
-    return map_arrow(texts.select("a", "b", "text"), work, "seed long, a long, b long, pos int, link long")
+    return map_arrow(texts.select("a", "b", "text"), work, "seed long, a long, b long, pos int, link long, n int")
 
 
 class _Pointers:
-    """References of the seeds of a batch, by text and position."""
+    """References of the seeds of a batch, by text and seed."""
 
     def __init__(self, column: pa.Array) -> None:
-        self.bounds = np.asarray(column.offsets) - column.offsets[0].as_py()
+        bounds = np.asarray(column.offsets) - column.offsets[0].as_py()
         flat = column.flatten()
-        self.pos, self.at, self.link = (np.asarray(flat.field(c)) for c in ("pos", "at", "link"))
+        seed, self.at, self.link = (np.asarray(flat.field(c)) for c in ("seed", "at", "link"))
         self.a, self.b = (np.asarray(flat.field(c)) for c in ("ra", "rb"))
-        row = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        self.order = np.lexsort((self.pos, row))
-        self.key = (row[self.order] << 32) | self.pos[self.order]
+        row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        self.seeds, code = np.unique(seed, return_inverse=True)
+        key = (row << 32) | code
+        self.order = np.argsort(key, kind="stable")
+        self.key = key[self.order]
 
-    def of(self, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    def of(self, row: np.ndarray, seed: np.ndarray) -> np.ndarray:
         """Index of the reference of each seed, -1 if it occurs once."""
         if len(self.key) == 0:
             return np.full(len(row), -1)
-        key = (row.astype(np.int64) << 32) | pos
+        seed = seed.view(np.int64)
+        code = np.minimum(np.searchsorted(self.seeds, seed), len(self.seeds) - 1)
+        key = (row.astype(np.int64) << 32) | code
         i = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[i] == key, self.order[i], -1)
+        return np.where((self.seeds[code] == seed) & (self.key[i] == key), self.order[i], -1)
 
 
 def _parse(texts: DataFrame, window: int) -> DataFrame:
@@ -151,7 +161,7 @@ def _parse(texts: DataFrame, window: int) -> DataFrame:
                 if len(s.at) == 0:
                     continue
                 row = s.doc + part.first
-                ref = pointers.of(row, s.pos)
+                ref = pointers.of(row, s.hash)
                 known = ref >= 0
                 ra, rb, rpos = pointers.a[ref], pointers.b[ref], pointers.at[ref]
                 away = known & ~((ra == a[row]) & (rb == b[row]) & (rpos == s.pos))
@@ -175,12 +185,12 @@ def _parse(texts: DataFrame, window: int) -> DataFrame:
 
 def duplicate_spans(texts: DataFrame, window: int) -> DataFrame:
     """(a, b, pos, size): spans of whole duplicate windows of the distinct texts (a, b, text)."""
-    counts = _seeds(texts, window).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
-    repeated = written(_seeds(texts, window).join(counts, "seed"), "seeds")
+    seeds = _seeds(texts, window)
+    repeated = written(seeds.join(seeds.groupBy("seed").agg(F.sum("n").alias("all")).where("all > 1").select("seed"), "seed"), "seeds")
     reference = (repeated.groupBy("seed").agg(F.min(F.struct("a", "b", "pos", "link")).alias("r"))
                  .select("seed", F.col("r.a").alias("ra"), F.col("r.b").alias("rb"), F.col("r.pos").alias("at"), F.col("r.link").alias("rlink")))
     refs = (repeated.join(reference, "seed").groupBy("a", "b")
-            .agg(F.collect_list(F.struct("pos", "ra", "rb", "at", F.col("rlink").alias("link"))).alias("refs")))
+            .agg(F.collect_list(F.struct("seed", "ra", "rb", "at", F.col("rlink").alias("link"))).alias("refs")))
     parsed = written(_parse(texts.join(refs, ["a", "b"]), window), "factors")
     loose = parsed.where("size <= 0")
     twice = loose.groupBy("h1", "h2").agg(F.sum(1 - F.col("size")).alias("n")).where("n > 1").select("h1", "h2")
@@ -225,6 +235,8 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", window: int = 35) -
     """``docs`` with n_words, n_removed, kept (the kept words joined by one space) and
     kept_sha256; columns of these names are replaced.  A word goes if a window of ``window``
     words that covers it also starts anywhere else, the same document included."""
+    if not 0 < window <= LONGEST - SEED:
+        raise ValueError(f"windows of 1 to {LONGEST - SEED} words can be compared by hash")
     inner, outer = sealed(docs, ("n_words", "n_removed", "kept", "kept_sha256"))
     t = text_id(F.col(f"`{text}`"))
     rows = docs.select(*inner, t["a"].alias("a"), t["b"].alias("b"))

@@ -1,9 +1,11 @@
 """Vectorised word and window hashing over Arrow batches of texts.
 
-Words are maximal runs of bytes other than ``\\x20\\x09-\\x0D``.  All hashes are 64-bit
-polynomials over randomly valued symbols, taken from prefix sums and mixed afterwards, so
-any window costs a constant number of array operations.  A slice of about ``SLICE`` bytes
-is worked on at once: memory depends on the longest text, not on the partition.
+Words are maximal runs of bytes other than ``\\x20\\x09-\\x0D``, each with a keyed 64-bit hash.
+Hashes of word runs are 64-bit polynomials over the words' hashes, taken from prefix sums and
+mixed afterwards, so any window costs a constant number of array operations.  Polynomials modulo
+a power of two have runs that collide by construction from 1,024 words on: windows are at most
+``LONGEST`` words.  A slice of about ``SLICE`` bytes is worked on at once: memory depends on the
+longest text, not on the partition.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 
 SLICE = 1 << 20
 U = np.uint64
@@ -31,7 +34,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
+#: Key of the words' hashes, 16 characters.
+WORD_KEY = "words of a text "
+#: Words of a run that may be compared by hash.
+LONGEST = 512
 
 
 class _Powers:
@@ -54,7 +60,6 @@ class _Powers:
         return np.multiply.accumulate(out)
 
 
-_CHARS = _Powers(0x9E3779B97F4A7C15)
 _FIRST = _Powers(0xD6E8FEB86659FD93)
 _SECOND = _Powers(0xA0761D6478BD642F)
 
@@ -115,16 +120,19 @@ class Slice:
 
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """In chunks of whole words, so that a text of any length needs little besides its words."""
+    """Keyed SipHash of each word's bytes, once per distinct word of a chunk.  A polynomial over the
+    bytes would do for chance, but has words that collide by construction.  Chunks are whole words, so
+    that a text of any length needs little besides its words."""
     out = np.empty(len(starts), dtype=U)
     at = 0
     while at < len(starts):
         low = starts[at]
         upto = max(at + 1, int(np.searchsorted(ends, low + 2 * SLICE, side="right")))
-        high = ends[upto - 1]
-        sums = _prefix(_BYTE[data[low:high]], _CHARS)
-        s, e = starts[at:upto] - low, ends[at:upto] - low
-        out[at:upto] = mix((sums[e] - sums[s]) * _CHARS.upto(len(sums))[1][s] + (e - s).astype(U))
+        part, offsets = data[low:ends[upto - 1]], np.zeros(upto - at + 1, dtype=np.int32)
+        np.cumsum(ends[at:upto] - starts[at:upto], out=offsets[1:])
+        words = pa.StringArray.from_buffers(upto - at, pa.py_buffer(offsets), pa.py_buffer(part[~SPACE[part]])).dictionary_encode()
+        distinct = hash_array(words.dictionary.to_numpy(zero_copy_only=False), hash_key=WORD_KEY, categorize=False)
+        out[at:upto] = distinct[words.indices.to_numpy(zero_copy_only=False)]
         at = upto
     return out
 

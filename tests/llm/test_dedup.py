@@ -128,6 +128,27 @@ def test_substring_dedup_equals_brute_force(spark, letters):
     assert got == cut(rows, 35)
 
 
+def test_words_that_collide_under_polynomials_stay_distinct(spark):
+    """Thue-Morse words and their complements are equal under any polynomial modulo 2**64."""
+    rng = random.Random(1)
+    rows = []
+    for i, n in enumerate((1024, 2048, 4096)):
+        word = "".join("ab"[j.bit_count() & 1] for j in range(n))
+        around = [f"x{rng.randrange(10**6)}" for _ in range(34)]
+        rows += [(2 * i, " ".join([*around, word])), (2 * i + 1, " ".join([*around, word.translate(str.maketrans("ab", "ba"))]))]
+    out = substring.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted([tuple(r) for r in out.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()], key=str)
+    assert got == cut(rows, 35) and all(r[2] == 0 for r in got)
+    with pytest.raises(ValueError):
+        substring.dedup_substrings(out, window=1000)
+
+
+def test_a_text_has_one_row_for_a_seed(spark):
+    texts = spark.createDataFrame([(1, 2, "z " * 5_000 + "a b c " * 100)], "a long, b long, text string")
+    seeds = substring._seeds(texts, 35).collect()
+    assert len(seeds) == len({r["seed"] for r in seeds}) < 20 and sum(r["n"] for r in seeds) > 4_000
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
