@@ -8,14 +8,13 @@ oracle is the SQL of the batch query of the same tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.plans import params as P
-from rillet.session import checkpoint_dir
+from rillet.session import scratch_path
 from rillet.sources import fixtures as fx
 from rillet.streaming import retract as R
 
@@ -42,7 +41,7 @@ class Replay:
                             # state and offsets are in the shared folder; executors keep only working copies
                             "spark.sql.streaming.multipleWatermarkPolicy": "min"}.items():
             self.session.conf.set(name, value)
-        self.folder = f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex[:12]}"
+        self.folder = scratch_path(spark, "replay")
 
     def stream(self, table: DataFrame, name: str, time_col: str, *, watermark: bool = False) -> DataFrame:
         """``table`` as a stream of ``steps`` parts by time; with a watermark, a last row without

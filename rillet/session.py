@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -46,26 +49,38 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+#: By application: the scratch folder of a local session that names no shared one.
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and lineage-cutting tables.
+    """Shared folder for checkpoints and lineage-cutting tables: the cluster's ``spark.checkpoint.dir``.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh scratch folder is created and registered.
+    Where it is unset, a local session gets a scratch folder of its own, removed when the driver
+    ends; on a cluster that is an error, as executors wouldn't see the driver's files.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _SCRATCH.get(sc.applicationId)
     if not d:
-        d = tempfile.mkdtemp(prefix="rillet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = _SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="rillet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder (never machine-local)."""
-    import uuid
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path``, through the file system that it names."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 #: By application: the folder of the shipped archive, kept until the driver ends.
