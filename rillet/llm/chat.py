@@ -1,8 +1,9 @@
 """Chat formatting from a declarative template; DataFrame operations only.
 
 A template names, for every role, the marks before and after a turn, whether its text bears
-loss, and the roles that may follow.  A finite-state machine walks the roles of a
-conversation; the result tells whether the order is valid and which turn first breaks it.
+loss, and the roles that may follow.  A finite-state machine, a fold, walks the roles of a
+conversation and writes its path, one state a turn; marks and loss flags of the segments are those of
+the states.  The result tells whether the order is valid and which turn first breaks it.
 Conversations in an invalid order are formatted like others.
 
 Marks begin with ``[`` or ``<``.  In texts ``&``, ``[`` and ``<`` become ``&amp;``,
@@ -65,29 +66,44 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def _mark(template: Template, role: Column, end: bool) -> Column:
+#: State of a turn whose role the template doesn't name.
+_OTHER = "-"
+
+
+def _states(template: Template) -> dict[str, str]:
+    """One character for each role."""
+    return {name: chr(ord("a") + i) for i, name in enumerate(template.roles)}
+
+
+def _mark(template: Template, state: Column, role: Column, end: bool) -> Column:
     a, b, c = template.other
     out = F.lit(c) if end else F.concat(F.lit(a), escape(role), F.lit(b))
-    for name, r in template.roles.items():
-        out = F.when(role == name, F.lit(r.after if end else r.before)).otherwise(out)
+    for name, code in _states(template).items():
+        r = template.roles[name]
+        out = F.when(state == code, F.lit(r.after if end else r.before)).otherwise(out)
     return out
 
 
-def _bears_loss(template: Template, role: Column) -> Column:
-    return role.isin([name for name, r in template.roles.items() if r.loss])
+def _bears_loss(template: Template, state: Column) -> Column:
+    return state.isin([code for name, code in _states(template).items() if template.roles[name].loss])
 
 
 def _walk(template: Template, roles: Column) -> Column:
-    """Struct (state, at, broken): the last role, the turns walked, the first turn (from 0)
-    whose role the machine doesn't allow, null if none."""
-    def step(s: Column, role: Column) -> Column:
-        allowed = F.coalesce(s["state"].isNull() & role.isin(list(template.first)), F.lit(False))
-        for name, r in template.roles.items():
-            allowed = F.when(s["state"] == name, role.isin(list(r.then))).otherwise(allowed)
-        broken = F.coalesce(s["broken"], F.when(~allowed, s["at"]))
-        return F.struct(role.alias("state"), (s["at"] + 1).alias("at"), broken.alias("broken"))
+    """Struct (state, path, broken): the last state, all states in order, and the first turn
+    (from 0) whose role the machine doesn't allow, null if none."""
+    codes = _states(template)
 
-    start = F.struct(F.lit(None).cast("string").alias("state"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("broken"))
+    def step(s: Column, role: Column) -> Column:
+        to = F.lit(_OTHER)
+        for name, code in codes.items():
+            to = F.when(role == name, F.lit(code)).otherwise(to)
+        allowed = F.when(s["state"].isNull(), role.isin(list(template.first))).otherwise(F.lit(False))
+        for name, code in codes.items():
+            allowed = F.when(s["state"] == code, role.isin(list(template.roles[name].then))).otherwise(allowed)
+        broken = F.coalesce(s["broken"], F.when(~F.coalesce(allowed, F.lit(False)), F.length(s["path"])))
+        return F.struct(to.alias("state"), F.concat(s["path"], to).alias("path"), broken.alias("broken"))
+
+    start = F.struct(F.lit(None).cast("string").alias("state"), F.lit("").alias("path"), F.lit(None).cast("int").alias("broken"))
     return F.aggregate(roles, start, step)
 
 
@@ -101,12 +117,14 @@ def format_chats(turns: DataFrame, *, id: str = "conv_id", turn: str = "turn", r
     rows = turns.select(c(id).alias("_id"), said.alias("_said")).groupBy("_id").agg(F.sort_array(F.collect_list("_said")).alias("_turns"))
     roles = F.transform("_turns", lambda t: t["role"])
     segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
-    segments = F.flatten(F.transform("_turns", lambda t: F.array(
-        segment(_mark(template, t["role"], False), F.lit(False)),
-        segment(escape(t["text"]), _bears_loss(template, t["role"])),
-        segment(_mark(template, t["role"], True), F.lit(False)))))
-    done = rows.withColumn("_fsm", _walk(template, roles)).withColumn("segments", segments)
-    valid = F.col("_fsm.broken").isNull() & F.col("_fsm.state").isin(list(template.last))
+    def emitted(t: Column, i: Column) -> Column:
+        state = F.substr(F.col("_fsm.path"), i + 1, F.lit(1))
+        return F.array(segment(_mark(template, state, t["role"], False), F.lit(False)),
+                       segment(escape(t["text"]), _bears_loss(template, state)),
+                       segment(_mark(template, state, t["role"], True), F.lit(False)))
+
+    done = rows.withColumn("_fsm", _walk(template, roles)).withColumn("segments", F.flatten(F.transform("_turns", emitted)))
+    valid = F.col("_fsm.broken").isNull() & F.col("_fsm.state").isin([_states(template)[name] for name in template.last])
     return done.select(F.col("_id").alias(id), F.coalesce(valid, F.lit(False)).alias("valid"), F.col("_fsm.broken").alias("broken_at"),
                        "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
 

@@ -30,7 +30,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """(verdict, host, path) triples as a DataFrame."""
-    return spark.createDataFrame([(h, p, v) for v, h, p in rules], "host string, path string, verdict string")
+    rows = [F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for v, h, p in rules]
+    kind = "array<struct<host: string, path: string, verdict: string>>"
+    return spark.range(1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def _after_scheme(url: Column) -> Column:
