@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.llm.shared import sealed
+from rillet.llm.shared import sealed, unused
 
 #: Parts of a size class, by hash of the id.
 HASHES = 256
@@ -105,4 +105,5 @@ def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str
 
 def materialise(mixed: DataFrame) -> DataFrame:
     """The mixed documents themselves: each row as often as its ``copies`` say."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("_copy")
+    copy = unused(mixed, "_copy")[0]
+    return mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop(copy)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.shared import map_arrow, sealed, written
+from rillet.llm.shared import map_arrow, sealed, unused, written
 from rillet.llm.textscan import SPACE, U, Hasher, Slice, covered, mix, slices
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -102,27 +102,44 @@ def base_failed() -> Column:
     return _failed(BASE[0]) | _failed(BASE[1])
 
 
-def host_verdicts(measured: DataFrame, *, host: str = "source", reject: float = 0.5, pseudo: float = 2.0) -> DataFrame:
+#: Prior documents that a host's rate is shrunk by at least, so that one or two don't decide.
+LEAST_PRIOR = 2.0
+
+
+def host_verdicts(measured: DataFrame, *, host: str = "source", reject: float = 0.5) -> DataFrame:
     """(host, n, <rule>_rate..., host_rejected) of every host that isn't null.
 
-    The prior of a rule is Beta(m s, (1 - m) s) with m the mean of the hosts' rates and
-    s = m (1 - m) / variance - 1; where the variance gives no positive s, s = ``pseudo``.
+    The prior of a rule is Beta(m s, (1 - m) s): m is the share of all documents that fail, and
+    s = 1 / r - 1 with r the correlation of two documents of a host, from the hosts' spread less what
+    samples of their sizes spread by chance (beta-binomial moments), ``LEAST_PRIOR`` at least.  Hosts that
+    spread no more than by chance are shrunk as if all documents were prior ones.
     """
     sums = [F.sum(_failed(r).cast("long")).alias(f"{r}_failed") for r in RULES]
     hosts = written(measured.where(F.col(f"`{host}`").isNotNull()).groupBy(F.col(f"`{host}`").alias("host"))
                     .agg(F.count(F.lit(1)).alias("n"), *sums), "hosts")
-    rate = {r: F.col(f"{r}_failed") / F.col("n") for r in RULES}
-    moments = hosts.agg(*[f(rate[r]).alias(f"{k}_{r}") for r in RULES for k, f in (("m", F.avg), ("v", F.var_pop))]).first()
+    k = lambda r: F.col(f"{r}_failed")
+    total = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").cast("double").alias("n"), F.sum(F.col("n") * F.col("n").cast("double")).alias("nn"),
+                      *[F.sum(k(r)).cast("double").alias(f"k_{r}") for r in RULES], *[F.sum(k(r) * k(r).cast("double") / F.col("n")).alias(f"kk_{r}") for r in RULES]).first()
     shrunk = []
     for r in RULES:
-        m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
-        s = m * (1 - m) / v - 1 if v > 0 else 0.0
-        s = s if s > 0 else pseudo
-        shrunk.append(((F.col(f"{r}_failed") + F.lit(m * s)) / (F.col("n") + F.lit(s))).alias(f"{r}_rate"))
+        m, s = _prior(total["hosts"], total["n"] or 0.0, total["nn"] or 0.0, total[f"k_{r}"] or 0.0, total[f"kk_{r}"] or 0.0)
+        shrunk.append(((k(r) + F.lit(m * s)) / (F.col("n") + F.lit(s))).alias(f"{r}_rate"))
     rates = hosts.select("host", "n", *shrunk)
     return rates.withColumn("host_rejected", F.greatest(*[F.col(f"{r}_rate") for r in RULES]) > reject)
 
 
+def _prior(hosts: int, n: float, nn: float, k: float, kk: float) -> tuple[float, float]:
+    """Mean and strength from the number of hosts, their documents' sum and sum of squares, the
+    failures' sum and the sum of failures squared by documents."""
+    if not n:
+        return 0.0, 0.0
+    m = k / n
+    spread = kk - k * k / n          # sum of n (rate - m) squared
+    free = n - nn / n - (hosts - 1)  # of two documents of one host, beyond chance
+    r = (spread / (m * (1 - m)) - (hosts - 1)) / free if 0 < m < 1 and free > 0 else 0.0
+    return m, (max(1 / r - 1, LEAST_PRIOR) if r > 0 else n)
+
+
 def judge(docs: DataFrame, *, text: str = "text", host: str = "source", reject: float = 0.5, carry_text: bool = True) -> DataFrame:
     """``docs`` with the measures, base_failed and kept.  Without the text the measures are
     written once and read for both the hosts and the documents; with it they are taken
@@ -130,8 +147,9 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", reject:
     small = measure(docs, text=text, carry_text=False)
     if not carry_text:
         small = written(small, "measures")
-    verdicts = host_verdicts(small, host=host, reject=reject).select(F.col("host").alias("_host"), F.col("host_rejected").alias("_rejected"))
     measured = measure(docs, text=text) if carry_text else small
-    measured = measured.withColumn("base_failed", base_failed())
-    kept = ~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))
-    return measured.join(verdicts, F.col(f"`{host}`") == F.col("_host"), "left").withColumn("kept", kept).drop("_host", "_rejected")
+    measured = measured.withColumn("base_failed", base_failed()).drop("kept")
+    name, rejected = unused(measured, "_host", "_rejected")
+    verdicts = host_verdicts(small, host=host, reject=reject).select(F.col("host").alias(name), F.col("host_rejected").alias(rejected))
+    kept = ~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))
+    return measured.join(verdicts, F.col(f"`{host}`") == F.col(name), "left").withColumn("kept", kept).drop(name, rejected)

@@ -13,7 +13,7 @@ from rillet.llm import ann, bpe, chat, mixing, order, packing, quality, repair,
 
 #: The rules of op9 and the conversation that op2 adds.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+CONTROL_CHAT = "(-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +37,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, and what reading the result back gives."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.unionByName(spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string"))
+    turns = turns.unionByName(spark.sql(f"SELECT * FROM VALUES {CONTROL_CHAT} AS t(conv_id, turn, role, text)"))
     done = chat.format_chats(turns).withColumn("turns", chat.parse_chat(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
     line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(line, 256).alias("turns_sha256"),
                        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                       F.length("formatted").cast("long").alias("formatted_chars"))
+                       F.length("formatted").cast("long").alias("formatted_chars"), "valid", F.col("broken_at").cast("long").alias("broken_at"))
 
 
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,14 +145,18 @@ ORACLE = {
             SELECT *, length(text) + 4 * (length(text) - length(replace(text, '&', ''))) + 5 * (length(text) - length(replace(text, '[', '')))
                 + 5 * (length(text) - length(replace(text, ']', ''))) + 3 * (length(text) - length(replace(text, '<', '')))
                 + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
-                  ELSE 14 + length(replace(replace(replace(replace(role, '&', '&amp;'), '[', '&lsqb;'), '<', '&lt;'), ']', '&rsqb;')) END AS chars
-            FROM turns)
+                  ELSE 14 + length(replace(replace(replace(replace(role, '&', '&amp;'), '[', '&lsqb;'), '<', '&lt;'), ']', '&rsqb;')) END AS chars,
+                row_number() OVER w - 1 AS i, lag(role) OVER w AS before FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+        walked AS (
+            SELECT *, CASE WHEN i = 0 THEN role IN ('system', 'user') ELSE (before || '>' || role) IN ('system>user', 'user>assistant', 'assistant>user') END AS allowed
+            FROM coded)
         SELECT conv_id, count(*) AS n_turns,
             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
             CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
             sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-            CAST(sum(chars) AS BIGINT) AS formatted_chars
-        FROM coded GROUP BY conv_id""",
+            CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(allowed) AND arg_max(role, i) IN ('assistant', 'user') AS valid,
+            min(i) FILTER (NOT allowed) AS broken_at
+        FROM walked GROUP BY conv_id""",
     "op4_substring_dedup": f"""
         WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
         windows AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w
@@ -180,11 +184,15 @@ ORACLE = {
             FROM texts LEFT JOIN repeats USING (r) LEFT JOIN dups USING (r)),
         ruled AS (SELECT *, n_words < 20 AS f1, 100 * n_repeat_words > 30 * n_words AS f2, 10 * n_symbols > word_chars AS f3 FROM measured),
         hosts AS (SELECT source, count(*) AS n, sum(f1::INT) AS k1, sum(f2::INT) AS k2, sum(f3::INT) AS k3 FROM ruled WHERE source IS NOT NULL GROUP BY source),
-        moments AS (SELECT avg(k1 / n) AS m1, var_pop(k1 / n) AS v1, avg(k2 / n) AS m2, var_pop(k2 / n) AS v2, avg(k3 / n) AS m3, var_pop(k3 / n) AS v3 FROM hosts),
-        priors AS (SELECT m1, m2, m3,
-            CASE WHEN v1 > 0 AND m1 * (1 - m1) / v1 - 1 > 0 THEN m1 * (1 - m1) / v1 - 1 ELSE 2 END AS s1,
-            CASE WHEN v2 > 0 AND m2 * (1 - m2) / v2 - 1 > 0 THEN m2 * (1 - m2) / v2 - 1 ELSE 2 END AS s2,
-            CASE WHEN v3 > 0 AND m3 * (1 - m3) / v3 - 1 > 0 THEN m3 * (1 - m3) / v3 - 1 ELSE 2 END AS s3 FROM moments),
+        totals AS (
+            SELECT r, CAST(count(*) AS DOUBLE) AS i, CAST(sum(n) AS DOUBLE) AS n, sum(n * CAST(n AS DOUBLE)) AS nn, CAST(sum(k) AS DOUBLE) AS k, sum(k * CAST(k AS DOUBLE) / n) AS kk
+            FROM (SELECT n, unnest([1, 2, 3]) AS r, unnest([k1, k2, k3]) AS k FROM hosts) GROUP BY r),
+        corr AS (
+            SELECT r, n, k / n AS m, CASE WHEN k > 0 AND k < n AND n - nn / n - (i - 1) > 0
+                THEN ((kk - k * k / n) / (k / n * (1 - k / n)) - (i - 1)) / (n - nn / n - (i - 1)) ELSE 0 END AS c FROM totals),
+        strengths AS (SELECT r, m, CASE WHEN c > 0 THEN greatest(1 / c - 1, 2) ELSE n END AS s FROM corr),
+        priors AS (SELECT any_value(m) FILTER (r = 1) AS m1, any_value(m) FILTER (r = 2) AS m2, any_value(m) FILTER (r = 3) AS m3,
+            any_value(s) FILTER (r = 1) AS s1, any_value(s) FILTER (r = 2) AS s2, any_value(s) FILTER (r = 3) AS s3 FROM strengths),
         verdicts AS (SELECT source, greatest((k1 + m1 * s1) / (n + s1), (k2 + m2 * s2) / (n + s2), (k3 + m3 * s3) / (n + s3)) > 0.5 AS rejected
                      FROM hosts, priors)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.llm.shared import map_arrow, text_id, written
+from rillet.llm.shared import map_arrow, text_id, unused, written
 
 BITS = 64
 #: Fingerprints compared at once; a larger bucket is dealt to pairs of its parts.
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = 3, seed:
             values = [_fingerprint((t or "").encode(), shingle, seed) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], pa.array(values, pa.int64())], [*rest, name])
 
-    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias("_text")), work, schema)
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias(unused(docs, "_text")[0])), work, schema)
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:

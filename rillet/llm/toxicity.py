@@ -126,17 +126,14 @@ class Voters:
 
         def count(text: str | None) -> dict[int, int]:
             hits: dict[int, int] = {}
-            words = _words(text)
             if len(known) > 300_000:
                 known.clear()
-            for w in set(words):
+            for w, times in Counter(_words(text)).items():
                 voters = known.get(w)
                 if voters is None:
                     voters = known[w] = of(w)
-                if voters:
-                    times = words.count(w)
-                    for i in voters:
-                        hits[i] = hits.get(i, 0) + times
+                for i in voters:
+                    hits[i] = hits.get(i, 0) + times
             return hits
 
         return count
@@ -246,16 +243,16 @@ def _features(hits: dict[int, int], least: np.ndarray) -> np.ndarray:
     return x
 
 
-def fit_classifier(x: np.ndarray, target: np.ndarray, ridge: float = 0.02, steps: int = 30) -> np.ndarray:
-    """Weights of a logistic regression on soft targets, by Newton steps; the last column of
-    x, the constant, is not shrunk."""
+def fit_classifier(x: np.ndarray, target: np.ndarray, times: np.ndarray, ridge: float = 0.02, steps: int = 30) -> np.ndarray:
+    """Weights of a logistic regression on soft targets, by Newton steps; a row counts ``times``
+    often, and the last column of x, the constant, is not shrunk."""
     w = np.zeros(x.shape[1])
     shrink = np.full(x.shape[1], ridge)
     shrink[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - target) + shrink * w
-        step = np.linalg.solve((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(shrink), grad)
+        grad = x.T @ (times * (p - target)) + shrink * w
+        step = np.linalg.solve((x * (times * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(shrink), grad)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
@@ -298,9 +295,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     target = np.where(votes.any(axis=1), model.posterior(votes.astype(float)), _FLOOR)
     # what the votes leave of the toxic share is spread over the silent texts
     left = (prior * (len(seen) + silent) - target.sum()) / max(silent, 1)
-    empty = np.tile(_features({}, least), (min(silent, 4 * len(seen) + 100), 1))
-    rest = np.full(len(empty), min(max(left, _FLOOR), prior))
-    return Model(chosen, prior, fit_classifier(np.concatenate([x, empty]), np.concatenate([target, rest])))
+    # all silent texts are one row that counts as often as there are such texts
+    return Model(chosen, prior, fit_classifier(np.vstack([x, _features({}, least)]), np.append(target, min(max(left, _FLOOR), prior)),
+                                               np.append(np.ones(len(x)), float(silent))))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", carry_text: bool = True) -> DataFrame:
