@@ -1,10 +1,16 @@
 """A training-data pipeline: quality rules, near-duplicates, repeated passages, mixing, tokens.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.  All but
+the last return the columns of ``docs``, and columns that a stage doesn't use pass through it whatever
+their names.  Null texts count as empty ones; they and texts under 20 words go in the first stage.
+Repeated rows are near-duplicates: one stays, of equal ids whichever the operator orders first.  A null
+source is a source, and belongs to no host.  Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +19,17 @@ from rillet.llm.queries import table, tokenizer
 from rillet.llm.shared import written
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` under names that no operator has, and the way back."""
+    names = {c: c if c in used else f"_kept_{i}" for i, c in enumerate(docs.columns)}
+    hidden = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return hidden, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor their host's verdict reject."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    hidden, back = _apart(docs, "text", "source")
+    return back(quality.judge(hidden).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,15 +39,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; n_chars, where there is one, follows the text."""
-    cut = substring.dedup_substrings(docs, window=35).withColumn("text", F.col("kept"))
+    hidden, back = _apart(docs, "text", "n_chars")
+    cut = substring.dedup_substrings(hidden, window=35).withColumn("text", F.col("kept"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return back(cut)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.materialise(mixing.mix(docs, weights=(1, 2, 3), limit=3.0)).select(*docs.columns)
+    hidden, back = _apart(docs, "doc_id", "text", "source")
+    return back(mixing.materialise(mixing.mix(hidden, weights=(1, 2, 3), limit=3.0)))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
