@@ -73,32 +73,39 @@ def interval_join(left: DataFrame, right: DataFrame, *, key: str, left_time: str
     """
     lo_us = _micros(lower) if not lower.startswith("-") else -_micros(lower[1:])
     hi_us = _micros(upper) if not upper.startswith("-") else -_micros(upper[1:])
-    width = max(hi_us - lo_us, 1)
-    b_us = _micros(bucket) if bucket else width
-    lt = F.unix_micros(F.col(left_time).cast("timestamp"))
-    rt = F.unix_micros(F.col(right_time).cast("timestamp"))
-    if how.lower() in ("right", "right_outer", "rightouter", "full", "outer", "full_outer", "fullouter"):
-        # Right rows are copied into every bucket they touch, so an unmatched
-        # right row would be emitted once per copy: right/full joins use the
-        # equi key alone with the range as residual (AQE still splits skew).
-        cond = ((left[key] == right[key])
-                & F.unix_micros(left[left_time].cast("timestamp")).between(
-                    F.unix_micros(right[right_time].cast("timestamp")) + F.lit(lo_us),
-                    F.unix_micros(right[right_time].cast("timestamp")) + F.lit(hi_us)))
-        j = left.join(right, cond, how)
-        return j.select(*[left[c] for c in left.columns],
-                        *[right[c].alias(f"r_{c}") if c in left.columns else right[c] for c in right.columns])
-    l = left.withColumn("_b", F.floor(lt / F.lit(b_us)))
+    b_us = _micros(bucket) if bucket else max(hi_us - lo_us, 1)
+    sides = {"inner": (False, False), "left": (True, False), "right": (False, True), "full": (True, True)}
+    pad_left, pad_right = sides[_how(how)]
+    names = [f"r_{c}" if c in left.columns else c for c in right.columns]
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    l = left.select(F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_l"), F.col(f"`{key}`").alias("_lk"), at(left_time).alias("_lt"))
+    r = right.select(F.struct(*[F.col(f"`{c}`") for c in right.columns]).alias("_r"), F.col(f"`{key}`").alias("_rk"), at(right_time).alias("_rt"))
+    l = l.withColumn("_lb", F.floor(F.col("_lt") / F.lit(b_us)))
     # Buckets touched by [rt+lo, rt+hi]: at most width/b + 2 of them.
-    r = right.withColumn("_b", F.explode(F.sequence(F.floor((rt + F.lit(lo_us)) / F.lit(b_us)),
-                                                    F.floor((rt + F.lit(hi_us)) / F.lit(b_us)))))
-    cond = ((l[key] == r[key]) & (l["_b"] == r["_b"])
-            & (F.unix_micros(l[left_time].cast("timestamp"))
-               .between(F.unix_micros(r[right_time].cast("timestamp")) + F.lit(lo_us),
-                        F.unix_micros(r[right_time].cast("timestamp")) + F.lit(hi_us))))
-    j = l.join(r, cond, how)
-    return j.select(*[l[c] for c in left.columns], *[r[c].alias(f"r_{c}") if c in left.columns
-                                                     else r[c] for c in right.columns])
+    copies = r.withColumn("_rb", F.explode(F.sequence(F.floor((F.col("_rt") + F.lit(lo_us)) / F.lit(b_us)), F.floor((F.col("_rt") + F.lit(hi_us)) / F.lit(b_us)))))
+    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_lb") == F.col("_rb"))
+            & F.col("_lt").between(F.col("_rt") + F.lit(lo_us), F.col("_rt") + F.lit(hi_us)))
+    # a left row stands in one bucket alone, so it is padded at most once
+    pairs = l.join(copies, cond, "left" if pad_left else "inner").select("_l", "_r")
+    if pad_right:
+        # a right row stands in several: whether any of them met is decided once, by what the row holds
+        met = l.join(copies, cond, "inner").select(_identity("_r").alias("_id")).distinct()
+        alone = r.withColumn("_id", _identity("_r")).join(met, "_id", "left_anti").select(F.lit(None).cast(pairs.schema["_l"].dataType).alias("_l"), "_r")
+        pairs = pairs.unionByName(alone)
+    return pairs.select(*[F.col(f"_l.`{c}`").alias(c) for c in left.columns], *[F.col(f"_r.`{c}`").alias(n) for c, n in zip(right.columns, names, strict=True)])
+
+
+def _how(how: str) -> str:
+    """The short name of a join type."""
+    name = how.lower().replace("_", "").removesuffix("outer") or "full"
+    if name not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown join type {how!r}")
+    return name
+
+
+def _identity(struct: str) -> Column:
+    """128 bits for what a row holds: equal rows meet the same partners."""
+    return F.struct(F.xxhash64(struct).alias("a"), F.xxhash64(F.lit(7), struct).alias("b"))
 
 
 # --------------------------------------------------------------------------- J3
@@ -106,14 +113,19 @@ def regular_join(left: DataFrame, right: DataFrame, *, key: str, how: str = "inn
     """Plain equi join on ``key``; Spark picks broadcast or sort-merge.
 
     Output keeps every left and right column; the right key column is dropped
-    (``USING`` semantics) except for full joins, where the key is coalesced.
+    (``USING`` semantics), for right rows without a partner the key is theirs.
+
+    Spark splits a hot key of an inner or left join (AQE skew join), but not of a full one.  A full
+    join is therefore a left join and the right rows whose key the left side lacks, for which one row per left key is
+    enough.  A NULL key has no partner on either side.
     """
-    if how == "full":
-        j = left.alias("l").join(right.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"), "full")
-        others = [F.col(f"l.{c}") for c in left.columns if c != key] + \
-                 [F.col(f"r.{c}") for c in right.columns if c != key]
-        return j.select(F.coalesce(F.col(f"l.{key}"), F.col(f"r.{key}")).alias(key), *others)
-    return left.join(right, on=key, how=how)
+    if _how(how) != "full":
+        return left.join(right, on=key, how=how)
+    others = [c for c in right.columns if c != key]
+    present = left.select(key).distinct()
+    alone = right.join(present, key, "left_anti")
+    alone = alone.select(key, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns if c != key], *others)
+    return left.join(right, key, "left").select(key, *[c for c in left.columns if c != key], *others).union(alone)
 
 
 def per_key_pair_counts(left: DataFrame, right: DataFrame, *, key: str, how: str = "inner",
