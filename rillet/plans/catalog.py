@@ -390,9 +390,10 @@ def changelog_view(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_key_mismatch")
 def upsert_key_mismatch(spark: SparkSession, sf: str) -> DataFrame:
-    """City spend written to a sink whose primary key is total_spent."""
+    """City spend written to a sink whose primary key is total_spent, in bands that cities share."""
     from rillet.operators.changelog import upsert_by_other_key
-    return upsert_by_other_key(spend_by_segment(spark, sf).select("total_spent", "city"),
+    band = (F.floor(F.col("total_spent") / P.SPEND_BAND) * P.SPEND_BAND).cast("double")
+    return upsert_by_other_key(spend_by_segment(spark, sf).select(band.alias("total_spent"), "city"),
                                query_key="city", sink_key="total_spent")
 
 

@@ -30,3 +30,4 @@ LOG_RANGE_LOW = 20.0                 # log_out_of_range bounds on amounts
 LOG_RANGE_HIGH = 400.0
 RANDOM_STRING_MAX = 12
 LARGE_AMOUNT = 300                   # side of the full outer join that some accounts lack
+SPEND_BAND = 5000                    # sink key of C6: cities of one band share it (reference: the spend itself)

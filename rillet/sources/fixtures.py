@@ -62,16 +62,33 @@ def account_of(user_id: Column) -> Column:
     return F.concat(F.lit(ACCOUNT_PREFIX), (F.lit(ACCOUNT_BASE) + user_id).cast("string"))
 
 
+#: Rows that reach the operators' rare branches: event ids with this remainder (divisor, remainder).
+NO_MERCHANT = (97, 5)
+OTHER_MERCHANT = (89, 7)
+LARGE = (211, 8)         # amount x 25
+VERY_LARGE = (409, 3)    # amount x 100
+NO_CUSTOMER = (59, 11)   # an account that no customer has; never a signup
+UNLISTED = "Corner Shop"
+STRANGER_BASE = 9000000
+
+
+def _picked(event_id: Column, rule: tuple[int, int]) -> Column:
+    return F.pmod(event_id, F.lit(rule[0])) == rule[1]
+
+
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """The 9-column transactions table, one row per event."""
     eid = F.col("event_id")
+    amount = F.col("value").cast("decimal(10,2)")
+    stranger = _picked(eid, NO_CUSTOMER) & (F.col("event_type") != "signup")
     return events.select(
         eid.cast("string").alias("txn_id"),
-        account_of(F.col("user_id")).alias("account_number"),
+        F.when(stranger, F.concat(F.lit(ACCOUNT_PREFIX), (F.lit(STRANGER_BASE) + F.col("user_id")).cast("string")))
+        .otherwise(account_of(F.col("user_id"))).alias("account_number"),
         F.col("ts").alias("timestamp"),
-        F.col("value").cast("decimal(10,2)").alias("amount"),
+        F.when(_picked(eid, VERY_LARGE), amount * 100).when(_picked(eid, LARGE), amount * 25).otherwise(amount).cast("decimal(10,2)").alias("amount"),
         pick(CURRENCIES, F.pmod(F.floor(eid / 3), F.lit(5))).alias("currency"),
-        pick(MERCHANTS, F.pmod(eid, F.lit(20))).alias("merchant"),
+        F.when(_picked(eid, OTHER_MERCHANT), F.lit(UNLISTED)).when(~_picked(eid, NO_MERCHANT), pick(MERCHANTS, F.pmod(eid, F.lit(20)))).alias("merchant"),
         pick(LOCATIONS, F.pmod(eid, F.lit(19))).alias("location"),
         F.when(F.pmod(eid, F.lit(3)) == 0, "Failed").otherwise("Successful").alias("status"),
         F.when(F.col("event_type") == "error", "refund")
