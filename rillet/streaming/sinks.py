@@ -63,9 +63,13 @@ class UpsertSink:
 
     ``delete_when`` (A3): rows of the batch matching it delete their key, which
     is how a group that stops satisfying HAVING leaves the sink.
-    ``query_key`` (C6): when the query's upsert key differs from the sink's
-    primary key, the old sink row of a changed query key is deleted before the
-    new one is written (the correction the reference's sink must track).
+    ``query_key`` (C6): when the query's upsert key differs from the sink's primary key, the table
+    holds the current row of every query key, and :meth:`current` derives the sink's rows from them,
+    so a row that another one had hidden is there again when that one moves away.  A state operator for the
+    same is :func:`rillet.streaming.retract.sink_changes`.
+
+    Each epoch rewrites the table: for small results (a row per account or city), not for sinks of the
+    input's size.
     """
 
     def __init__(self, base: str, pk: Sequence[str], order_cols: Sequence[str], *,
@@ -98,22 +102,25 @@ class UpsertSink:
         target = f"{self.base.rstrip('/')}/v={versions[-1][0] + 1 if versions else 0:012d}.{own}"
         old = spark.read.parquet(versions[-1][2]) if versions else None
         new = batch.withColumn("_del", self.delete_when(batch) if self.delete_when is not None else F.lit(False))
-        new = latest_per_key(new, key=self.pk if self.query_key is None else [self.query_key],
-                             order_cols=self.order)
-        if old is not None:
-            stale = old
-            if self.query_key is not None:
-                # Drop sink rows whose query key was re-emitted: they carry the old PK.
-                stale = old.join(new.select(self.query_key), on=self.query_key, how="left_anti")
-            merged = (stale.withColumn("_del", F.lit(False)).withColumn("_src", F.lit(0))
-                      .unionByName(new.withColumn("_src", F.lit(1))))
-            merged = latest_per_key(merged, key=self.pk, order_cols=[*self.order, "_src"]).drop("_src")
-        else:
-            merged = new
-        if self.query_key is not None:
-            merged = latest_per_key(merged, key=self.pk, order_cols=[*self.order, self.query_key])
-        merged = merged.where(~F.col("_del")).drop("_del")
-        merged.write.mode("overwrite").parquet(target)
+        merged = merge_latest(old, new, key=self.pk if self.query_key is None else [self.query_key], order_cols=self.order)
+        merged.where(~F.col("_del")).drop("_del").write.mode("overwrite").parquet(target)
+
+    def current(self, spark: SparkSession) -> DataFrame | None:
+        """The sink's rows: one per primary key, the largest by ``order_cols``, then by query key."""
+        rows = read_latest(spark, self.base)
+        if rows is None or self.query_key is None:
+            return rows
+        return latest_per_key(rows, key=self.pk, order_cols=[*self.order, self.query_key])
+
+
+def merge_latest(old: DataFrame | None, new: DataFrame, *, key: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """C4: the latest row per key of ``old`` and a batch ``new`` (with ``_del``): the largest by ``order_cols``,
+    among equal ones the batch's."""
+    new = latest_per_key(new, key=key, order_cols=order_cols)
+    if old is None:
+        return new
+    both = old.withColumn("_del", F.lit(False)).withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
+    return latest_per_key(both, key=key, order_cols=[*order_cols, "_src"]).drop("_src")
 
 
 class DeadLetterSink:

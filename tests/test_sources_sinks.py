@@ -95,15 +95,33 @@ def test_upsert_key_mismatch_stream(spark, stream_dir):
     cust = C.materialize_latest(spark, SF).select("account_number", "city")
     agg = t.join(cust, "account_number").groupBy("city").agg(F.sum("amount").cast("double").alias("total_spent"))
     base = f"{stream_dir}/sink-c6"
-    sink = K.UpsertSink(base, pk=["total_spent"], order_cols=["total_spent"], query_key="city")
+    sink = K.UpsertSink(base, pk=["total_spent"], order_cols=[], query_key="city")
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{stream_dir}/ckpt-c6").trigger(availableNow=True).start())
     q.awaitTermination()
-    got = sorted((r.total_spent, r.city) for r in K.read_latest(spark, base).collect())
-    want = sorted((r.total_spent, r.city) for r in C.upsert_key_mismatch(spark, SF).collect())
+    got = sorted((r.total_spent, r.city) for r in sink.current(spark).collect())
+    want = sorted((r.total_spent, r.city) for r in C.spend_by_segment(spark, SF).collect())
     assert got == want
 
 
+def test_a_row_hidden_by_another_returns(spark, tmp_path):
+    """(A, 100), (B, 100), then B moves to 120: both are in the sink again."""
+    sink = K.UpsertSink(str(tmp_path / "sink"), pk=["total"], order_cols=[], query_key="city")
+    frame = lambda rows: spark.createDataFrame(rows, "city string, total int")
+    sink(frame([("A", 100), ("B", 100)]), 0)
+    assert [tuple(r) for r in sink.current(spark).select("city", "total").collect()] == [("B", 100)]
+    sink(frame([("B", 120)]), 1)
+    assert sorted(tuple(r) for r in sink.current(spark).select("city", "total").collect()) == [("A", 100), ("B", 120)]
+
+
+def test_merge_keeps_the_latest_of_both(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "k string, at int, v string, _del boolean")
+    old = frame([("a", 1, "x", False), ("b", 9, "y", False), ("c", 2, "z", False)]).drop("_del")
+    new = frame([("a", 1, "x2", False), ("b", 3, "y2", False), ("c", 5, "z2", True), ("d", 1, "w", False), ("d", 4, "w2", False)])
+    got = {r["k"]: (r["v"], r["_del"]) for r in K.merge_latest(old, new, key=["k"], order_cols=["at"]).collect()}
+    assert got == {"a": ("x2", False), "b": ("y", False), "c": ("z2", True), "d": ("w2", False)}
+
+
 def test_lookup_join_stream_static(spark, stream_dir):
     """J6 with a streaming left side and a static lookup table."""
     c = src.customers_stream(spark, files_glob(stream_dir), SF, max_files_per_trigger=6)

@@ -48,7 +48,7 @@ def test_tumbling_stream_equals_batch(spark, stream_dir):
                                   where=(F.col("transaction_type") == "payment") & (F.col("status") == "Failed"))
     got = run_to_end(out, "tumble", outdir=stream_dir)
     want = C.tumble_count(spark, SF)
-    norm = lambda df: sorted((str(r.window_start), r.merchant, r.total_tx_failed) for r in df.collect())
+    norm = lambda df: sorted((str(r.window_start), str(str(r.merchant)), r.total_tx_failed) for r in df.collect())
     assert norm(got) == norm(want) and len(norm(want)) > 0
 
 

@@ -85,7 +85,7 @@ def test_session_stream_equals_batch(spark, stream_dir):
     from rillet.operators.aggregations import session_count
     from rillet.sources import fixtures as fx
     want = session_count(fx.transactions(spark, SF), "timestamp", "1 hour", "merchant")
-    norm = lambda df: sorted((str(r.window_start), r.merchant, r.sec_duration, r.total_tx) for r in df.collect()
+    norm = lambda df: sorted((str(r.window_start), str(str(r.merchant)), r.sec_duration, r.total_tx) for r in df.collect()
                              if r.merchant is not None and str(r.window_start) < "2030")
     assert norm(got) == norm(want) and len(norm(want)) > 0
 
@@ -113,8 +113,8 @@ def test_lag_over_tumble_stream_equals_batch(spark, stream_dir):
                                   count_col="total_successful", prev_alias="prev_total_successful"),
                      "w6s", outdir=stream_dir)
     want = C.tumble_lag(spark, SF)
-    norm_g = sorted((r.merchant, str(r.wt)[:10], r.total_successful, r.prev_total_successful) for r in got.collect())
-    norm_w = sorted((r.merchant, str(r.window_start)[:10], r.total_successful, r.prev_total_successful)
+    norm_g = sorted((str(str(r.merchant)), str(r.wt)[:10], r.total_successful, r.prev_total_successful) for r in got.collect())
+    norm_w = sorted((str(str(r.merchant)), str(r.window_start)[:10], r.total_successful, r.prev_total_successful)
                     for r in want.collect())
     assert norm_g == norm_w and len(norm_w) > 0
 
