@@ -6,6 +6,8 @@ every window would hold a single row.  The reference values are kept next to
 each one.
 """
 
+from decimal import Decimal
+
 GROUP_SUM_THRESHOLD = 500            # reference 500
 RUNNING_RANGE = "3 days"             # reference 1 hour (W1) / 1 minute (W2)
 RUNNING_THRESHOLD = 100              # reference 500
@@ -31,3 +33,6 @@ LOG_RANGE_HIGH = 400.0
 RANDOM_STRING_MAX = 12
 LARGE_AMOUNT = 300                   # side of the full outer join that some accounts lack
 SPEND_BAND = 5000                    # sink key of C6: cities of one band share it (reference: the spend itself)
+START_TIME = "2024-01-10 00:00:00"   # scan.startup: rows from this time on
+#: INSERT INTO .. VALUES: account, transaction, amount.
+INSERTED = [("ACC0000001", "v1", Decimal("12.50")), ("ACC0000001", "v2", Decimal("0.25")), ("ACC1000001", "v3", None)]

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from rillet.plans import params as P
 from rillet.session import scratch_path
 from rillet.sources import fixtures as fx
+from rillet.sources import writers
+from rillet.streaming import operators as S
 from rillet.streaming import retract as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +150,33 @@ def stream_temporal_join(spark: SparkSession, sf: str) -> DataFrame:
     rows = _ntz(replay.run(joined), "timestamp", "created_at")
     return rows.select("txn_id", F.col("amount").cast("double").alias("amount"), F.col("timestamp").alias("txn_time"), "customer_name",
                        F.col("created_at").alias("signup_time"))
+
+
+@query
+def stream_tumble_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed payments per merchant and window, each once its window has closed; a filter above the
+    watermark, and a last row that only moves the clock."""
+    replay = Replay(spark)
+    t = replay.stream(fx.transactions(spark, sf), "transactions", "timestamp", watermark=True).withWatermark("timestamp", "5 seconds")
+    out = S.tumbling_count_stream(t, time_col="timestamp", size=P.TUMBLE_SIZE, keys="merchant", alias="total_tx_failed",
+                                  where=(F.col("transaction_type") == "payment") & (F.col("status") == "Failed"))
+    return _ntz(replay.run(out), "window_start", "window_end")
+
+
+@query
+def stream_session_count(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 on a stream: sessions per merchant, each once the clock has passed its gap."""
+    replay = Replay(spark)
+    t = replay.stream(fx.transactions(spark, sf), "transactions", "timestamp", watermark=True).withWatermark("timestamp", "5 seconds")
+    out = S.session_count_stream(t.where(S.keep_above_watermark(F.col("txn_id").isNotNull(), "timestamp")), time_col="timestamp", gap=P.SESSION_GAP, keys="merchant")
+    return _ntz(replay.run(out), "window_start", "window_end")
+
+
+@query
+def stream_copy(spark: SparkSession, sf: str) -> DataFrame:
+    """S9, S10 on a stream, S16: a continuous copy into a table, read as a batch."""
+    replay = Replay(spark)
+    t = replay.stream(fx.transactions(spark, sf).select("txn_id", "account_number", "amount", "timestamp"), "transactions", "timestamp")
+    name = f"copied_{replay.folder.rpartition('-')[2]}"
+    writers.stream_into(t, name, f"{replay.folder}/checkpoint", path=f"{replay.folder}/{name}").awaitTermination()
+    return spark.read.schema(t.schema).parquet(f"{replay.folder}/{name}").select("txn_id", "account_number", F.col("amount").cast("double").alias("amount"))

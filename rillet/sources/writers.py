@@ -43,6 +43,7 @@ def insert_values(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None
     spark.createDataFrame(list(rows), schema).write.insertInto(name)
 
 
-def stream_into(df: DataFrame, name: str, checkpoint: str):
-    """S9/S10 on a stream: a continuous copy into a table, from the start of the source."""
-    return df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).toTable(name)
+def stream_into(df: DataFrame, name: str, checkpoint: str, *, path: str | None = None):
+    """S9/S10 on a stream: a continuous copy into a table (at ``path``), from the start of the source."""
+    writer = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer.option("path", path) if path else writer).toTable(name)
