@@ -105,13 +105,12 @@ def running_range_totals(df: DataFrame, *, keys: str | Sequence[str], time_col:
     placed = placed.withColumn("_row", F.when(F.col("_slice") == F.col("_own"), F.col("_row")))
     frame = Window.partitionBy("_key", "_slice").orderBy("_t").rangeBetween(-r_us, Window.currentRow)
     ends = placed.select("_key", "_slice", "_row", *[e.over(frame).alias(n) for n, e in total.items()]).where(F.col("_row").isNotNull())
-    cells = base.groupBy("_key", "_own", "_far").agg(*[e.alias(n) for n, e in total.items()])
-    inner = cells.alias("c").join(cells.select("_key", F.col("_own").alias("_slice")).distinct().alias("s"),
-                                  (F.col("c._key") == F.col("s._key")) & (F.col("c._own") < F.col("s._slice")) & (F.col("s._slice") < F.col("c._far")))
-    inner = inner.groupBy(F.col("s._key").alias("_key"), F.col("s._slice").alias("_slice")).agg(*[F.sum(f"c.{n}").alias(f"_in{n}") for n in values])
-    both = ends.join(inner, ["_key", "_slice"], "left")
+    inner = None if slices.whole else _between(base, values, total)   # without borders nothing lies between two slices
+    both = ends if inner is None else ends.join(inner, ["_key", "_slice"], "left")
 
     def added(n: str) -> Column:
+        if inner is None:
+            return F.col(n)
         a, b = F.col(n), F.col(f"_in{n}")
         return F.coalesce(a + b, a, b) if n in kind else a + F.coalesce(b, F.lit(0))
 
@@ -120,6 +119,15 @@ def running_range_totals(df: DataFrame, *, keys: str | Sequence[str], time_col:
                        *[added(f"_n_{n}").cast("bigint").alias(n) for n in counts])
 
 
+def _between(base: DataFrame, values: Sequence[str], total: dict[str, Column]) -> DataFrame:
+    """Per (key, slice) the totals of the rows that every frame of the slice holds whole: those
+    whose own slice is an earlier one and whose time + range lies in a later one."""
+    cells = base.groupBy("_key", "_own", "_far").agg(*[e.alias(n) for n, e in total.items()])
+    inner = cells.alias("c").join(cells.select("_key", F.col("_own").alias("_slice")).distinct().alias("s"),
+                                  (F.col("c._key") == F.col("s._key")) & (F.col("c._own") < F.col("s._slice")) & (F.col("s._slice") < F.col("c._far")))
+    return inner.groupBy(F.col("s._key").alias("_key"), F.col("s._slice").alias("_slice")).agg(*[F.sum(f"c.{n}").alias(f"_in{n}") for n in values])
+
+
 def running_sum_flag(df: DataFrame, *, keys: str | Sequence[str], time_col: str, value_col: str,
                      range_: str, threshold: float, total_alias: str = "total_value",
                      flag_alias: str = "flag", slice_=None,

@@ -34,6 +34,11 @@ class Slices:
     def __init__(self, borders: Sequence[int] = (), width: int | None = None) -> None:
         self.borders, self.width = sorted(set(borders)), width
 
+    @property
+    def whole(self) -> bool:
+        """Whether all times are one slice."""
+        return not self.width and not self.borders
+
     def of(self, t: Column) -> Column:
         """Number of the slice that time ``t`` (microseconds) is in, rising with it; NULL for NULL."""
         if self.width:
