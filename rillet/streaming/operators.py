@@ -134,35 +134,3 @@ def running_range_stream(df: DataFrame, *, keys: str | Sequence[str], time_col:
                     F.col(time_col), F.col(value_col).cast("double"))
     return src.groupBy(*keys).applyInPandasWithState(
         fn, out_schema, "s string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-# ------------------------------------------------------- changelog processor
-def changelog_stream(df: DataFrame, *, key: str, time_col: str, value_cols: Sequence[str],
-                     op_col: str = "op") -> DataFrame:
-    """C2 on a stream: per key a value state with the last row; each new row emits
-    ``+I`` (first) or ``-U`` old / ``+U`` new.  Rows within a batch are applied in
-    event-time order."""
-    vcols = list(value_cols)
-    out_schema = f"{op_col} string, {key} string, " + ", ".join(f"{c} string" for c in vcols) \
-        + f", {time_col} timestamp"
-
-    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = json.loads(state.get[0]) if state.exists else None
-        rows = []
-        pdf = pd.concat(list(pdfs)).sort_values([time_col, *vcols])
-        for rec in pdf[[time_col, *vcols]].itertuples(index=False):
-            cur = [int(pd.Timestamp(rec[0]).value // 1000), *[None if pd.isna(x) else str(x) for x in rec[1:]]]
-            if last is None:
-                rows.append(("+I", k[0], *cur[1:], cur[0]))
-            else:
-                rows.append(("-U", k[0], *last[1:], last[0]))
-                rows.append(("+U", k[0], *cur[1:], cur[0]))
-            last = cur
-        state.update((json.dumps(last, default=str),))
-        out = pd.DataFrame(rows, columns=[op_col, key, *vcols, time_col])
-        out[time_col] = pd.to_datetime(out[time_col], unit="us")
-        yield out
-
-    src = df.select(F.col(key).cast("string"), *[F.col(c).cast("string") for c in vcols], F.col(time_col))
-    return src.groupBy(key).applyInPandasWithState(fn, out_schema, "s string", "append",
-                                                   GroupStateTimeout.NoTimeout)

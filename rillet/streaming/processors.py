@@ -1,24 +1,25 @@
-"""Event-time ordered stateful processors for streams.
+"""Event-time ordered stateful processors for streams.
 
-Spark rejects OVER windows and has no MATCH_RECOGNIZE or temporal join on
+Spark rejects OVER windows and has no MATCH_RECOGNIZE on
 streams.  :func:`ordered_processor` is the one building block: per key it
-buffers rows until the watermark passes them (rows below the watermark are
+keeps rows until the watermark passes them (rows below the watermark are
 final, later rows for that time are dropped as late), then feeds the ready
 rows in ``(time, order...)`` order to a step function with a small carried
-state.  State per key = unreleased rows + the carry; each step keeps its carry
-bounded (last version, last values, rows inside the WITHIN bound).
+state.  State per key = a list of unreleased rows, to which a batch appends, + the carry; each
+step keeps its carry bounded (last values, rows inside the WITHIN bound).  The versioned join (J1) and
+changelogs are in :mod:`rillet.streaming.retract`.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from rillet.operators.over import _micros
@@ -26,82 +27,71 @@ from rillet.operators.over import _micros
 Step = Callable[[object, list[dict]], tuple[object, list[tuple]]]
 
 
-def _us(t) -> int:
-    return int(pd.Timestamp(t).value // 1000)
+class _Ordered(StatefulProcessor):
+    def __init__(self, time_col: str, order_cols: Sequence[str], cols: Sequence[str], step: Step, out: Sequence[str], times: Sequence[str]) -> None:
+        self.time_col, self.order, self.cols, self.step, self.out, self.times = time_col, [time_col, *order_cols], list(cols), step, list(out), list(times)
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "t long, row string")
+        self.carry = handle.getValueState("carry", "c string")
 
-def ordered_processor(df: DataFrame, *, key: str, time_col: str, order_cols: Sequence[str],
-                      cols: Sequence[str], step: Step, out_schema: str) -> DataFrame:
-    """Run ``step(carry, ready_rows) -> (carry, out_rows)`` per key in event-time order.
-
-    ``ready_rows`` are dicts with ``cols`` (time as epoch microseconds);
-    ``out_rows`` are tuples matching ``out_schema`` after the key column.
-    """
-    cols = list(dict.fromkeys([time_col, *order_cols, *cols]))
-    out_cols = [f.split()[0] for f in out_schema.split(",")]
-
-    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending, carry = ([], None) if not state.exists else json.loads(state.get[0])
-        for pdf in pdfs:
-            for rec in pdf[cols].to_dict("records"):
-                rec[time_col] = _us(rec[time_col])
-                pending.append({c: (None if (not isinstance(v, (list, dict)) and pd.isna(v)) else v)
-                                for c, v in rec.items()})
-        wm = state.getCurrentWatermarkMs() * 1000
-        ready = [r for r in pending if r[time_col] <= wm]
-        pending = [r for r in pending if r[time_col] > wm]
-        ready.sort(key=lambda r: tuple((r[c] is not None, r[c]) for c in [time_col, *order_cols]))
-        carry, rows = step(carry, ready) if ready else (carry, [])
-        if pending or carry is not None:
-            state.update((json.dumps([pending, carry], default=str),))
-        elif state.exists:
-            state.remove()
-        if pending:
-            state.setTimeoutTimestamp(max(min(r[time_col] for r in pending) // 1000 + 1, wm // 1000 + 1))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = [(t, row) for pdf in rows for t, row in zip(pdf["t"].tolist(), pdf["row_json"], strict=True)]
+        if new:
+            self.waiting.appendList(new)
+        yield from self._released(key, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._released(key, timerValues)
+
+    def _released(self, key, timerValues) -> Iterator[pd.DataFrame]:
+        clock = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get())
+        later = [w for w in waiting if w[0] > clock]
+        if later:
+            self.handle.registerTimer(max(min(later)[0], clock) // 1000 + 1)
+        ready = [self._row(t, row) for t, row in waiting if t <= clock]
+        if not ready:
+            return
+        ready.sort(key=lambda r: tuple((r[c] is not None, r[c]) for c in self.order))
+        held = self.carry.get()
+        carry, rows = self.step(None if held is None else json.loads(held[0]), ready)
+        if carry is not None:
+            self.carry.update((json.dumps(carry, default=str),))
+        elif held is not None:
+            self.carry.clear()
+        if later:
+            self.waiting.put(later)
+        else:
+            self.waiting.clear()
         if rows:
-            out = pd.DataFrame([(k[0], *r) for r in rows], columns=out_cols)
-            for f in out_schema.split(","):
-                name, typ = f.split()[:2]
-                if typ == "timestamp":
-                    out[name] = pd.to_datetime(out[name], unit="us")
+            out = pd.DataFrame([(key[0], *r) for r in rows], columns=self.out)
+            for c in self.times:
+                out[c] = pd.to_datetime(out[c], unit="us")
             yield out
 
-    src = df.select(F.col(key).cast("string").alias(key), *[F.col(c) for c in cols if c != key])
-    return src.groupBy(key).applyInPandasWithState(fn, out_schema, "s string", "append",
-                                                   GroupStateTimeout.EventTimeTimeout)
+    def _row(self, t: int, text: str) -> dict:
+        held = json.loads(text, parse_float=Decimal)
+        return {c: held.get(c) for c in self.cols} | {self.time_col: t}
 
+    def close(self) -> None:
+        pass
 
-# ------------------------------------------------------------------ J1 stream
-def temporal_join_stream(left: DataFrame, versions: DataFrame, *, key: str, left_time: str, version_time: str,
-                         left_cols: Sequence[str], version_cols: Sequence[str], tiebreak: str,
-                         delay: str = "5 seconds") -> DataFrame:
-    """J1 on streams: tagged union; a version row replaces the carried version,
-    a left row is emitted with the current version (inner: none -> dropped).
 
-    The watermark is declared once on the union (inputs should carry none), so
-    event time moves with whichever side is ahead, as one versioned-table clock.
-    """
-    lc, vc = list(left_cols), list(version_cols)
-    u = (left.select(F.col(key), F.col(left_time).alias("_ts"), F.lit(1).alias("_side"),
-                     F.col(tiebreak).cast("string").alias("_tb"),
-                     F.to_json(F.struct(*[F.col(c) for c in lc])).alias("_l"), F.lit(None).cast("string").alias("_v"))
-         .unionByName(versions.select(F.col(key), F.col(version_time).alias("_ts"), F.lit(0).alias("_side"),
-                                      F.lit(None).cast("string").alias("_tb"), F.lit(None).cast("string").alias("_l"),
-                                      F.to_json(F.struct(*[F.col(c) for c in vc])).alias("_v"))))
-    u = u.withColumn("_ts", F.col("_ts").cast("timestamp")).withWatermark("_ts", delay)
+def ordered_processor(df: DataFrame, *, key: str, time_col: str, order_cols: Sequence[str],
+                      cols: Sequence[str], step: Step, out_schema: str) -> DataFrame:
+    """Run ``step(carry, ready_rows) -> (carry, out_rows)`` per key in event-time order.
 
-    def step(carry, rows):
-        out = []
-        for r in rows:
-            if r["_side"] == 0:
-                carry = r["_v"]
-            elif carry is not None:
-                out.append((r["_ts"], r["_l"], carry))
-        return carry, out
-
-    res = ordered_processor(u, key=key, time_col="_ts", order_cols=["_side", "_tb"], cols=["_side", "_l", "_v"],
-                            step=step, out_schema=f"{key} string, _ts timestamp, _l string, _v string")
-    return res.select(key, "_ts", "_l", "_v")
+    ``ready_rows`` are dicts with ``cols`` (time as epoch microseconds, numbers as int or Decimal, other types
+    as text); ``out_rows`` are tuples matching ``out_schema`` after the key column.
+    """
+    cols = list(dict.fromkeys([time_col, *order_cols, *cols]))
+    fields = [f.split()[:2] for f in out_schema.split(",")]
+    source = df.select(F.col(key).cast("string").alias("key_text"), F.col(time_col).alias("at"), F.unix_micros(F.col(time_col)).alias("t"),
+                       F.to_json(F.struct(*[F.col(c) for c in cols if c != time_col])).alias("row_json"))
+    return source.groupBy("key_text").transformWithStateInPandas(
+        _Ordered(time_col, order_cols, cols, step, [n for n, _ in fields], [n for n, kind in fields if kind == "timestamp"]), out_schema, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ W5 stream

@@ -179,6 +179,62 @@ def upsert_changes(df: DataFrame, *, key: str | Sequence[str], order_cols: Seque
     return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, "_r.*")
 
 
+class _History(StatefulProcessor):
+    """Per key the rows above the clock and the last row released."""
+
+    def __init__(self, order: _Order) -> None:
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "t long, row string")
+        self.last = handle.getValueState("last", "row string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = [(t, row) for pdf in rows for t, row in zip(pdf["t"].tolist(), pdf["row_json"], strict=True)]
+        if new:
+            self.waiting.appendList(new)
+        yield from self._released(timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._released(timerValues)
+
+    def _released(self, timerValues) -> Iterator[pd.DataFrame]:
+        clock = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get())
+        later = [w for w in waiting if w[0] > clock]
+        if later:
+            self.handle.registerTimer(max(min(later)[0], clock) // 1000 + 1)
+        ready = sorted((w for w in waiting if w[0] <= clock), key=lambda w: (w[0], self.order(w[1])))
+        if not ready:
+            return
+        last, out = (self.last.get() or (None,))[0], []
+        for _, row in ready:
+            out += [("+I", row)] if last is None else [("-U", last), ("+U", row)]
+            last = row
+        self.last.update((last,))
+        if later:
+            self.waiting.put(later)
+        else:
+            self.waiting.clear()
+        for at in range(0, len(out), 10_000):
+            yield pd.DataFrame(out[at:at + 10_000], columns=[OP, "row_json"])
+
+    def close(self) -> None:
+        pass
+
+
+def changelog_history(df: DataFrame, *, key: str | Sequence[str], time_col: str, order_cols: Sequence[str] = ()) -> DataFrame:
+    """C2 on a watermarked stream: every version of a key as ``+I`` or as ``-U`` (the one before) and ``+U``,
+    in order of time, then ``order_cols``, whatever order they arrive in; a row goes out once the clock has
+    passed it, later ones for that time are late.  State per key: rows above the clock and the last one below.
+    """
+    source = df.select(_packed(_cols(key)).alias("key_json"), F.col(f"`{time_col}`").alias("at"), F.unix_micros(F.col(f"`{time_col}`")).alias("t"),
+                       _packed(df.columns).alias("row_json"))
+    out = source.groupBy("key_json").transformWithStateInPandas(_History(_ordered(order_cols, df)), f"{OP} string, row_json string", "Append", "EventTime")
+    return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, "_r.*")
+
+
 # ------------------------------------------------------------------ joins
 class _Join(StatefulProcessor):
     def __init__(self, pad_left: bool, pad_right: bool, ttl: tuple[int | None, int | None]) -> None:

@@ -1,5 +1,4 @@
 """Batch-vs-stream for the ordered processors."""
-import json
 
 from pyspark.sql import functions as F
 
@@ -52,18 +51,6 @@ def test_m3_stream_equals_batch(spark, stream_dir):
     assert norm(got) == norm(want) and len(norm(want)) > 0
 
 
-def test_temporal_join_stream_equals_batch(spark, stream_dir):
-    t = src.transactions_stream(spark, files_glob(stream_dir), delay=None, max_files_per_trigger=6)
-    c = src.customers_stream(spark, files_glob(stream_dir), SF, delay=None, max_files_per_trigger=6)
-    j = P.temporal_join_stream(t, c, key="account_number", left_time="timestamp", version_time="created_at",
-                               left_cols=["txn_id"], version_cols=["customer_name"], tiebreak="txn_id")
-    got = run_to_end(j, "j1s", outdir=stream_dir)
-    want = C.temporal_join(spark, SF)
-    g = sorted((json.loads(r._l)["txn_id"], json.loads(r._v)["customer_name"]) for r in got.collect())
-    w = sorted((r.txn_id, r.customer_name) for r in want.collect())
-    assert g == w and len(w) > 0
-
-
 def test_latest_values_stream_equals_batch(spark, stream_dir):
     # The filter must stay above the watermark so the heartbeat still moves it (C14).
     t = tx(spark, stream_dir).where(S.keep_above_watermark(F.col("account_number") != HB, "timestamp"))
