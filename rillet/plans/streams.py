@@ -17,8 +17,10 @@ from rillet.plans import params as P
 from rillet.session import scratch_path
 from rillet.sources import fixtures as fx
 from rillet.sources import writers
+from rillet.sources.tables import open_table
 from rillet.streaming import operators as S
 from rillet.streaming import retract as R
+from rillet.streaming.sinks import UpsertSink, read_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -180,3 +182,39 @@ def stream_copy(spark: SparkSession, sf: str) -> DataFrame:
     name = f"copied_{replay.folder.rpartition('-')[2]}"
     writers.stream_into(t, name, f"{replay.folder}/checkpoint", path=f"{replay.folder}/{name}").awaitTermination()
     return spark.read.schema(t.schema).parquet(f"{replay.folder}/{name}").select("txn_id", "account_number", F.col("amount").cast("double").alias("amount"))
+
+
+@query
+def stream_upsert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Spend per city, updated with every micro-batch, upserted into a table by its primary key."""
+    replay = Replay(spark)
+    t = _transactions(replay, sf)
+    c = replay.session.read.schema(_city_of(spark, sf).schema).parquet(_stored(_city_of(spark, sf), f"{replay.folder}/city-of"))
+    spend = t.join(c, "account_number").groupBy("city").agg(F.sum("amount").cast("double").alias("total_spent"), F.count("txn_id").alias("transaction_count"))
+    sink = UpsertSink(f"{replay.folder}/table", pk=["city"], order_cols=[])
+    spend.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{replay.folder}/checkpoint") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return read_latest(spark, sink.base).select("city", "total_spent", "transaction_count")
+
+
+def _city_of(spark: SparkSession, sf: str) -> DataFrame:
+    from rillet.plans.catalog import materialize_latest
+
+    return materialize_latest(spark, sf).select("account_number", "city")
+
+
+def _stored(df: DataFrame, path: str) -> str:
+    df.write.parquet(path)
+    return path
+
+
+@query
+def stream_from_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that starts behind the files that are there: the odd events come after its start."""
+    replay = Replay(spark)
+    events = fx.read_table(spark, sf, "events").select("event_id", "event_type", "value")
+    path = f"{replay.folder}/events"
+    events.where("event_id % 2 = 0").write.parquet(path)
+    stream = open_table(replay.session, path, stream=True, schema=events.schema, startup="latest-offset", latest_from=f"{replay.folder}/present")
+    events.where("event_id % 2 = 1").write.mode("append").parquet(path)
+    return replay.run(stream)
