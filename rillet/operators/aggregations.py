@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,22 +55,31 @@ def session_count(df: DataFrame, time_col: str, gap: str, keys: str | Sequence[s
     """Session windows per key; a new session starts when the gap *exceeds* ``gap``.
 
     A session lasts to its last event + gap, as the reference's SESSION TVF has it, so
-    ``sec_duration`` includes the gap; rows exactly one gap apart are one session.  Sessions
-    are gaps and islands over sliced scans, so that a hot key is not one task: the previous
-    row's time, a running count of session starts, then a partial-aggregated
-    ``groupBy(key, session)``.  Rows without a time belong to no session; NULL is a key.
+    ``sec_duration`` includes the gap; rows exactly one gap apart are one session.  Gaps and
+    islands in one sliced scan, so that a hot key is not one task: sessions of each slice, numbered within it; one row per
+    slice tells whether its first session goes on the last one before and how many began earlier; pieces of one
+    number are then one session.  Rows without a time belong to no session; NULL is a key.
     """
     from rillet.operators.over import _micros
-    from rillet.operators.scan import previous_value, rank_slices, running_total
+    from rillet.operators.scan import key_of, with_slice
 
-    keys = _cols(keys)
+    keys, gap_us = _cols(keys), _micros(gap)
     src = (df if where is None else df.where(where)).where(F.col(time_col).isNotNull())
-    rows = src.select(*keys, F.col(time_col), F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"))
-    slice_ = slice_ or rank_slices(rows, time_col)
-    prev = previous_value(rows, keys=keys, order_cols=["_t"], value=F.col("_t"), alias="_p", time_col=time_col, slice_=slice_)
-    start = F.when(F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(_micros(gap))), 1).otherwise(0)
-    sid = running_total(prev, keys=keys, order_cols=["_t"], value=start, alias="_sid", time_col=time_col, slice_=slice_)
-    g = sid.groupBy(*keys, "_sid").agg(F.min(time_col).alias("_s"), F.max(time_col).alias("_e"), F.count(F.lit(1)).alias(alias))
+    rows = src.select(key_of(keys).alias("_key"), F.col(time_col).alias("_time"), F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"))
+    rows = with_slice(rows, "_time", slice_)
+    inside = Window.partitionBy("_key", "_slice").orderBy("_t")
+    apart = F.col("_t") - F.lag("_t").over(inside) > F.lit(gap_us)
+    numbered = rows.withColumn("_new", F.when(apart, 1).otherwise(0)).withColumn("_n", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = numbered.groupBy("_key", "_slice", "_n").agg(F.min("_time").alias("_s"), F.max("_time").alias("_e"), F.min("_t").alias("_a"), F.max("_t").alias("_b"),
+                                                         F.count(F.lit(1)).alias(alias))
+    before = Window.partitionBy("_key").orderBy("_slice")
+    slices = pieces.groupBy("_key", "_slice").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max("_n").alias("_more"))
+    last = F.lag("_b").over(before)
+    slices = slices.withColumn("_new", F.when(last.isNull() | (F.col("_a") - last > F.lit(gap_us)), 1).otherwise(0))
+    begun = F.sum(F.col("_new") + F.col("_more")).over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_more")
+    joined = pieces.join(slices.select("_key", "_slice", begun.alias("_begun")), ["_key", "_slice"])
+    g = joined.groupBy("_key", (F.col("_begun") + F.col("_n")).alias("_sid")).agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum(alias).alias(alias))
+    g = g.select(*[F.col(f"_key.`{k}`").alias(k) for k in keys], "_s", "_e", alias)
     end = f"_e + make_dt_interval(0, 0, 0, {_micros(gap)}BD / 1000000)"
     return g.select(F.col("_s").alias("window_start"), F.expr(end).alias("window_end"),
                     F.expr(f"timestampdiff(SECOND, _s, {end})").cast("bigint").alias("sec_duration"),
