@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.session import remove_path, scratch_path, ship_package
 
 
-#: Rows of a batch that a function sees: texts run to many kilobytes, and a batch is in memory several times.
+#: Rows of an Arrow batch: texts run to many kilobytes, and a batch is in memory several times.
 BATCH_ROWS = 2_000
 
 
 def map_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """``mapInArrow`` whose function may live in this package on any executor and sees batches of
-    at most BATCH_ROWS rows."""
-    ship_package(df.sparkSession)
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return work(b.slice(at, BATCH_ROWS) for b in batches for at in range(0, len(b), BATCH_ROWS))
-
-    return df.mapInArrow(bounded, schema)
+    """``mapInArrow`` whose function may live in this package on any executor, with batches
+    of at most BATCH_ROWS rows unless the session asks for fewer.  Spark reads that bound when the
+    query runs, so the session keeps it; a bound inside the function comes after the batch is in memory."""
+    spark = df.sparkSession
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    asked = int(spark.conf.get(name, "10000"))
+    if not 0 < asked <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(work, schema)
 
 
 #: Tables written by this driver, by application.
