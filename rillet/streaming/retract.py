@@ -10,6 +10,11 @@ input falls into batches.  Filters and projections work on a changelog as on a t
 State is one entry per distinct row (joins, sinks) or per group (aggregates), in Spark's state
 store.  Rows travel as JSON of their columns and come back typed.  A hot key is split with
 ``salts``: the left side of a join by row, an aggregate in two levels.
+
+A call of Python and each of its state calls cost a millisecond or so whatever a key's size, so keys
+are handled by buckets of a hash (``buckets``, fixed for the life of a checkpoint): one call and one
+log of state changes for all keys of a bucket.  A batch reads the state of the buckets that it touches;
+where small batches meet much state, ``buckets=None`` gives every key a call and a state of its own.
 """
 
 from __future__ import annotations
@@ -17,15 +22,16 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from decimal import Decimal
 from fractions import Fraction
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, LongType, StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, LongType, StructField, StructType, TimestampType
 
 from rillet.operators.over import _micros
 from rillet.streaming.operators import keep_above_watermark
@@ -39,13 +45,21 @@ def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _packed(cols: Sequence[str]) -> Column:
-    """Columns as one JSON text, equal for equal rows."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), _JSON) if cols else F.lit("{}")
+def _packed(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Columns of ``df`` as one JSON text, equal for equal rows; timestamps as microseconds, which are read and written faster than text."""
+    held = [F.unix_micros(F.col(f"`{c}`")).alias(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(f"`{c}`") for c in cols]
+    return F.to_json(F.struct(*held), _JSON) if cols else F.lit("{}")
 
 
 def _unpacked(text: str, df: DataFrame, cols: Sequence[str], name: str) -> Column:
-    return F.from_json(F.col(text), StructType([df.schema[c] for c in cols]), _JSON).alias(name)
+    """What :func:`_packed` has packed, to be read by :func:`_field`."""
+    fields = [StructField(c, LongType()) if isinstance(df.schema[c].dataType, TimestampType) else df.schema[c] for c in cols]
+    return F.from_json(F.col(text), StructType(fields), _JSON).alias(name)
+
+
+def _field(name: str, df: DataFrame, col: str) -> Column:
+    value = F.col(f"{name}.`{col}`")
+    return (F.timestamp_micros(value) if isinstance(df.schema[col].dataType, TimestampType) else value).alias(col)
 
 
 def sign() -> Column:
@@ -65,14 +79,205 @@ def current_rows(changes: DataFrame) -> DataFrame:
     return held.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*cols)
 
 
-def _out(changes: Counter, columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+#: Buckets of keys of an operator.
+BUCKETS = 1024
+#: Rows of a frame that goes to Spark; characters of a piece of a bucket's state.
+FRAME, PIECE = 10_000, 1 << 20
+
+
+def _net(changes: Counter) -> list[tuple]:
     """Net changes of a key, those taken away first; U where rows go and others come."""
-    gone = [(row, -n) for row, n in changes.items() if n < 0]
-    come = [(row, n) for row, n in changes.items() if n > 0]
-    minus, plus = ("-U", "+U") if gone and come else ("-D", "+I")
-    rows = [(op, *row) for op, part in ((minus, gone), (plus, come)) for row, n in part for _ in range(n)]
-    for at in range(0, len(rows), 10_000):
-        yield pd.DataFrame(rows[at:at + 10_000], columns=[OP, *columns], dtype=object)
+    values = changes.values()
+    minus, plus = ("-U", "+U") if values and min(values) < 0 < max(values) else ("-D", "+I")
+    out = [(minus, *row) for row, n in changes.items() if n < 0 for _ in range(-n)]
+    out += [(plus, *row) for row, n in changes.items() if n > 0 for _ in range(n)]
+    return out
+
+
+def _frames(rows: Iterable[tuple], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+    rows = iter(rows)
+    while part := list(islice(rows, FRAME)):
+        yield pd.DataFrame(dict(zip(columns, map(list, zip(*part, strict=True)), strict=True)), dtype=object)
+
+
+class _Keyed(StatefulProcessor):
+    """A processor of one key: ``added`` collects the key's new rows (``takes``) in what ``empty`` gives,
+    ``changed`` applies them to state and gives rows to go out (``gives``)."""
+
+    takes: tuple[str, ...]
+    gives: tuple[str, ...]
+
+    def empty(self):
+        raise NotImplementedError
+
+    def added(self, new, rows: Iterable[tuple]) -> None:
+        raise NotImplementedError
+
+    def changed(self, key: str, new, clock: int) -> Iterable[tuple]:
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = self.empty()
+        for pdf in rows:
+            self.added(new, zip(*[pdf[c].tolist() for c in self.takes], strict=True))
+        yield from _frames(self.changed(key[0], new, timerValues.getCurrentWatermarkInMs() * 1000), self.gives)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from _frames(self.changed(key[0], self.empty(), timerValues.getCurrentWatermarkInMs() * 1000), self.gives)
+
+    def close(self) -> None:
+        pass
+
+
+class _Log:
+    """One state of all keys of a bucket, as a processor of one key sees it: a log of JSON pieces, each a list of
+    [key, entries, whether they replace earlier ones].  It is read when a key asks for it, gets one call
+    a batch, and is rewritten when it has grown to twice what it says."""
+
+    def __init__(self, bucket: _Bucket, name: str) -> None:
+        self.bucket, self.state = bucket, bucket.handle.getListState(name, "piece string")
+        self.begin()
+
+    def begin(self) -> None:
+        self.held: dict[str, list[tuple]] | None = None
+        self.changes: list[tuple] = []
+
+    def load(self) -> dict[str, list[tuple]]:
+        if self.held is None:
+            self.held, self.size = {}, 0
+            for piece, in self.state.get():
+                for change in json.loads(piece):
+                    self._apply(*change)
+            for change in self.changes:
+                self._apply(*change)
+        return self.held
+
+    def _apply(self, key: str, entries: list, anew: bool) -> None:
+        self.size += 1 + len(entries)
+        if anew:
+            self.held.pop(key, None)
+        if entries:
+            self.held.setdefault(key, []).extend(map(tuple, entries))
+
+    def _change(self, entries: list, anew: bool) -> None:
+        change = (self.bucket.key, entries, anew)
+        while anew and self.changes and self.changes[-1][0] == self.bucket.key:
+            self.changes.pop()
+        self.changes.append(change)
+        if self.held is not None:
+            self._apply(*change)
+
+    def end(self) -> None:
+        if not self.changes:
+            return
+        changes = self.changes
+        if self.held is not None and self.size > 2 * sum(1 + len(e) for e in self.held.values()) + 16:
+            changes = [(key, entries, False) for key, entries in self.held.items()]
+            self.state.clear()
+        piece, length = [], 0
+        for key, entries, anew in changes:
+            for at in range(0, len(entries), 1000) if len(entries) > 1000 else (0,):   # a hot key's entries in parts
+                text = json.dumps((key, entries[at:at + 1000], anew and at == 0), ensure_ascii=False)
+                if piece and length + len(text) > PIECE:
+                    self.state.appendList([(f"[{','.join(piece)}]",)])
+                    piece, length = [], 0
+                piece.append(text)
+                length += len(text)
+        if piece:
+            self.state.appendList([(f"[{','.join(piece)}]",)])
+
+    # what list and value states offer
+    def put(self, entries: Sequence[tuple]) -> None:
+        self._change(list(entries), True)
+
+    def appendList(self, entries: Sequence[tuple]) -> None:
+        self._change(list(entries), False)
+
+    def update(self, value: tuple) -> None:
+        self._change([value], True)
+
+    def clear(self) -> None:
+        self._change([], True)
+
+
+class _ListLog(_Log):
+    def get(self) -> Iterator[tuple]:
+        return iter(self.load().get(self.bucket.key, ()))
+
+
+class _ValueLog(_Log):
+    def get(self) -> tuple | None:
+        return self.load().get(self.bucket.key, (None,))[0]
+
+
+class _Bucket(StatefulProcessor):
+    """Runs a processor of one key for all keys of a bucket and is the handle of its states."""
+
+    def __init__(self, one: _Keyed) -> None:
+        self.one = one
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.logs, self.key = handle, [], None
+        self.one.init(self)
+
+    def getValueState(self, name: str, schema: str) -> _ValueLog:
+        self.logs.append(_ValueLog(self, name))
+        return self.logs[-1]
+
+    def getListState(self, name: str, schema: str) -> _ListLog:
+        self.logs.append(_ListLog(self, name))
+        return self.logs[-1]
+
+    def registerTimer(self, at: int) -> None:
+        self.timer = min(at, self.timer or at)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self._begin()
+        new: dict = {}
+        for pdf in rows:
+            parts: dict[str, list] = {}
+            for k, row in zip(pdf["key_json"], zip(*[pdf[c].tolist() for c in self.one.takes], strict=True), strict=True):
+                parts.setdefault(k, []).append(row)
+            for k, part in parts.items():
+                if k not in new:
+                    new[k] = self.one.empty()
+                self.one.added(new[k], part)
+        yield from self._run(new, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._begin()
+        yield from self._run({k: self.one.empty() for log in self.logs for k in log.load()}, timerValues)
+
+    def _begin(self) -> None:
+        self.timer = None
+        for log in self.logs:
+            log.begin()
+
+    def _run(self, new: dict, timerValues) -> Iterator[pd.DataFrame]:
+        clock = timerValues.getCurrentWatermarkInMs() * 1000
+
+        def changed() -> Iterator[tuple]:
+            while new:
+                self.key, rows = new.popitem()
+                yield from self.one.changed(self.key, rows, clock)
+
+        yield from _frames(changed(), self.one.gives)
+        for log in self.logs:
+            log.end()
+            log.begin()
+        if self.timer is not None:
+            self.handle.registerTimer(self.timer)
+
+    def close(self) -> None:
+        pass
+
+
+def _by_key(source: DataFrame, one: _Keyed, schema: str, buckets: int | None, time_mode: str = "None") -> DataFrame:
+    """``one`` run on every ``key_json``."""
+    if buckets is None:
+        return source.groupBy("key_json").transformWithStateInPandas(one, schema, "Append", time_mode)
+    bucket = F.pmod(F.xxhash64("key_json"), F.lit(buckets)).cast("int")
+    return source.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(_Bucket(one), schema, "Append", time_mode)
 
 
 class _Rows:
@@ -122,7 +327,7 @@ class _ExpiringRows:
 
 class _Order:
     """What rows (as packed) sort by: NULL first, numbers by value with NaN last, texts by code point,
-    times by their text; equal ones by the whole row."""
+    times by microseconds; equal ones by the whole row."""
 
     def __init__(self, df: DataFrame, cols: Sequence[str]) -> None:
         self.cols = [(c, isinstance(df.schema[c].dataType, DoubleType | FloatType)) for c in cols]
@@ -146,42 +351,45 @@ def _ordered(cols: Sequence[str], df: DataFrame) -> _Order:
 
 
 # ------------------------------------------------------------------ upsert stream -> changelog
-class _Upsert(StatefulProcessor):
+class _Upsert(_Keyed):
+    takes, gives = ("row_json",), (OP, "row_json")
+
     def __init__(self, order: _Order) -> None:
         self.order = order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.current = handle.getValueState("current", "row string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def empty(self) -> list[tuple]:
+        return []   # the order of the largest row, whose last part is the row
+
+    def added(self, new: list[tuple], rows: Iterable[tuple]) -> None:
+        new[:] = [max([*new, *(self.order(row) for row, in rows)])]
+
+    def changed(self, key: str, new: list[tuple], clock: int) -> Iterator[tuple]:
         before = (self.current.get() or (None,))[0]
-        now = before
-        for pdf in rows:
-            for row in pdf["row_json"]:
-                if now is None or self.order(row) > self.order(now):
-                    now = row
+        now = max([*new, *([] if before is None else [self.order(before)])])[-1]
         if now != before:
             self.current.update((now,))
-            yield from _out(Counter({(now,): 1} if before is None else {(before,): -1, (now,): 1}), ["row_json"])
+            yield from _net(Counter({(now,): 1} if before is None else {(before,): -1, (now,): 1}))
 
-    def close(self) -> None:
-        pass
 
-
-def upsert_changes(df: DataFrame, *, key: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def upsert_changes(df: DataFrame, *, key: str | Sequence[str], order_cols: Sequence[str], buckets: int | None = BUCKETS) -> DataFrame:
     """The changelog of an upsert stream: per key the row with the largest ``order_cols`` so far.
 
     A row below the current one changes nothing whenever it arrives, so every split of the
     input into files ends in the same rows.  NULL is a key like any other.  State: one row per key.
     """
-    source = df.select(_packed(_cols(key)).alias("key_json"), _packed(df.columns).alias("row_json"))
-    out = source.groupBy("key_json").transformWithStateInPandas(_Upsert(_ordered(order_cols, df)), f"{OP} string, row_json string", "Append", "None")
-    return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, "_r.*")
+    source = df.select(_packed(df, _cols(key)).alias("key_json"), _packed(df, df.columns).alias("row_json"))
+    out = _by_key(source, _Upsert(_ordered(order_cols, df)), f"{OP} string, row_json string", buckets)
+    return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, *[_field("_r", df, c) for c in df.columns])
 
 
-class _History(StatefulProcessor):
+class _History(_Keyed):
     """Per key the rows above the clock and the last row released."""
 
+    takes, gives = ("t", "row_json"), (OP, "row_json")
+
     def __init__(self, order: _Order) -> None:
         self.order = order
 
@@ -190,17 +398,15 @@ class _History(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "t long, row string")
         self.last = handle.getValueState("last", "row string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [(t, row) for pdf in rows for t, row in zip(pdf["t"].tolist(), pdf["row_json"], strict=True)]
-        if new:
-            self.waiting.appendList(new)
-        yield from self._released(timerValues)
+    def empty(self) -> list[tuple]:
+        return []
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._released(timerValues)
+    def added(self, new: list[tuple], rows: Iterable[tuple]) -> None:
+        new += rows
 
-    def _released(self, timerValues) -> Iterator[pd.DataFrame]:
-        clock = timerValues.getCurrentWatermarkInMs() * 1000
+    def changed(self, key: str, new: list[tuple], clock: int) -> Iterator[tuple]:
+        if new:
+            self.waiting.appendList(new)
         waiting = list(self.waiting.get())
         later = [w for w in waiting if w[0] > clock]
         if later:
@@ -208,35 +414,37 @@ class _History(StatefulProcessor):
         ready = sorted((w for w in waiting if w[0] <= clock), key=lambda w: (w[0], self.order(w[1])))
         if not ready:
             return
-        last, out = (self.last.get() or (None,))[0], []
+        last = (self.last.get() or (None,))[0]
         for _, row in ready:
-            out += [("+I", row)] if last is None else [("-U", last), ("+U", row)]
+            if last is None:
+                yield "+I", row
+            else:
+                yield "-U", last
+                yield "+U", row
             last = row
         self.last.update((last,))
         if later:
             self.waiting.put(later)
         else:
             self.waiting.clear()
-        for at in range(0, len(out), 10_000):
-            yield pd.DataFrame(out[at:at + 10_000], columns=[OP, "row_json"])
-
-    def close(self) -> None:
-        pass
 
 
-def changelog_history(df: DataFrame, *, key: str | Sequence[str], time_col: str, order_cols: Sequence[str] = ()) -> DataFrame:
+def changelog_history(df: DataFrame, *, key: str | Sequence[str], time_col: str, order_cols: Sequence[str] = (),
+                      buckets: int | None = BUCKETS) -> DataFrame:
     """C2 on a watermarked stream: every version of a key as ``+I`` or as ``-U`` (the one before) and ``+U``,
     in order of time, then ``order_cols``, whatever order they arrive in; a row goes out once the clock has
     passed it, later ones for that time are late.  State per key: rows above the clock and the last one below.
     """
-    source = df.select(_packed(_cols(key)).alias("key_json"), F.col(f"`{time_col}`").alias("at"), F.unix_micros(F.col(f"`{time_col}`")).alias("t"),
-                       _packed(df.columns).alias("row_json"))
-    out = source.groupBy("key_json").transformWithStateInPandas(_History(_ordered(order_cols, df)), f"{OP} string, row_json string", "Append", "EventTime")
-    return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, "_r.*")
+    source = df.select(_packed(df, _cols(key)).alias("key_json"), F.col(f"`{time_col}`").alias("at"), F.unix_micros(F.col(f"`{time_col}`")).alias("t"),
+                       _packed(df, df.columns).alias("row_json"))
+    out = _by_key(source, _History(_ordered(order_cols, df)), f"{OP} string, row_json string", buckets, "EventTime")
+    return out.select(OP, _unpacked("row_json", df, df.columns, "_r")).select(OP, *[_field("_r", df, c) for c in df.columns])
 
 
 # ------------------------------------------------------------------ joins
-class _Join(StatefulProcessor):
+class _Join(_Keyed):
+    takes, gives = ("side", "n", "row_json"), (OP, "_l", "_r")
+
     def __init__(self, pad_left: bool, pad_right: bool, ttl: tuple[int | None, int | None]) -> None:
         self.pad_left, self.pad_right, self.ttl = pad_left, pad_right, ttl
 
@@ -246,12 +454,15 @@ class _Join(StatefulProcessor):
         if self.pad_left or self.pad_right:
             self.counts = handle.getValueState("counts", "l long, r long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        change: tuple[Counter, Counter] = (Counter(), Counter())
-        for pdf in rows:
-            for side, n, row in zip(pdf["side"].tolist(), pdf["n"].tolist(), pdf["row_json"], strict=True):
-                change[side][row] += n
-        new_left, new_right = ({r: n for r, n in c.items() if n} for c in change)
+    def empty(self) -> tuple[Counter, Counter]:
+        return Counter(), Counter()
+
+    def added(self, new: tuple[Counter, Counter], rows: Iterable[tuple]) -> None:
+        for side, n, row in rows:
+            new[side][row] += n
+
+    def changed(self, key: str, new: tuple[Counter, Counter], clock: int) -> Iterator[tuple]:
+        new_left, new_right = ({r: n for r, n in c.items() if n} for c in new)
         # each side's earlier rows are read where the other side changes
         right = self.right.all() if new_left else {}
         left = self.left.all() if new_right else {}
@@ -273,7 +484,7 @@ class _Join(StatefulProcessor):
             self.counts.update(then)
         self.left.add(new_left)
         self.right.add(new_right)
-        yield from _out(out, ["_l", "_r"])
+        yield from _net(out)
 
     @staticmethod
     def _pad(out: Counter, pair, held: dict[str, int], new: dict[str, int], partners: int, partners_then: int) -> None:
@@ -287,12 +498,9 @@ class _Join(StatefulProcessor):
                 for row, n in part.items():
                     out[pair(row)] += n
 
-    def close(self) -> None:
-        pass
-
 
 def join_changes(left: DataFrame, right: DataFrame, *, key: str | Sequence[str], how: str = "inner", salts: int = 1,
-                 ttl: str | None = None, right_ttl: str | None = None) -> DataFrame:
+                 ttl: str | None = None, right_ttl: str | None = None, buckets: int | None = BUCKETS) -> DataFrame:
     """The join of two changelogs on equal keys, as a changelog: op, the key, the left
     side's other columns, the right side's.  ``how``: inner, left, right or full.
 
@@ -319,18 +527,19 @@ def join_changes(left: DataFrame, right: DataFrame, *, key: str | Sequence[str],
         known = known & F.col(f"`{k}`").isNotNull()
 
     def side(df: DataFrame, number: int, salt: Column) -> DataFrame:
-        row = _packed([c for c in df.columns if c != OP])
-        return df.where(known).select(_packed(keys).alias("key_json"), salt.alias("salt"), F.lit(number).alias("side"), sign().alias("n"), row.alias("row_json"))
+        row = _packed(df, [c for c in df.columns if c != OP])
+        return df.where(known).select(_packed(df, keys).alias("key_json"), salt.alias("salt"), F.lit(number).alias("side"), sign().alias("n"), row.alias("row_json"))
 
-    both = side(left, 0, F.pmod(F.xxhash64(_packed(ls)), F.lit(salts)).cast("int")).unionByName(
+    both = side(left, 0, F.pmod(F.xxhash64(_packed(left, ls)), F.lit(salts)).cast("int")).unionByName(
         side(right, 1, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     millis = tuple(None if t is None else max(1, _micros(t) // 1000) for t in (ttl, right_ttl))
-    out = both.groupBy("key_json", "salt").transformWithStateInPandas(
-        _Join(how in ("left", "full"), how in ("right", "full"), millis), f"{OP} string, _l string, _r string",
-        "Append", "None" if millis == (None, None) else "ProcessingTime")
+    both = both.select(F.to_json(F.struct("key_json", "salt")).alias("key_json"), "side", "n", "row_json")
+    expires = millis != (None, None)   # Spark ends rows one by one: each key has its own state
+    out = _by_key(both, _Join(how in ("left", "full"), how in ("right", "full"), millis), f"{OP} string, _l string, _r string",
+                  None if expires else buckets, "ProcessingTime" if expires else "None")
     out = out.select(OP, _unpacked("_l", left, [*keys, *ls], "_l"), _unpacked("_r", right, [*keys, *rs], "_r")).select(
-        OP, *[F.coalesce(F.col(f"_l.`{k}`"), F.col(f"_r.`{k}`")).alias(k) for k in keys],
-        *[F.col(f"_l.`{c}`").alias(c) for c in ls], *[F.col(f"_r.`{c}`").alias(c) for c in rs])
+        OP, *[F.coalesce(_field("_l", left, k), _field("_r", right, k)).alias(k) for k in keys],
+        *[_field("_l", left, c) for c in ls], *[_field("_r", right, c) for c in rs])
     for df, pads in ((left, ("left", "full")), (right, ("right", "full"))):
         if how in pads:   # rows that can't match need no state
             out = out.unionByName(df.where(~known), allowMissingColumns=True)
@@ -379,24 +588,37 @@ class _Sum:
             return "Infinity" if self.total > 0 else "-Infinity"
 
 
-class _Aggregate(StatefulProcessor):
+class _Aggregate(_Keyed):
     """Per group the row count, other counts and sums; results of its state before and after."""
 
+    takes, gives = ("n", "counts", "sums"), (OP, "key_json", "_c", "_s")
+
     def __init__(self, scales: list[int | None], n_counts: int, merges: bool, ends: bool) -> None:
         self.scales, self.n_counts, self.merges, self.ends = scales, n_counts, merges, ends
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("group", "counts string, sums array<string>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def empty(self) -> tuple[list[int], list[Counter]]:
+        return [0] * (self.n_counts + 1), [Counter() for _ in self.scales]
+
+    def added(self, new: tuple[list[int], list[Counter]], rows: Iterable[tuple]) -> None:
+        counts, values = new
+        for n, row_counts, row_sums in rows:
+            for i, c in enumerate(row_counts):
+                counts[i] += n * int(c)
+            for held, v in zip(values, row_sums, strict=True):
+                held[v] += n   # equal values are summed once
+
+    def changed(self, key: str, new: tuple[list[int], list[Counter]], clock: int) -> Iterator[tuple]:
         sums, counts, before = [_Sum() for _ in self.scales], [0] * (self.n_counts + 1), None
         if (held := self.state.get()) is not None:
             counts, sums = [int(c) for c in held[0].split()], [_Sum(s) for s in held[1]]
             before = self._row(counts, sums)
-        for pdf in rows:
-            for n, row_counts, row_sums in zip(pdf["n"].tolist(), pdf["counts"], pdf["sums"], strict=True):
-                counts = [c + n * x for c, x in zip(counts, row_counts, strict=True)]
-                for s, v, scale in zip(sums, row_sums, self.scales, strict=True):
+        counts = [c + x for c, x in zip(counts, new[0], strict=True)]
+        for s, values, scale in zip(sums, new[1], self.scales, strict=True):
+            for v, n in values.items():
+                if n:
                     s.merge(v, n) if self.merges else s.add(v, n, scale is None)
         if counts[0] > 0 or any(counts):   # more taken away than added so far: wait for the rest
             self.state.update((" ".join(map(str, counts)), [s.text() for s in sums]))
@@ -409,21 +631,17 @@ class _Aggregate(StatefulProcessor):
                 out[before] -= 1
             if after is not None:
                 out[after] += 1
-            for pdf in _out(out, ["_c", "_s"]):
-                pdf["key_json"], pdf["_c"], pdf["_s"] = key[0], pdf["_c"].map(list), pdf["_s"].map(list)
-                yield pdf[[OP, "key_json", "_c", "_s"]]
+            for op, shown_counts, shown_sums in _net(out):
+                yield op, key, list(shown_counts), list(shown_sums)
 
     def _row(self, counts: list[int], sums: list[_Sum]) -> tuple | None:
         if counts[0] <= 0:
             return None
         return tuple(counts), tuple(s.result(scale) if self.ends else s.text() for s, scale in zip(sums, self.scales, strict=True))
 
-    def close(self) -> None:
-        pass
-
 
 def aggregate_changes(changes: DataFrame, *, keys: str | Sequence[str], sums: dict[str, Column] | None = None,
-                      counts: dict[str, Column] | None = None, salts: int = 1) -> DataFrame:
+                      counts: dict[str, Column] | None = None, salts: int = 1, buckets: int | None = BUCKETS) -> DataFrame:
     """``SUM`` and ``COUNT`` per group of a changelog, as a changelog: op, keys, sums, counts.
 
     A group changes as ``-U`` old, ``+U`` new and leaves (``-D``) with its last row.  Sums are exact
@@ -436,26 +654,26 @@ def aggregate_changes(changes: DataFrame, *, keys: str | Sequence[str], sums: di
     scales = [k.scale if isinstance(k, DecimalType) else 0 if isinstance(k, LongType) else None for k in kinds]
     ones = [F.lit(1).cast("long"), *[F.when(c.isNotNull(), 1).otherwise(0).cast("long") for c in counts.values()]]
     values = [v.cast(kind).cast("string") for v, kind in zip(sums.values(), kinds, strict=True)]
-    part = F.pmod(F.xxhash64(_packed([c for c in changes.columns if c != OP])), F.lit(salts)).cast("int")
-    source = changes.select(_packed(keys).alias("key_json"), part.alias("part"), sign().alias("n"), F.array(*ones).alias("counts"),
+    part = F.pmod(F.xxhash64(_packed(changes, [c for c in changes.columns if c != OP])), F.lit(salts)).cast("int")
+    source = changes.select(_packed(changes, keys).alias("key_json"), part.alias("part"), sign().alias("n"), F.array(*ones).alias("counts"),
                             F.array(*values).cast("array<string>").alias("sums"))
     out = f"{OP} string, key_json string, _c array<long>, _s array<string>"
     if salts > 1:
-        part_key = F.to_json(F.struct("key_json", "part")).alias("group_json")
-        done = source.select(part_key, "n", "counts", "sums").groupBy("group_json").transformWithStateInPandas(
-            _Aggregate(scales, len(counts), False, False), out, "Append", "None")
+        part_key = F.to_json(F.struct("key_json", "part")).alias("key_json")
+        done = _by_key(source.select(part_key, "n", "counts", "sums"), _Aggregate(scales, len(counts), False, False), out, buckets)
         source = done.select(F.get_json_object("key_json", "$.key_json").alias("key_json"), sign().alias("n"), F.col("_c").alias("counts"), F.col("_s").alias("sums"))
-    done = source.select("key_json", "n", "counts", "sums").groupBy("key_json").transformWithStateInPandas(
-        _Aggregate(scales, len(counts), salts > 1, True), out, "Append", "None")
+    done = _by_key(source.select("key_json", "n", "counts", "sums"), _Aggregate(scales, len(counts), salts > 1, True), out, buckets)
     return done.select(OP, _unpacked("key_json", changes, keys, "_k"), "_c", "_s").select(
-        OP, *[F.col(f"_k.`{k}`").alias(k) for k in keys], *[F.col("_s")[i].cast(kind).alias(n) for i, (n, kind) in enumerate(zip(sums, kinds, strict=True))],
+        OP, *[_field("_k", changes, k) for k in keys], *[F.col("_s")[i].cast(kind).alias(n) for i, (n, kind) in enumerate(zip(sums, kinds, strict=True))],
         *[F.col("_c")[i + 1].alias(n) for i, n in enumerate(counts)])
 
 
 # ------------------------------------------------------------------ sink on another key
-class _Winner(StatefulProcessor):
+class _Winner(_Keyed):
     """Per sink key all candidates; the largest is what the sink shows."""
 
+    takes, gives = ("n", "row_json"), (OP, "row_json")
+
     def __init__(self, order: _Order) -> None:
         self.order = order
 
@@ -463,11 +681,14 @@ class _Winner(StatefulProcessor):
         self.rows = _Rows(handle, "rows")
         self.shown = handle.getValueState("shown", "row string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        change: Counter = Counter()
-        for pdf in rows:
-            for n, row in zip(pdf["n"].tolist(), pdf["row_json"], strict=True):
-                change[row] += n
+    def empty(self) -> Counter:
+        return Counter()
+
+    def added(self, new: Counter, rows: Iterable[tuple]) -> None:
+        for n, row in rows:
+            new[row] += n
+
+    def changed(self, key: str, change: Counter, clock: int) -> Iterator[tuple]:
         self.rows.add({row: n for row, n in change.items() if n})
         before = (self.shown.get() or (None,))[0]
         if change.get(before, 0) < 0:
@@ -484,13 +705,10 @@ class _Winner(StatefulProcessor):
                 self.shown.update((after,))
             else:
                 self.shown.clear()
-            yield from _out(out, ["row_json"])
-
-    def close(self) -> None:
-        pass
+            yield from _net(out)
 
 
-def sink_changes(changes: DataFrame, *, sink_key: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def sink_changes(changes: DataFrame, *, sink_key: str | Sequence[str], order_cols: Sequence[str], buckets: int | None = BUCKETS) -> DataFrame:
     """What a sink with primary key ``sink_key`` shows of a changelog whose own key is another one.
 
     Of several rows with one sink key the largest by ``order_cols`` is shown; when it is taken
@@ -498,35 +716,34 @@ def sink_changes(changes: DataFrame, *, sink_key: str | Sequence[str], order_col
     row per sink key.  State: the rows of each sink key.
     """
     cols = [c for c in changes.columns if c != OP]
-    source = changes.select(_packed(_cols(sink_key)).alias("key_json"), sign().alias("n"), _packed(cols).alias("row_json"))
-    out = source.groupBy("key_json").transformWithStateInPandas(_Winner(_ordered(order_cols, changes)), f"{OP} string, row_json string", "Append", "None")
-    return out.select(OP, _unpacked("row_json", changes, cols, "_r")).select(OP, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
+    source = changes.select(_packed(changes, _cols(sink_key)).alias("key_json"), sign().alias("n"), _packed(changes, cols).alias("row_json"))
+    out = _by_key(source, _Winner(_ordered(order_cols, changes)), f"{OP} string, row_json string", buckets)
+    return out.select(OP, _unpacked("row_json", changes, cols, "_r")).select(OP, *[_field("_r", changes, c) for c in cols])
 
 
 # ------------------------------------------------------------------ versioned join
-class _Versioned(StatefulProcessor):
+class _Versioned(_Keyed):
     """Per key the versions that may still be asked for, and the rows that wait for the clock."""
 
+    takes, gives = ("side", "t", "row_json"), ("_l", "_v")
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.versions = handle.getListState("versions", "t long, row string")
         self.waiting = handle.getListState("waiting", "t long, row string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new: tuple[list, list] = ([], [])
-        for pdf in rows:
-            for side, t, row in zip(pdf["side"].tolist(), pdf["t"].tolist(), pdf["row_json"], strict=True):
-                new[side].append((t, row))
+    def empty(self) -> tuple[list, list]:
+        return [], []
+
+    def added(self, new: tuple[list, list], rows: Iterable[tuple]) -> None:
+        for side, t, row in rows:
+            if t == t:   # a row without a time is at no version's time
+                new[side].append((int(t), row))
+
+    def changed(self, key: str, new: tuple[list, list], clock: int) -> Iterator[tuple]:
         for state, entries in zip((self.versions, self.waiting), new, strict=True):
             if entries:
                 state.appendList(entries)
-        yield from self._released(timerValues)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._released(timerValues)
-
-    def _released(self, timerValues) -> Iterator[pd.DataFrame]:
-        clock = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = list(self.waiting.get())
         ready, later = sorted(w for w in waiting if w[0] <= clock), [w for w in waiting if w[0] > clock]
         if later:
@@ -535,9 +752,9 @@ class _Versioned(StatefulProcessor):
             return
         versions = sorted(self.versions.get())
         times = [t for t, _ in versions]
-        for at in range(0, len(ready), 10_000):
-            valid = [(row, bisect_right(times, t)) for t, row in ready[at:at + 10_000]]
-            yield pd.DataFrame([(row, versions[v - 1][1]) for row, v in valid if v], columns=["_l", "_v"], dtype=object)
+        for t, row in ready:
+            if v := bisect_right(times, t):
+                yield row, versions[v - 1][1]
         self._rewrite(self.waiting, later)
         past = bisect_right(times, clock) - 1   # of these no row that is still to come asks
         if past > len(versions) - past:
@@ -550,12 +767,9 @@ class _Versioned(StatefulProcessor):
         else:
             state.clear()
 
-    def close(self) -> None:
-        pass
-
 
 def versioned_join(left: DataFrame, versions: DataFrame, *, key: str | Sequence[str], left_time: str, version_time: str,
-                   version_cols: Sequence[str]) -> DataFrame:
+                   version_cols: Sequence[str], buckets: int | None = BUCKETS) -> DataFrame:
     """J1 on streams: each left row with the version of its key that was valid at its time (inner join).
 
     Both sides come with a watermark on their own time column.  Their clock is the lesser of the
@@ -574,11 +788,11 @@ def versioned_join(left: DataFrame, versions: DataFrame, *, key: str | Sequence[
     def side(df: DataFrame, number: int, time: str, cols: Sequence[str]) -> DataFrame:
         # the filter stays above the watermark: rows that match nothing still move the clock
         return df.where(keep_above_watermark(known, time)).select(
-            _packed(keys).alias("key_json"), F.lit(number).alias("side"), F.col(f"`{time}`").alias("at"),
-            F.unix_micros(F.col(f"`{time}`")).alias("t"), _packed(cols).alias("row_json"))
+            _packed(df, keys).alias("key_json"), F.lit(number).alias("side"), F.col(f"`{time}`").alias("at"),
+            F.unix_micros(F.col(f"`{time}`")).alias("t"), _packed(df, cols).alias("row_json"))
 
     both = side(left, 1, left_time, left.columns).unionByName(side(versions, 0, version_time, version_cols))
-    out = both.groupBy("key_json").transformWithStateInPandas(_Versioned(), "_l string, _v string", "Append", "EventTime")
+    out = _by_key(both, _Versioned(), "_l string, _v string", buckets, "EventTime")
     named = {c: f"version_{c}" if c in left.columns else c for c in version_cols}
     return out.select(_unpacked("_l", left, left.columns, "_l"), _unpacked("_v", versions, version_cols, "_v")).select(
-        *[F.col(f"_l.`{c}`").alias(c) for c in left.columns], *[F.col(f"_v.`{c}`").alias(named[c]) for c in version_cols])
+        *[_field("_l", left, c) for c in left.columns], *[_field("_v", versions, c).alias(named[c]) for c in version_cols])

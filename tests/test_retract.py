@@ -317,3 +317,106 @@ def test_what_a_join_refuses(spark):
             R.join_changes(left, right, key="k", **bad)
     with pytest.raises(ValueError):
         R.join_changes(left, left, key="k")
+
+
+# ------------------------------------------------------------------ buckets of keys
+class _CountedList(_List):
+    def __init__(self, calls):
+        super().__init__()
+        self.calls = calls
+
+    def get(self):
+        self.calls.append("get")
+        return super().get()
+
+    def appendList(self, v):
+        self.calls.append("append")
+        super().appendList(v)
+
+
+class _CountingHandle(_Handle):
+    def __init__(self):
+        super().__init__()
+        self.calls = []
+
+    def getListState(self, *_):
+        return _CountedList(self.calls)
+
+
+def _bucket(one):
+    bucket, handle = R._Bucket(one), _CountingHandle()
+    bucket.init(handle)
+    return bucket, handle
+
+
+def test_a_bucket_joins_like_its_keys_alone():
+    for seed in range(20):
+        rnd = random.Random(seed)
+        keys = [f"k{i}" for i in range(30)]
+        bucket, handle = _bucket(R._Join(True, True, (None, None)))
+        held = {k: (Counter(), Counter()) for k in keys}
+        total = Counter()
+        for _ in range(8):
+            batch = []
+            for k in rnd.sample(keys, 15):
+                for _ in range(rnd.randrange(1, 5)):
+                    side = rnd.randrange(2)
+                    here = list(held[k][side].elements())
+                    gone = bool(here) and rnd.random() < 0.45
+                    row = rnd.choice(here) if gone else k + rnd.choice("abc")
+                    held[k][side][row] += -1 if gone else 1
+                    batch.append((k, side, -1 if gone else 1, row))
+            rnd.shuffle(batch)
+            pdf = pd.DataFrame(batch, columns=["key_json", "side", "n", "row_json"])
+            handle.calls.clear()
+            for got in bucket.handleInputRows((0,), iter([pdf[:10], pdf[10:]]), _Clock(0)):
+                for op, *row in got.itertuples(index=False):
+                    total[tuple(row)] += -1 if op[0] == "-" else 1
+            assert len(handle.calls) <= 6   # whatever the number of keys: a read and a write for each of three states
+            want = Counter()
+            for left, right in held.values():
+                left, right = +left, +right
+                want.update({(l, r): n * m for l, n in left.items() for r, m in right.items()})
+                want.update({(l, None): n for l, n in left.items()} if not right else {})
+                want.update({(None, r): n for r, n in right.items()} if not left else {})
+            assert +total == want and not -total, seed
+
+
+def test_state_of_a_bucket_is_cut_rewritten_and_taken_away(monkeypatch):
+    monkeypatch.setattr(R, "PIECE", 200)
+    bucket, handle = _bucket(R._Aggregate([2], 1, False, True))
+    log = bucket.logs[0].state
+    for i in range(60):
+        pdf = pd.DataFrame([(f'k"{k}', n, [1, 1], ["2.25"]) for k in range(20) for n in [1 if i < 59 else -1]], columns=["key_json", "n", "counts", "sums"])
+        out = [r for f in bucket.handleInputRows((0,), iter([pdf]), _Clock(0)) for r in f.itertuples(index=False)]
+        assert len({r.key_json for r in out}) == 20
+    assert {(r[2][0], r[3][0]) for r in out if r[0] == "+U"} == {(58, "130.50")}
+    assert 1 < len(log.v) and sum(len(p) for p, in log.v) < 3 * 20 * 100
+    pdf = pd.DataFrame([(f'k"{k}', -1, [1, 1], ["2.25"]) for k in range(20) for _ in range(58)], columns=["key_json", "n", "counts", "sums"])
+    out = [r for f in bucket.handleInputRows((0,), iter([pdf]), _Clock(0)) for r in f.itertuples(index=False)]
+    assert {r[0] for r in out} == {"-D"}
+
+
+def test_timers_of_a_bucket_release_every_key():
+    bucket, handle = _bucket(R._Versioned())
+    cols = ["key_json", "side", "t", "row_json"]
+    pdf = pd.DataFrame([(f"k{k}", side, t, f"{side}{k}") for k in range(9) for side, t in ((0, 1_000_000 * k), (1, 1_000_000 * k + 5))] + [("k0", 1, None, "x")], columns=cols)
+    assert not list(bucket.handleInputRows((0,), iter([pdf]), _Clock(0)))[1:]
+    assert handle.timers == [1]
+    out = [tuple(r) for f in bucket.handleExpiredTimer((0,), _Clock(4_500), None) for r in f.itertuples(index=False)]
+    assert sorted(out) == [(f"1{k}", f"0{k}") for k in range(5)] and handle.timers == [1, 5_001]
+    out = [tuple(r) for f in bucket.handleExpiredTimer((0,), _Clock(60_000), None) for r in f.itertuples(index=False)]
+    assert sorted(out) == [(f"1{k}", f"0{k}") for k in range(5, 9)]
+
+
+def test_parts_of_a_replay_are_whole_micro_batches(spark):
+    from rillet.plans.streams import Replay
+
+    for n in (2, 400):
+        table = spark.range(n).selectExpr("id", "timestamp_seconds(id) AS t")
+        replay = Replay(spark)
+        seen = []
+        stream = replay.stream(table, "x", "t")
+        stream.writeStream.foreachBatch(lambda b, _, seen=seen: seen.append(sorted(r.id for r in b.collect()))) \
+            .option("checkpointLocation", f"{replay.folder}/c").trigger(availableNow=True).start().awaitTermination()
+        assert len(seen) <= replay.steps and sum(seen, []) == list(range(n))
