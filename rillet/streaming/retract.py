@@ -25,13 +25,13 @@ from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from decimal import Decimal
 from fractions import Fraction
-from itertools import islice
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, FloatType, LongType, StructField, StructType, TimestampType
 
 from rillet.operators.over import _micros
 from rillet.streaming.operators import keep_above_watermark
@@ -51,10 +51,10 @@ def _packed(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.to_json(F.struct(*held), _JSON) if cols else F.lit("{}")
 
 
-def _unpacked(text: str, df: DataFrame, cols: Sequence[str], name: str) -> Column:
-    """What :func:`_packed` has packed, to be read by :func:`_field`."""
-    fields = [StructField(c, LongType()) if isinstance(df.schema[c].dataType, TimestampType) else df.schema[c] for c in cols]
-    return F.from_json(F.col(text), StructType(fields), _JSON).alias(name)
+def _unpacked(text: str, df: DataFrame, cols: Sequence[str], name: str, many: bool = False) -> Column:
+    """What :func:`_packed` has packed, to be read by :func:`_field`; with ``many`` the text is a JSON list of such rows."""
+    row = StructType([StructField(c, LongType()) if isinstance(df.schema[c].dataType, TimestampType) else df.schema[c] for c in cols])
+    return F.from_json(F.col(text), ArrayType(row) if many else row, _JSON).alias(name)
 
 
 def _field(name: str, df: DataFrame, col: str) -> Column:
@@ -81,8 +81,10 @@ def current_rows(changes: DataFrame) -> DataFrame:
 
 #: Buckets of keys of an operator.
 BUCKETS = 1024
-#: Rows of a frame that goes to Spark; characters of a piece of a bucket's state.
-FRAME, PIECE = 10_000, 1 << 20
+#: Rows of a frame that goes to Spark and characters after which it ends; characters of a piece of a bucket's state.
+FRAME, FRAME_CHARS, PIECE = 10_000, 1 << 22, 1 << 20
+#: Rows of a side in one text of a join's result.
+FACTOR = 1000
 
 
 def _net(changes: Counter) -> list[tuple]:
@@ -95,9 +97,14 @@ def _net(changes: Counter) -> list[tuple]:
 
 
 def _frames(rows: Iterable[tuple], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
-    rows = iter(rows)
-    while part := list(islice(rows, FRAME)):
-        yield pd.DataFrame(dict(zip(columns, map(list, zip(*part, strict=True)), strict=True)), dtype=object)
+    part, chars = [], 0
+    for row in chain(rows, (None,)):
+        if part and (row is None or len(part) == FRAME or chars > FRAME_CHARS):
+            yield pd.DataFrame(dict(zip(columns, map(list, zip(*part, strict=True)), strict=True)), dtype=object)
+            part, chars = [], 0
+        if row is not None:
+            part.append(row)
+            chars += sum([len(v) for v in row if isinstance(v, str)])
 
 
 class _Keyed(StatefulProcessor):
@@ -466,37 +473,72 @@ class _Join(_Keyed):
         # each side's earlier rows are read where the other side changes
         right = self.right.all() if new_left else {}
         left = self.left.all() if new_right else {}
-        out: Counter = Counter()
-        for l, n in new_left.items():
-            for r, m in right.items():
-                out[l, r] += n * m
-        for r, n in new_right.items():
-            for part in (left, new_left):
-                for l, m in part.items():
-                    out[l, r] += n * m
+        terms: list[tuple[dict, dict]] = []   # products of counted rows, no pair in two of them
+        if not new_right:
+            terms.append((new_left, right))
+        else:
+            now = _plus(right, new_right)
+            again = new_left.keys() & left.keys()
+            terms += [({l: n for l, n in new_left.items() if l not in again}, now), ({l: n for l, n in left.items() if l not in again}, new_right)]
+            terms += [({l: 1}, _plus({r: n * left[l] for r, n in new_right.items()}, {r: n * new_left[l] for r, n in now.items()})) for l in again]
         if self.pad_left or self.pad_right:
             n_left, n_right = self.counts.get() or (0, 0)
             then = (n_left + sum(new_left.values()), n_right + sum(new_right.values()))
             if self.pad_left:
-                self._pad(out, lambda row: (row, None), left, new_left, n_right, then[1])
+                terms.append((self._pad(left, new_left, n_right, then[1]), {None: 1}))
             if self.pad_right:
-                self._pad(out, lambda row: (None, row), right, new_right, n_left, then[0])
+                terms.append(({None: 1}, self._pad(right, new_right, n_left, then[0])))
             self.counts.update(then)
         self.left.add(new_left)
         self.right.add(new_right)
-        yield from _net(out)
+        yield from self.told(terms)
+
+    def told(self, terms: list[tuple[dict, dict]]) -> Iterable[tuple]:
+        """The products as rows to go out: a row for each pair."""
+        return _net(Counter({(l, r): n * m for ls, rs in terms for l, n in ls.items() for r, m in rs.items()}))
 
     @staticmethod
-    def _pad(out: Counter, pair, held: dict[str, int], new: dict[str, int], partners: int, partners_then: int) -> None:
+    def _pad(held: dict[str, int], new: dict[str, int], partners: int, partners_then: int) -> dict[str, int]:
         """Rows without a partner stand alone; the first partner takes them back, the last one's
         end restores them."""
         if partners <= 0:
-            for row, n in (new if partners_then <= 0 else held).items():
-                out[pair(row)] += n if partners_then <= 0 else -n
-        elif partners_then <= 0:
-            for part in (held, new):
-                for row, n in part.items():
-                    out[pair(row)] += n
+            return new if partners_then <= 0 else {row: -n for row, n in held.items()}
+        return _plus(held, new) if partners_then <= 0 else {}
+
+
+class _Products(_Join):
+    """The same with a row for each product: JSON lists of left and of right rows, all pairs of which are meant;
+    Spark reads each row's text once per product instead of once per pair."""
+
+    gives = (OP, "_ls", "_rs")
+
+    def told(self, terms: list[tuple[dict, dict]]) -> Iterator[tuple]:
+        parts = [(sl * sr, ls, rs) for term in terms for sl, ls in self._signed(term[0]) for sr, rs in self._signed(term[1])]
+        both = len({sign for sign, _, _ in parts}) > 1
+        for sign, ls, rs in sorted(parts, key=lambda part: part[0]):
+            op = ("-U" if both else "-D") if sign < 0 else "+U" if both else "+I"
+            rs = list(self._texts(rs))
+            for l in self._texts(ls):
+                for r in rs:
+                    yield op, l, r
+
+    @staticmethod
+    def _signed(rows: dict) -> list[tuple[int, list]]:
+        """The rows added and those taken away, equal ones as often as they are meant."""
+        up, down = ([row for row, n in rows.items() for _ in range(sign * n)] for sign in (1, -1))
+        return [(sign, part) for sign, part in ((1, up), (-1, down)) if part]
+
+    @staticmethod
+    def _texts(rows: list) -> Iterator[str | None]:
+        for at in range(0, len(rows), FACTOR):
+            yield None if rows[at] is None else f"[{','.join(rows[at:at + FACTOR])}]"
+
+
+def _plus(one: dict[str, int], other: dict[str, int]) -> dict[str, int]:
+    total = Counter(one)
+    for row, n in other.items():
+        total[row] += n
+    return {row: n for row, n in total.items() if n}
 
 
 def join_changes(left: DataFrame, right: DataFrame, *, key: str | Sequence[str], how: str = "inner", salts: int = 1,
@@ -535,9 +577,10 @@ def join_changes(left: DataFrame, right: DataFrame, *, key: str | Sequence[str],
     millis = tuple(None if t is None else max(1, _micros(t) // 1000) for t in (ttl, right_ttl))
     both = both.select(F.to_json(F.struct("key_json", "salt")).alias("key_json"), "side", "n", "row_json")
     expires = millis != (None, None)   # Spark ends rows one by one: each key has its own state
-    out = _by_key(both, _Join(how in ("left", "full"), how in ("right", "full"), millis), f"{OP} string, _l string, _r string",
+    out = _by_key(both, _Products(how in ("left", "full"), how in ("right", "full"), millis), f"{OP} string, _ls string, _rs string",
                   None if expires else buckets, "ProcessingTime" if expires else "None")
-    out = out.select(OP, _unpacked("_l", left, [*keys, *ls], "_l"), _unpacked("_r", right, [*keys, *rs], "_r")).select(
+    out = out.select(OP, _unpacked("_ls", left, [*keys, *ls], "_ls", many=True), _unpacked("_rs", right, [*keys, *rs], "_rs", many=True))
+    out = out.select(OP, "_rs", F.explode_outer("_ls").alias("_l")).select(OP, "_l", F.explode_outer("_rs").alias("_r")).select(
         OP, *[F.coalesce(_field("_l", left, k), _field("_r", right, k)).alias(k) for k in keys],
         *[_field("_l", left, c) for c in ls], *[_field("_r", right, c) for c in rs])
     for df, pads in ((left, ("left", "full")), (right, ("right", "full"))):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 import time
 from collections import Counter
@@ -420,3 +421,41 @@ def test_parts_of_a_replay_are_whole_micro_batches(spark):
         stream.writeStream.foreachBatch(lambda b, _, seen=seen: seen.append(sorted(r.id for r in b.collect()))) \
             .option("checkpointLocation", f"{replay.folder}/c").trigger(availableNow=True).start().awaitTermination()
         assert len(seen) <= replay.steps and sum(seen, []) == list(range(n))
+
+
+@pytest.mark.parametrize("factor, chars", [(1000, 1 << 22), (2, 60)])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_products_mean_the_pairs_that_a_join_tells(monkeypatch, how, factor, chars):
+    monkeypatch.setattr(R, "FACTOR", factor)
+    monkeypatch.setattr(R, "FRAME_CHARS", chars)
+    pads = how in ("left", "full"), how in ("right", "full")
+    for seed in range(30):
+        steps = list(_signed_batches(random.Random(seed), ['"a"', '"b"', '"c"'], 2))
+        frames = [pd.DataFrame(b, columns=["side", "n", "row_json"]) for b, _ in steps]
+        pairs, products = R._Join(*pads, (None, None)), R._Products(*pads, (None, None))
+        products.init(_Handle())
+        for pdf, want in zip(frames, _fed(pairs, frames), strict=True):
+            got, ops = Counter(), []
+            for frame in products.handleInputRows(("k",), iter([pdf]), _Clock(0)):
+                for op, ls, rs in frame.itertuples(index=False):
+                    ops.append(op)
+                    for l in [None] if ls is None else json.loads(ls):
+                        for r in [None] if rs is None else json.loads(rs):
+                            got[l and f'"{l}"', r and f'"{r}"'] += -1 if op[0] == "-" else 1
+            assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n}
+            assert ops == sorted(ops, key=lambda op: op[0] == "+") and set(ops) in ({"-U", "+U"}, {"-D"}, {"+I"}, set())
+
+
+def test_a_hot_change_of_a_join_is_a_few_rows():
+    """1 change of the right side with 5,000 left rows: a row for 1,000 pairs, not one for each."""
+    join = R._Products(False, False, (None, None))
+    join.init(_Handle())
+    cols = ["side", "n", "row_json"]
+    lefts = [f'{{"i":{i}}}' for i in range(5000)]
+    list(join.handleInputRows(("k",), iter([pd.DataFrame([(0, 1, l) for l in lefts] + [(1, 1, "{}")], columns=cols)]), _Clock(0)))
+    out = list(join.handleInputRows(("k",), iter([pd.DataFrame([(1, -1, "{}"), (1, 1, '{"r":1}')], columns=cols)]), _Clock(0)))
+    rows = [tuple(r) for f in out for r in f.itertuples(index=False)]
+    assert [r[0] for r in rows] == ["-U"] * 5 + ["+U"] * 5
+    for op, r in (("-U", [{}]), ("+U", [{"r": 1}])):
+        assert [x["i"] for o, ls, _ in rows if o == op for x in json.loads(ls)] == list(range(5000))
+        assert all(json.loads(rs) == r for o, _, rs in rows if o == op)
